@@ -22,38 +22,55 @@ _TS, _SIDE, _LEFT = "__ts", "__side", "__left"
 
 @dataclass(frozen=True)
 class Side:
-    """A right table: unique on (key, ``ts``).  ``cols`` maps output names to its columns."""
+    """A right table: unique on (key, ``ts``).  ``cols`` maps output names to its columns.
+
+    ``per_column`` carries each column on its own, skipping its NULLs; otherwise the latest row is taken whole.
+    """
 
     df: DataFrame
     ts: str
     cols: dict[str, str]
     key: dict[str, str] = field(default_factory=dict)  # left key name -> name in df, when they differ
     strict: bool = False
+    per_column: bool = False
+
+    def slots(self, i: int) -> dict[str, dict[str, str]]:
+        """Carried structs: name -> {output column: source column}."""
+        if self.per_column:
+            return {f"__right{i}_{out}": {out: src} for out, src in self.cols.items()}
+        return {f"__right{i}": self.cols}
 
 
 def _period(ts: Column, bucket: str | None) -> Column | None:
     return None if bucket is None else F.date_trunc(bucket, ts)
 
 
-def _right_rows(side: Side, on: Sequence[str], slot: str) -> DataFrame:
+def _right_rows(side: Side, on: Sequence[str], i: int) -> DataFrame:
+    def carried(cols: dict[str, str]) -> Column:
+        packed = F.struct(*[F.col(src).alias(out) for out, src in cols.items()])
+        return F.when(F.col(next(iter(cols.values()))).isNotNull(), packed) if side.per_column else packed
+
     return side.df.where(F.col(side.ts).isNotNull()).select(
         *[F.col(side.key.get(k, k)).alias(k) for k in on],
         F.col(side.ts).alias(_TS),
-        F.struct(*[F.col(src).alias(out) for out, src in side.cols.items()]).alias(slot),
+        *[carried(cols).alias(slot) for slot, cols in side.slots(i).items()],
     )
 
 
-def _carry_rows(rows: DataFrame, wanted: DataFrame, on: Sequence[str], slot: str, bucket: str) -> DataFrame:
+def _carry_rows(rows: DataFrame, wanted: DataFrame, on: Sequence[str], slots: Sequence[str], bucket: str) -> DataFrame:
     """One right row per wanted (key, period): the last one of any earlier period."""
-    last = rows.groupBy(*on, _period(F.col(_TS), bucket).alias("__p")).agg(F.max_by(slot, _TS).alias(slot))
+    last = rows.groupBy(*on, _period(F.col(_TS), bucket).alias("__p")).agg(
+        *[F.max_by(s, F.when(F.col(s).isNotNull(), F.col(_TS))).alias(s) for s in slots]
+    )
     both = last.withColumn("__want", F.lit(False)).unionByName(
         wanted.withColumn("__want", F.lit(True)), allowMissingColumns=True
     )
+    # within a period the wanted row comes first, so it sees earlier periods only
     before = Window.partitionBy(*on).orderBy("__p", F.col("__want").desc()).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        both.withColumn(slot, F.last(slot, ignorenulls=True).over(before))
-        .where(F.col("__want") & F.col(slot).isNotNull())
-        .select(*on, F.col("__p").alias(_TS), slot)
+        both.withColumns({s: F.last(s, ignorenulls=True).over(before) for s in slots})
+        .where(F.col("__want"))
+        .select(*on, F.col("__p").alias(_TS), *slots)
     )
 
 
@@ -74,18 +91,20 @@ def asof_join_many(
         return left.join(matched, [*on, left_ts], "left")
 
     payload = [c for c in left.columns if c not in on]
-    slots = [f"__right{i}" for i in range(len(sides))]
+    slots: dict[str, dict[str, str]] = {}
     tagged = left.select(
         *on, F.col(left_ts).alias(_TS), F.lit(1).alias(_SIDE), F.struct(*payload).alias(_LEFT)
     )
-    for slot, side in zip(slots, sides):
-        rows = _right_rows(side, on, slot)
+    for i, side in enumerate(sides):
+        mine = side.slots(i)
+        slots.update(mine)
+        rows = _right_rows(side, on, i)
         tagged = tagged.unionByName(
             rows.withColumn(_SIDE, F.lit(2 if side.strict else 0)), allowMissingColumns=True
         )
         if bucket is not None:
             wanted = left.select(*on, _period(F.col(left_ts), bucket).alias("__p")).distinct()
-            carry = _carry_rows(rows, wanted, on, slot, bucket).withColumn(_SIDE, F.lit(-1))
+            carry = _carry_rows(rows, wanted, on, list(mine), bucket).withColumn(_SIDE, F.lit(-1))
             tagged = tagged.unionByName(carry, allowMissingColumns=True)
 
     parts = [F.col(k) for k in on]
@@ -96,8 +115,8 @@ def asof_join_many(
         *on, _LEFT, *[F.last(s, ignorenulls=True).over(w).alias(s) for s in slots]
     ).where(F.col(_LEFT).isNotNull())
     out = [F.col(c) if c in on else F.col(f"{_LEFT}.{c}").alias(c) for c in left.columns]
-    for slot, side in zip(slots, sides):
-        out += [F.col(f"{slot}.{c}").alias(c) for c in side.cols]
+    for slot, cols in slots.items():
+        out += [F.col(f"{slot}.{c}").alias(c) for c in cols]
     return seen.select(*out)
 
 
@@ -122,17 +141,3 @@ def asof_join(
     if how == "inner":
         out = out.where(F.col(flag))
     return out.drop(flag)
-
-
-def asof_calendar(days: DataFrame, day: str, snapshots: DataFrame, as_of: str, out: str) -> DataFrame:
-    """Latest snapshot date at or before each day, without a key.
-
-    Both inputs are distinct calendar dates (tens of thousands of rows for a century), so the result is a
-    small table meant to be broadcast.
-    """
-    union = days.select(F.col(day).alias(_TS), F.lit(1).alias(_SIDE)).unionByName(
-        snapshots.select(F.col(as_of).alias(_TS), F.lit(0).alias(_SIDE))
-    )
-    w = Window.orderBy(_TS, _SIDE).rowsBetween(Window.unboundedPreceding, 0)
-    hit = F.last(F.when(F.col(_SIDE) == 0, F.col(_TS)), ignorenulls=True).over(w)
-    return union.select(F.col(_TS).alias(day), hit.alias(out), _SIDE).where(F.col(_SIDE) == 1).drop(_SIDE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import safe_div
@@ -68,34 +68,40 @@ def prefer_sourced(df: DataFrame, keys: Sequence[str], source: str, tie: Sequenc
     return keep_max(df, keys, [F.col(source).isNotNull(), *tie])
 
 
-def prior_year(report: Column) -> Column:
-    return F.add_months(report, -12)
+def _month_window(lo: int, hi: int) -> WindowSpec:
+    return Window.partitionBy("code").orderBy("__month").rangeBetween(lo, hi)
 
 
-def prior_annual(report: Column) -> Column:
-    return F.make_date(F.year(report) - 1, F.lit(12), F.lit(31))
+def _with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("__month", F.year("report_date") * 12 + F.month("report_date"))
 
 
-def _points(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
-    return df.select(
-        F.col("code"), F.col("report_date").alias(f"__{prefix}_d"), *[F.col(c).alias(f"__{prefix}_{c}") for c in cols]
-    )
+def months_back(cols: Sequence[str], k: int) -> Column:
+    """The report that ended k months earlier, as a struct; NULL when it is missing.
 
+    A range frame on the month number reads exactly one earlier report of the same code.  That replaces a
+    self-join, so a whole chain of look-backs runs behind one exchange.
+    """
+    point = F.first(F.struct("report_date", *cols)).over(_month_window(-k, -k))
+    return F.when(point["report_date"] == F.add_months("report_date", -k), point)
 
-def _join_point(df: DataFrame, points: DataFrame, prefix: str, day: Column) -> DataFrame:
-    return df.withColumn(f"__{prefix}_d", day).join(points, ["code", f"__{prefix}_d"], "left").drop(f"__{prefix}_d")
+
+def last_annual(cols: Sequence[str]) -> Column:
+    """The December report of the previous year, as a struct."""
+    december = F.when((F.month("report_date") == 12) & (F.dayofmonth("report_date") == 31), F.struct("report_date", *cols))
+    point = F.last(december, ignorenulls=True).over(_month_window(-12, -3))
+    return F.when(F.year(point["report_date"]) == F.year("report_date") - 1, point)
 
 
 def ttm(col: str) -> Column:
     """Trailing twelve months of a cumulative column: itself in December, else + last annual - last year."""
     x = F.col(col)
-    return F.when(F.month("report_date") == 12, x).otherwise(x + F.col(f"__a_{col}") - F.col(f"__p_{col}"))
+    return F.when(F.month("report_date") == 12, x).otherwise(x + F.col("__a")[col] - F.col("__p")[col])
 
 
 def with_prior_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Attach last year's same period (``__p_*``) and last annual report (``__a_*``)."""
-    out = _join_point(df, _points(df, cols, "a"), "a", prior_annual(F.col("report_date")))
-    return _join_point(out, _points(df, cols, "p"), "p", prior_year(F.col("report_date")))
+    """Attach last year's same period (``__p``) and the last annual report (``__a``)."""
+    return _with_month(df).withColumns({"__p": months_back(cols, 12), "__a": last_annual(cols)})
 
 
 def financial_chain(core: DataFrame, ratio: DataFrame) -> DataFrame:
@@ -115,12 +121,18 @@ def financial_chain(core: DataFrame, ratio: DataFrame) -> DataFrame:
     ).withColumn("equities_is_stale", ~F.col("equities_report_date").eqNullSafe(F.col("report_date")))
 
     money = ["net_profit_parent", "revenue"]
+
+    def over_positive(x: Column, base: Column) -> Column:
+        return F.when(base > 0, x / base - 1)
+
+    p = F.col("__p")
     fin = with_prior_points(fin, money).select(
         *fin.columns,
+        "__month",
         ttm("net_profit_parent").alias("np_ttm"),
         ttm("revenue").alias("rev_ttm"),
-        F.when(F.col("__p_revenue") > 0, F.col("revenue") / F.col("__p_revenue") - 1).alias("rev_yoy"),
-        F.when(F.col("__p_net_profit_parent") > 0, F.col("net_profit_parent") / F.col("__p_net_profit_parent") - 1).alias("np_yoy"),
+        over_positive(F.col("revenue"), p["revenue"]).alias("rev_yoy"),
+        over_positive(F.col("net_profit_parent"), p["net_profit_parent"]).alias("np_yoy"),
     )
 
     w = Window.partitionBy("code", F.year("report_date")).orderBy("report_date")
@@ -135,11 +147,10 @@ def financial_chain(core: DataFrame, ratio: DataFrame) -> DataFrame:
         "np_q": single("net_profit_parent"), "rev_q": single("revenue"), "eps_q": single("eps_basic"),
     })
     quarter_cols = ["np_q", "rev_q"]
-    out = _join_point(fin, _points(fin, quarter_cols, "b"), "b", prior_year(F.col("report_date")))
-    return out.select(
-        *fin.columns,
-        *[F.when(F.col(f"__b_{c}") > 0, F.col(c) / F.col(f"__b_{c}") - 1).alias(f"{c}_yoy") for c in quarter_cols],
-    )
+    fin = fin.withColumn("__b", months_back(quarter_cols, 12))
+    return fin.withColumns(
+        {f"{c}_yoy": over_positive(F.col(c), F.col("__b")[c]) for c in quarter_cols}
+    ).drop("__b", "__month")
 
 
 def indicator_asof(indicator: DataFrame) -> DataFrame:
@@ -167,7 +178,7 @@ def statement_layer(income: DataFrame, balance: DataFrame, cashflow: DataFrame)
     return joined.select(
         "code", "report_date", "pub_date",
         *[f"b_{c}" for c in BALANCE],
-        *[(F.col(c) + F.col(f"__a_{c}") - F.col(f"__p_{c}")).alias(f"t_{c}") for c in flows],
+        *[(F.col(c) + F.col("__a")[c] - F.col("__p")[c]).alias(f"t_{c}") for c in flows],
         *[F.col(c).alias(f"c_{c}") for c in flows],
     )
 
@@ -181,16 +192,15 @@ def growth_rates(core: DataFrame) -> DataFrame:
     t = with_prior_points(core, cols).select(
         "code", "report_date", "pub_date", *[ttm(c).alias(f"ttm_{k}") for k, c in GROWTH.items()]
     )
-    out, names = t, [f"ttm_{k}" for k in GROWTH]
-    for y in range(1, 5):
-        out = _join_point(out, _points(t, names, f"y{y}"), f"y{y}", F.add_months("report_date", -12 * y))
+    names = [f"ttm_{k}" for k in GROWTH]
+    out = _with_month(t).withColumns({f"__y{y}": months_back(names, 12 * y) for y in range(1, 5)})
 
     def growth(k: str) -> Column:
-        base = F.col(f"__y1_ttm_{k}")
+        base = F.col("__y1")[f"ttm_{k}"]
         return safe_div(F.col(f"ttm_{k}"), base) - 1
 
     def trend(k: str) -> Column:
-        now, y1, y2, y3, y4 = [F.col(f"ttm_{k}"), *[F.col(f"__y{i}_ttm_{k}") for i in range(1, 5)]]
+        now, y1, y2, y3, y4 = [F.col(f"ttm_{k}"), *[F.col(f"__y{i}")[f"ttm_{k}"] for i in range(1, 5)]]
         mean = (now + y1 + y2 + y3 + y4) / 5.0
         slope = (2 * now + y1 - y3 - 2 * y4) / 10.0
         return F.when(y4.isNotNull() & (F.abs(mean) > 1), slope / F.abs(mean))

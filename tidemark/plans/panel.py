@@ -10,14 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import null_if, round_half
 from tidemark.functions.windows import JQ_DATE
-from tidemark.operators.asof import Side, asof_calendar, asof_join_many
+from tidemark.operators.asof import Side, asof_join_many
 from tidemark.operators.dedupe import newest_report_asof
-from tidemark.operators.intervals import interval_lookup
 from tidemark.plans.bars import matched_stocks, repaired_turnover, volume_divisor, with_factor
 from tidemark.plans.dimensions import status_asof
 from tidemark.plans.fundamentals import financial_chain, indicator_asof
@@ -99,28 +98,34 @@ def base_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame
     )
 
 
-def index_flags(df: DataFrame, members: DataFrame) -> DataFrame:
-    """Eight 0/1 membership flags, each index as-of its own series of snapshots.
+def membership_side(members: DataFrame, key: dict[str, str]) -> Side:
+    """All eight indexes as one right table of the as-of pass.
 
-    The (day -> snapshot) mapping holds one row per trading day and is broadcast; membership is then one
-    exact join on (code, snapshot) per index.
+    A membership row holds from its snapshot until the next snapshot of the *same* index, whether or not the
+    code is in that one; so each row carries the date it is superseded.  The snapshot calendar is a small
+    table (dates x indexes).  One row per (code, snapshot date) holds a column per index.
     """
-    days = df.select("date").distinct()
-    for index_code, flag in INDEX_FLAGS.items():
-        rows = members.where(F.col("index_code") == index_code)
-        snap = asof_calendar(days, "date", rows.select("as_of").distinct(), "as_of", f"__snap_{flag}")
-        days = days.join(snap, "date", "left")
-    df = df.join(F.broadcast(days), "date", "left")
-    # one membership table for all indexes: a code's snapshots arrive with its flags side by side
-    for index_code, flag in INDEX_FLAGS.items():
-        m = (
-            members.where(F.col("index_code") == index_code)
-            .select(F.col("stock_code").alias("jq_code"), F.col("as_of").alias(f"__snap_{flag}"))
-            .distinct()
-            .withColumn(flag, F.lit(1).cast("byte"))
-        )
-        df = df.join(m, ["jq_code", f"__snap_{flag}"], "left").withColumn(flag, F.coalesce(flag, F.lit(0).cast("byte")))
-    return df.drop(*[f"__snap_{f}" for f in INDEX_FLAGS.values()])
+    rows = members.where(F.col("index_code").isin(*INDEX_FLAGS)).select("index_code", "stock_code", "as_of")
+    calendar = rows.select("index_code", "as_of").distinct()
+    w = Window.partitionBy("index_code").orderBy("as_of")
+    calendar = calendar.withColumn("superseded", F.coalesce(F.lead("as_of").over(w), F.to_date(F.lit("9999-12-31"))))
+    wide = (
+        rows.join(F.broadcast(calendar), ["index_code", "as_of"])
+        .groupBy(F.col("stock_code").alias("code"), "as_of")
+        .agg(*[F.max(F.when(F.col("index_code") == k, F.col("superseded"))).alias(flag) for k, flag in INDEX_FLAGS.items()])
+    )
+    return Side(wide, "as_of", {f"__until_{flag}": flag for flag in INDEX_FLAGS.values()}, key, per_column=True)
+
+
+def _still_valid(until: str) -> Column:
+    return F.col(until).isNull() | (F.col(until) > F.col("date"))
+
+
+def membership_flags() -> dict[str, Column]:
+    return {
+        flag: F.when(F.col(f"__until_{flag}") > F.col("date"), 1).otherwise(0).cast("byte")
+        for flag in INDEX_FLAGS.values()
+    }
 
 
 @dataclass(frozen=True)
@@ -169,13 +174,19 @@ def panel_daily(x: PanelInputs) -> DataFrame:
              {"ind_report_date": "report_date", "ind_pub_date": "pub_date", "eps_q": "eps", "roe_q": "roe",
               "adjusted_profit_q": "adjusted_profit"}, key),
         Side(status_asof(x.status), "eff_from", {"public_status": "public_status"}, key),
+        # names and industries are closed by their successor, so "inside the interval" is an as-of as well
+        Side(x.names, "valid_from", {"sec_name": "name", "__name_to": "valid_to"}, key),
+        Side(x.industries, "valid_from", {**{c: c for c in INDUSTRY_COLS}, "__industry_to": "valid_to"}, key),
+        membership_side(x.members, key),
     ]
     df = asof_join_many(px, ["jq_code"], "date", sides, left_unique=True)
 
-    df = interval_lookup(df, x.names, {"jq_code": "code"}, "date", {"sec_name": "name"})
-    df = interval_lookup(df, x.industries, {"jq_code": "code"}, "date", {c: c for c in INDUSTRY_COLS})
+    df = df.withColumns({
+        "sec_name": F.when(_still_valid("__name_to"), F.col("sec_name")),
+        **{c: F.when(_still_valid("__industry_to"), F.col(c)) for c in INDUSTRY_COLS},
+        **membership_flags(),
+    })
     df = df.join(x.universe.select(F.col("code").alias("jq_code"), "list_date"), "jq_code", "left")
-    df = index_flags(df, x.members)
 
     status, name = F.col("public_status"), F.col("sec_name")
     risky = status.isin(*ST, DELISTING)
@@ -189,7 +200,7 @@ def panel_daily(x: PanelInputs) -> DataFrame:
         "limit_pct": limit_percent(F.col("symbol"), F.col("date"), status),
     })
     df = limit_columns(valuation_columns(df))
-    return df.drop("__float_sh", "__floatmv", "__totalmv", "vol_div")
+    return df.drop(*[c for c in df.columns if c.startswith("__")], "vol_div")
 
 
 def paused_days(panel: DataFrame, universe: DataFrame, calendar: DataFrame, start: str, end: str | None = None) -> DataFrame:

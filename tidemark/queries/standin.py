@@ -201,10 +201,11 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT year(date) AS y, month(date) AS m, (year(date) - 1995) * 12 + month(date) AS mno, max(date) AS as_of
         FROM bars_sk GROUP BY year(date), month(date)"""),
     "active_months": (("bars_sk",), "SELECT DISTINCT sk, year(date) AS y, month(date) AS m FROM bars_sk"),
-    "index_member_asof": (("active_months", "months"), " UNION ALL ".join(
-        f"SELECT '{ix}' AS index_code, {_code(_symbol('sk'))} AS stock_code, as_of FROM active_months a "
-        f"JOIN months n ON n.y = a.y AND n.m = a.m WHERE mno % {step} = 0 AND (sk * {k + 3} + mno % 7) % 5 < 2"
-        for k, (ix, step) in enumerate(INDEX_STEP.items()))),
+    "index_member_asof": (("active_months", "months"), f"""
+        SELECT v.index_code, {_code(_symbol('sk'))} AS stock_code, as_of
+        FROM active_months a JOIN months n ON n.y = a.y AND n.m = a.m
+        JOIN (SELECT * FROM (VALUES {", ".join(f"('{ix}', {step}, {k + 3})" for k, (ix, step) in enumerate(INDEX_STEP.items()))})
+              AS t(index_code, step, k)) v ON mno % v.step = 0 AND (sk * v.k + mno % 7) % 5 < 2"""),
     "dividend": (("filings",), f"""
         SELECT code, report_date, bonus_type, plan_progress, CAST(bonus_amount_rmb AS DOUBLE) AS bonus_amount_rmb,
                CAST(bonus_ratio_rmb AS DOUBLE) AS bonus_ratio_rmb, board_plan_pub_date, shareholders_plan_pub_date,

@@ -30,10 +30,20 @@ UNITS = {
 GROUPS = ("ma", "pos", "dist", "turn", "vol", "osc", "lev", "ttm", "val", "cfq")
 
 
+# Frames up to this length are evaluated directly; longer sums come from differences of running totals,
+# because Spark re-reads a sliding frame for every row (cost n per row against 1).
+DIRECT_FRAME = 26
+
+
 @dataclass
 class Ctx:
-    """Rolling operators on the derived columns, each computed once."""
+    """Rolling operators on the derived columns, each computed once.
 
+    ``running`` holds totals from the first bar, ``windows`` everything that reads a frame or a lag of them.
+    Window length is counted in rows; a NULL inside a window makes the result NULL.
+    """
+
+    running: dict[str, Column] = field(default_factory=dict)
     windows: dict[str, Column] = field(default_factory=dict)
 
     def _memo(self, op: str, col: str, n: int, make: Callable[[Column], Column]) -> Column:
@@ -42,17 +52,32 @@ class Ctx:
             self.windows[name] = make(F.col(col))
         return F.col(name)
 
+    def _total(self, op: str, col: str, n: int, make: Callable[[Column], Column]) -> Column:
+        """Sum of ``make(col)`` over the last n rows as a difference of running totals."""
+        run = f"__run_{op}_{col}"
+        if run not in self.running:
+            self.running[run] = F.sum(make(F.col(col))).over(ROLL.upto())
+        lagged = self._memo(f"lagrun_{op}", col, n, lambda _x: F.lag(run, n).over(ROLL.base()))
+        return F.coalesce(F.col(run), F.lit(0)) - F.coalesce(lagged, F.lit(0))
+
+    def _count(self, col: str, n: int) -> Column:
+        return self._total("count", col, n, lambda x: F.when(x.isNotNull(), 1).otherwise(0))
+
+    def _power(self, col: str, n: int, k: int) -> Column:
+        return self._total(f"p{k}", col, n, lambda x: F.pow(x, k) if k > 1 else x)
+
     def _full(self, op: str, col: str, n: int, fn) -> Column:
-        """Aggregate of a full window; the count of non-NULL values is shared by all operators."""
-        count = self._memo("count", col, n, lambda x: F.count(x).over(ROLL.last(n)))
+        """Aggregate of a full window read directly from its frame."""
         value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
-        return F.when(count == n, value)
-
-    def ma(self, col: str, n: int) -> Column:
-        return self._full("avg", col, n, F.avg)
+        return F.when(self._count(col, n) == n, value)
 
     def rsum(self, col: str, n: int) -> Column:
-        return self._full("sum", col, n, F.sum)
+        if n <= DIRECT_FRAME:
+            return self._full("sum", col, n, F.sum)
+        return F.when(self._count(col, n) == n, self._power(col, n, 1))
+
+    def ma(self, col: str, n: int) -> Column:
+        return self.rsum(col, n) / n
 
     def rmax(self, col: str, n: int) -> Column:
         return self._full("max", col, n, F.max)
@@ -66,25 +91,43 @@ class Ctx:
     def stdp(self, col: str, n: int) -> Column:
         return self._full("stdp", col, n, F.stddev_pop)
 
+    def _flat(self, col: str, n: int) -> Column:
+        """Is the window constant?  Exact: no value differs from its predecessor on the last n-1 rows."""
+        changed = self._total("chg", col, n - 1, lambda x: F.when(x.eqNullSafe(F.col(f"{col}_prev")), 0).otherwise(1))
+        return changed == 0
+
+    def _moments(self, col: str, n: int) -> tuple[Column, Column, Column, Column]:
+        """Mean and central moments from power totals.  Meant for returns, whose mean is near 0."""
+        s1, s2, s3, s4 = [self._power(col, n, k) / n for k in (1, 2, 3, 4)]
+        m2 = F.greatest(s2 - s1 * s1, F.lit(0.0))
+        m3 = s3 - 3 * s1 * s2 + 2 * s1 * s1 * s1
+        m4 = s4 - 4 * s1 * s3 + 6 * s1 * s1 * s2 - 3 * s1 * s1 * s1 * s1
+        return s1, m2, m3, m4
+
     def var(self, col: str, n: int) -> Column:
-        return self._full("var", col, n, F.var_samp)
+        if n <= DIRECT_FRAME:
+            return self._full("var", col, n, F.var_samp)
+        _, m2, _, _ = self._moments(col, n)
+        return F.when(self._count(col, n) == n, F.when(self._flat(col, n), F.lit(0.0)).otherwise(m2 * n / (n - 1)))
 
     def skew(self, col: str, n: int) -> Column:
-        flat = self.rmin(col, n) == self.rmax(col, n)
-        g1 = self._full("skew", col, n, F.skewness)
-        return F.when(flat, F.lit(0.0)).otherwise(g1 * ((n * (n - 1)) ** 0.5 / (n - 2)))
+        _, m2, m3, _ = self._moments(col, n)
+        g1 = m3 / F.pow(m2, 1.5) * ((n * (n - 1)) ** 0.5 / (n - 2))
+        body = F.when(self._flat(col, n) | (m2 == 0), F.lit(0.0)).otherwise(g1)
+        return F.when(self._count(col, n) == n, body)
 
     def kurt(self, col: str, n: int) -> Column:
-        flat = self.rmin(col, n) == self.rmax(col, n)
-        g2 = self._full("kurt", col, n, F.kurtosis)
-        return F.when(flat, F.lit(-3.0)).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+        _, m2, _, m4 = self._moments(col, n)
+        g2 = m4 / (m2 * m2) - 3
+        body = F.when(self._flat(col, n) | (m2 == 0), F.lit(-3.0)).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+        return F.when(self._count(col, n) == n, body)
 
     def shift(self, col: str, k: int) -> Column:
         return self._memo("lag", col, k, lambda x: F.lag(x, k).over(ROLL.base()))
 
     def cumsum(self, col: str) -> Column:
-        run = self._memo("cum", col, 0, lambda x: F.sum(x).over(ROLL.upto()))
-        return F.when(F.col(col).isNotNull(), run)
+        self.running[f"__run_p1_{col}"] = F.sum(F.col(col)).over(ROLL.upto())
+        return F.when(F.col(col).isNotNull(), F.col(f"__run_p1_{col}"))
 
     def slope(self, col: str, n: int) -> Column:
         return self._full("slope", col, n, lambda x: F.regr_slope(x, F.col("ord")))
@@ -159,7 +202,7 @@ def daily_terms(df: DataFrame) -> DataFrame:
         "ord": F.row_number().over(w),
         "R": safe_div(c("C"), F.lag("C").over(w)) - 1,
         "TP1": F.lag("TP").over(w),
-    })
+    }).withColumn("R_prev", F.lag("R").over(w))
 
     def positive(x: Column) -> Column:  # NULL stays NULL
         return F.when(x > 0, x).when(x <= 0, F.lit(0.0))
@@ -392,11 +435,21 @@ def check_ids(specs: Sequence[Spec]) -> None:
 check_ids(ALL)
 
 
+def by_code(df: DataFrame) -> DataFrame:
+    """The one exchange of the factor job.
+
+    The partition number is given, so adaptive execution does not merge partitions by their (small) size:
+    this stage is bound by computation, not by bytes.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "jq_code")
+
+
 def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] = tuple(ALL), dtype: str | None = "float") -> DataFrame:
     """(jq_code, date, one column per factor).  ``statements`` is the output of ``statement_layer``."""
     check_ids(specs)
     groups = {s.group for s in specs}
-    df = derived(panel)
+    df = by_code(derived(panel))
     if any(s.id in RECURSIVE for s in specs):
         df = apply_smoothers(df, "jq_code", "date", SMOOTHERS, df.columns)
     df = daily_terms(df)
@@ -408,7 +461,7 @@ def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence
     columns = [s.calc(ctx) for s in specs]
     # NaN-free and cast last, so the stored width does not enter any window
     typed = [(x.cast(dtype) if dtype else x).alias(s.id) for s, x in zip(specs, columns)]
-    return df.withColumns(ctx.windows).select("jq_code", "date", *typed)
+    return df.withColumns(ctx.running).withColumns(ctx.windows).select("jq_code", "date", *typed)
 
 
 def try_factor(panel: DataFrame, name: str, calc: Callable[[Ctx], Column]) -> DataFrame:

@@ -12,13 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 RANGES = 32
 
 
 def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
     """(by..., value, n, below): how often each value occurs and how many rows of its group lie below it."""
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    # the counts are read three times below, so they are written once
+    counts = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")))
     probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = counts.groupBy(*by).agg(F.percentile_approx(value, probs, F.lit(10 * ranges)).alias("__cuts"))
     # the cut table has one row per group; a single group is one row
@@ -81,7 +84,7 @@ def keep_fraction(df: DataFrame, by: Sequence[str], value: str, tie: str, fracti
     """
     by = list(by)
     key = "__sort"
-    rows = df.where(F.col(value).isNotNull()).withColumn(key, -F.col(value) if largest else F.col(value))
+    rows = cut_lineage(df.where(F.col(value).isNotNull()).withColumn(key, -F.col(value) if largest else F.col(value)))
     acc = cumulative_counts(rows, by, key)
     totals = acc.groupBy(*by).agg(F.floor(F.sum("n") * F.lit(fraction)).alias("__k"))
     acc = acc.join(totals, by)

@@ -76,10 +76,13 @@ def native_indicators(bars: DataFrame) -> DataFrame:
     def cci(n: int) -> Column:
         return safe_div(c("tp") - ROLL.ma(c("tp"), n), 0.015 * c(f"__mad{n}"))
 
+    def abs_dev(n: int) -> Column:
+        mean = c(f"__m{n}")
+        total = F.aggregate(f"__l{n}", F.lit(0.0), lambda acc, v: acc + F.abs(v - mean))
+        return F.when(mean.isNotNull(), total / n)
+
     df = df.withColumns({f"__m{n}": ROLL.ma(c("tp"), n) for n in (10, 20)} | {f"__l{n}": ROLL.frame(c("tp"), n) for n in (10, 20)})
-    df = df.withColumns({
-        f"__mad{n}": F.when(c(f"__m{n}").isNotNull(), F.aggregate(f"__l{n}", F.lit(0.0), lambda a, v, n=n: a + F.abs(v - c(f"__m{n}"))) / n) for n in (10, 20)
-    })
+    df = df.withColumns({f"__mad{n}": abs_dev(n) for n in (10, 20)})
     hi, lo = F.max("high").over(ROLL.last(9)), F.min("low").over(ROLL.last(9))
     df = df.withColumns({
         **{f"ind_ma{n}": _long_mean("close", n) for n in MA_DAYS},

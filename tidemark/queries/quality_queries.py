@@ -226,12 +226,12 @@ IND = {
 
 
 @query("indicators_native", ["o_ind1"], f"""
-    SELECT symbol, date, {", ".join(f"round({x}, 4) AS {x}" for x in IND)}, round(CASE WHEN count(dx) OVER {_w(14)} = 14 THEN avg(dx) OVER {_w(14)} END, 4) AS ind_adx, round(ind_high20 - 3 * ind_atr, 4) AS ind_trailing_stop
+    SELECT symbol, date, {", ".join(f"round({x}, {6 if x == 'ind_vwap' else 4}) AS {x}" for x in IND)}, round(CASE WHEN count(dx) OVER {_w(14)} = 14 THEN avg(dx) OVER {_w(14)} END, 4) AS ind_adx, round(ind_high20 - 3 * ind_atr, 4) AS ind_trailing_stop
     FROM (SELECT *, abs(ind_pdi - ind_mdi) / nullif(ind_pdi + ind_mdi, 0) * 100 AS dx FROM (SELECT symbol, date, {", ".join(f"{e} AS {x}" for x, e in IND.items())} FROM o_ind1))""")
 def q_indicators(r):
     df = indicators.native_indicators(r("bars"))
     cols = [x for x in df.columns if x.startswith("ind_")]
-    return df.select("symbol", "date", *[rnd(x, 4).alias(x) for x in cols])
+    return df.select("symbol", "date", *[rnd(x, 6 if x == "ind_vwap" else 4).alias(x) for x in cols])
 
 
 @query("indicators_recursive")

@@ -76,7 +76,7 @@ def _statement(fields: list[str], salt: int, miss: int) -> str:
     again = (
         f"SELECT code, report_date, pub_date + {_i(str(30))} AS pub_date, "
         + ", ".join(f"{f} + 1 AS {f}" for f in fields)
-        + " FROM first_filing WHERE substr(code, 4, 1) = '3'"
+        + " FROM first_filing WHERE substr(code, 6, 1) = '3'"
     )
     return f"WITH first_filing AS ({first}) SELECT * FROM first_filing UNION ALL {again}"
 

@@ -48,7 +48,7 @@ def _period(ts: Column, bucket: str | None) -> Column | None:
 def _right_rows(side: Side, on: Sequence[str], i: int) -> DataFrame:
     def carried(cols: dict[str, str]) -> Column:
         packed = F.struct(*[F.col(src).alias(out) for out, src in cols.items()])
-        return F.when(F.col(next(iter(cols.values()))).isNotNull(), packed) if side.per_column else packed
+        return F.col(next(iter(cols.values()))) if side.per_column else packed
 
     return side.df.where(F.col(side.ts).isNotNull()).select(
         *[F.col(side.key.get(k, k)).alias(k) for k in on],
@@ -82,9 +82,16 @@ def asof_join_many(
     *,
     left_unique: bool = False,
     bucket: str | None = None,
+    previous: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Left as-of join of several right tables in one exchange.  All left rows and columns are kept."""
-    on = list(on)
+    """Left as-of join of several right tables in one exchange.  All left rows and columns are kept.
+
+    ``previous`` (output name -> left column) adds values of the previous left row of the key from the same
+    sorted pass; it needs a unique left side and no ``bucket``.
+    """
+    on, previous = list(on), previous or {}
+    if previous and (bucket is not None or not left_unique):
+        raise ValueError("previous needs left_unique=True and no bucket")
     if not left_unique:
         keys = left.select(*on, left_ts).where(F.col(left_ts).isNotNull()).distinct()
         matched = asof_join_many(keys, on, left_ts, sides, left_unique=True, bucket=bucket)
@@ -110,13 +117,19 @@ def asof_join_many(
     parts = [F.col(k) for k in on]
     if bucket is not None:
         parts.append(_period(F.col(_TS), bucket))
-    w = Window.partitionBy(*parts).orderBy(F.col(_TS).asc_nulls_first(), _SIDE).rowsBetween(Window.unboundedPreceding, 0)
-    seen = tagged.select(
-        *on, _LEFT, *[F.last(s, ignorenulls=True).over(w).alias(s) for s in slots]
-    ).where(F.col(_LEFT).isNotNull())
+    ordered = Window.partitionBy(*parts).orderBy(F.col(_TS).asc_nulls_first(), _SIDE)
+    w = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    carried = [F.last(s, ignorenulls=True).over(w).alias(s) for s in slots]
+    if previous:
+        earlier = F.when(F.col(_LEFT).isNotNull(), F.struct(*[F.col(_LEFT)[c].alias(o) for o, c in previous.items()]))
+        before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+        carried.append(F.last(earlier, ignorenulls=True).over(before).alias("__previous"))
+    seen = tagged.select(*on, _LEFT, *carried).where(F.col(_LEFT).isNotNull())
     out = [F.col(c) if c in on else F.col(f"{_LEFT}.{c}").alias(c) for c in left.columns]
+    out += [F.col(f"__previous.{o}").alias(o) for o in previous]
+    whole = {slot for i, side in enumerate(sides) if not side.per_column for slot in side.slots(i)}
     for slot, cols in slots.items():
-        out += [F.col(f"{slot}.{c}").alias(c) for c in cols]
+        out += [F.col(f"{slot}.{c}").alias(c) if slot in whole else F.col(slot).alias(c) for c in cols]
     return seen.select(*out)
 
 

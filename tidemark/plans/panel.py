@@ -1,8 +1,8 @@
 """The daily panel: one row per (date, code) with everything that was known on that day.
 
-One exchange on the code serves the previous close, the four as-of joins and, afterwards, every rolling
-factor.  Small dimensions are joined by code or by (code, date); the optimizer broadcasts them when they are
-small and shuffles them when they are not.
+Bars move twice: once by (symbol, date) to meet factors and basics, once by code for everything else.  That
+second pass sorts bars and all dimensions together and reads off, per bar, the previous close, the filings,
+indicators, share counts, status, name, industry and eight index memberships known that day.
 """
 
 from __future__ import annotations
@@ -83,21 +83,27 @@ def valuation_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def base_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame:
-    """Matched stock bars with adjusted close, daily return and repaired volume."""
-    df = matched_stocks(with_factor(bars, factor), codes).withColumn(
-        "close_hfq", round_half(F.col("close") * F.col("hfq_factor"), 2)
-    )
-    prev = JQ_DATE.shift(F.col("close_hfq"), 1)
+def priced_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame:
+    """Matched stock bars with adjusted close and repaired volume."""
     div = volume_divisor(F.col("low"), F.col("high"), F.col("volume"), F.col("amount"))
-    df = df.withColumns({"__prev": prev, "vol_div": div})
+    df = matched_stocks(with_factor(bars, factor), codes).withColumn("vol_div", div)
     return df.select(
         "date", "jq_code", "symbol", F.col("close").alias("close_bfq"), "open", "high", "low",
-        (F.col("volume") / F.col("vol_div")).alias("volume_shares"), "amount", "close_hfq", "hfq_factor",
-        F.when(F.col("__prev") > 0, F.col("close_hfq") / F.col("__prev") - 1).alias("ret_1d"), "vol_div",
+        (F.col("volume") / F.col("vol_div")).alias("volume_shares"), "amount",
+        round_half(F.col("close") * F.col("hfq_factor"), 2).alias("close_hfq"), "hfq_factor", "vol_div",
     )
 
 
+def daily_return(prev: Column) -> Column:
+    return F.when(prev > 0, F.col("close_hfq") / prev - 1)
+
+
+def base_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame:
+    """``priced_bars`` with the daily return."""
+    df = priced_bars(bars, factor, codes).withColumn("__prev", JQ_DATE.shift(F.col("close_hfq"), 1))
+    return df.withColumn("ret_1d", daily_return(F.col("__prev"))).drop("__prev")
+
+
 def membership_side(members: DataFrame, key: dict[str, str]) -> Side:
     """All eight indexes as one right table of the as-of pass.
 
@@ -155,7 +161,7 @@ INDUSTRY_COLS = (
 
 
 def panel_daily(x: PanelInputs) -> DataFrame:
-    px = base_bars(x.bars, x.factor, x.codes)
+    px = priced_bars(x.bars, x.factor, x.codes)
     basic = x.basic.select(
         "symbol", "date", "preclose", "change_pct", "amplitude", "turnover",
         F.col("floatmv").alias("__floatmv"), F.col("totalmv").alias("__totalmv"),
@@ -179,7 +185,7 @@ def panel_daily(x: PanelInputs) -> DataFrame:
         Side(x.industries, "valid_from", {**{c: c for c in INDUSTRY_COLS}, "__industry_to": "valid_to"}, key),
         membership_side(x.members, key),
     ]
-    df = asof_join_many(px, ["jq_code"], "date", sides, left_unique=True)
+    df = asof_join_many(px, ["jq_code"], "date", sides, left_unique=True, previous={"__prev_hfq": "close_hfq"})
 
     df = df.withColumns({
         "sec_name": F.when(_still_valid("__name_to"), F.col("sec_name")),
@@ -191,6 +197,7 @@ def panel_daily(x: PanelInputs) -> DataFrame:
     status, name = F.col("public_status"), F.col("sec_name")
     risky = status.isin(*ST, DELISTING)
     df = df.withColumns({
+        "ret_1d": daily_return(F.col("__prev_hfq")),
         "floatmv": F.coalesce(F.col("__float_sh") * F.col("close_bfq"), null_if(F.col("__floatmv"), 0.0)),
         "floatmv_tdx": null_if(F.col("__floatmv"), 0.0),
         "totalmv": null_if(F.col("__totalmv"), 0.0),

@@ -53,7 +53,7 @@ def native_indicators(bars: DataFrame) -> DataFrame:
         "mdm": F.when(dn_move > up_move, F.greatest(dn_move, F.lit(0.0))).otherwise(0.0),
         "flow": F.coalesce(F.signum(delta) * c("volume"), F.lit(0.0)),
         "__sum_close": F.sum("close").over(upto), "ind_obv": F.sum(F.coalesce(F.signum(delta) * c("volume"), F.lit(0.0))).over(upto),
-        "ind_vwap": safe_div(F.sum(c("tp") * c("volume")).over(upto), F.sum(c("volume").cast("double")).over(upto)),
+        "ind_vwap": safe_div(F.sum((c("high") + c("low") + c("close")) * c("volume")).over(upto) / 3.0, F.sum(c("volume").cast("double")).over(upto)),
     })
     ma20, sd20 = ROLL.ma(c("close"), 20), ROLL.std(c("close"), 20)
 

@@ -214,7 +214,7 @@ _UP = "OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING)"
 IND = {
     **{f"ind_ma{n}": _m("close", n) for n in indicators.MA_DAYS}, **{f"ind_rsi{n}": _rsi(n) for n in (6, 14, 24)},
     "ind_boll_mid": _m("close", 20), "ind_boll_up": f"{_m('close', 20)} + 2 * {_m('close', 20, 'stddev_samp')}", "ind_boll_dn": f"{_m('close', 20)} - 2 * {_m('close', 20, 'stddev_samp')}",
-    "ind_atr": _m("tr", 14), "ind_obv": f"sum(coalesce(sign(close - pc) * volume, 0)) {_UP}", "ind_vwap": f"sum(tp * volume) {_UP} / sum(volume) {_UP}",
+    "ind_atr": _m("tr", 14), "ind_obv": f"sum(coalesce(sign(close - pc) * volume, 0)) {_UP}", "ind_vwap": f"(sum((high + low + close) * volume) {_UP}) / 3.0::DOUBLE / (sum(volume) {_UP})",
     **{f"ind_cci{n}": f"(tp - {_m('tp', n)}) / nullif(0.015 * list_avg(list_transform(list(tp) OVER {_w(n)}, lambda v: abs(v - {_m('tp', n)}))), 0)" for n in (10, 20)},
     "ind_roc12": _ret(12), "ind_wr": f"({_m('high', 14, 'max')} - close) / nullif({_m('high', 14, 'max')} - {_m('low', 14, 'min')}, 0) * -100",
     "ind_pdi": f"{_m('pdm', 14)} / nullif({_m('tr', 14)}, 0) * 100", "ind_mdi": f"{_m('mdm', 14)} / nullif({_m('tr', 14)}, 0) * 100",

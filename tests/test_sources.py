@@ -106,7 +106,9 @@ def test_snapshot_hash(spark):
 def test_vendor_shapes(spark):
     long = vendor.to_long({"a": spark.createDataFrame([(1,)], "v int"), "b": spark.createDataFrame([("z", 2)], "MARKET_CODE string, v int")})
     assert sorted((r.SRC_CODE or "", r.MARKET_CODE or "", r.v) for r in long.collect()) == [("", "z", 2), ("a", "", 1)]
-    df = spark.createDataFrame([(1, 5.0, "ten thousand"), (2, 5.0, "share")], "STATEMENT_TYPE int, q double, unit string")
-    assert vendor.one_statement_type(df).count() == 1 and vendor.extra_columns(df, {"q": "float"}) == ["STATEMENT_TYPE", "unit"]
-    assert sorted(r.q for r in vendor.in_shares(df, "q", "unit").collect()) == [5.0, 50000.0]
+    df = spark.createDataFrame([("1", 10, 5.0, 50000.0), ("5", 20, 5.0, 25000.0)], "STATEMENT_TYPE string, HOLDER_TYPE int, TOTAL_HOLDING_SHR double, FRO_SHARES double")
+    assert vendor.one_statement_type(df).count() == 1 and vendor.one_statement_type(df, "before correction").first().HOLDER_TYPE == 20
+    assert vendor.holders(df).first().STATEMENT_TYPE == "1"
+    assert vendor.extra_columns(df, {"FRO_SHARES": "float"}) == ["STATEMENT_TYPE", "HOLDER_TYPE", "TOTAL_HOLDING_SHR"]
+    assert sorted(r.FRO_SHARES / r.TOTAL_HOLDING_SHR for r in vendor.in_shares(df).collect()) == [0.5, 1.0]
     assert sinks.empty_table(spark, "a string, d date").dtypes == [("a", "string"), ("d", "date")]

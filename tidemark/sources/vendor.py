@@ -5,15 +5,18 @@ The declared schema is a parameter: ``{table: {column: declared type}}`` as the
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Columns that already name the security, statement types, holder types, and vendor type names.
-CODE_COLUMNS = ("MARKET_CODE", "SECURITY_CODE", "INDEX_CODE", "CON_CODE", "FUND_CODE")
-STATEMENT_TYPES = {"consolidated": 1, "single quarter": 2, "before correction": 4}
-TEN_THOUSAND_SHARES = 10_000.0
+# Columns that already name the security, statement and holder type codes, and the columns
+# stated in ten thousands of shares while their neighbours are in shares.
+CODE_COLUMNS = ("MARKET_CODE", "code", "CON_CODE", "INDEX_CODE", "OLD_CODE", "ETF_CODE")
+STATEMENT_TYPES = {"consolidated": 1, "single quarter": 2, "adjusted": 4, "before correction": 5}
+HOLDER_TYPES = {"top ten": 10, "top ten of float": 20}
+TEN_THOUSAND_SHARE_COLUMNS = ("TOTAL_HOLDING_SHR",)
+TEN_THOUSAND = 10_000.0
 
 
 def spark_type(declared: str) -> str:
@@ -58,14 +61,14 @@ def conform_tables(tables: Mapping[str, DataFrame], schemas: Mapping[str, Mappin
 
 def one_statement_type(df: DataFrame, kind: str = "consolidated", column: str = "STATEMENT_TYPE") -> DataFrame:
     """Pick one kind of statement before any join; kinds mixed in one key would multiply rows."""
-    return df.where(F.col(column) == STATEMENT_TYPES[kind])
+    return df.where(F.col(column).cast("int") == STATEMENT_TYPES[kind])
 
 
-def holders(df: DataFrame, kind: int, column: str = "HOLDER_TYPE") -> DataFrame:
-    return df.where(F.col(column) == kind)
+def holders(df: DataFrame, kind: str = "top ten", column: str = "HOLDER_TYPE") -> DataFrame:
+    """One of the two holder lists that share a table."""
+    return df.where(F.col(column).cast("int") == HOLDER_TYPES[kind])
 
 
-def in_shares(df: DataFrame, column: str, unit: str) -> DataFrame:
-    """Quantities stated per unit column (``share`` or ``ten thousand``) as shares."""
-    x = F.col(column)
-    return df.withColumn(column, F.when(F.col(unit) == "ten thousand", x * TEN_THOUSAND_SHARES).otherwise(x))
+def in_shares(df: DataFrame, columns: Sequence[str] = TEN_THOUSAND_SHARE_COLUMNS) -> DataFrame:
+    """Bring the columns stated in ten thousands to shares, so ratios of two columns make sense."""
+    return df.select(*[(F.col(c) * TEN_THOUSAND).alias(c) if c in columns else F.col(c) for c in df.columns])

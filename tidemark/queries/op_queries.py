@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from tidemark.plans import fundamentals as fu
 from tidemark.queries.registry import query, rnd
 from tidemark.queries.standin import _code, _symbol
 from tidemark.sources import merge, sinks, snapshots, text, vendor
+from tidemark.session import shared_folder
 from tidemark.streaming import jobs
 
 
@@ -321,11 +322,8 @@ def q_conform(r):
 
 # --- streams ---------------------------------------------------------------------------------------------------
 def _work_folder(r) -> str:
-    """A new folder below the shared checkpoint folder of the session (a temporary one only in tests)."""
-    import uuid
-
-    base = r.spark.conf.get("spark.checkpoint.dir", None) or r.spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base}/tidemark-stream-{uuid.uuid4().hex}"
+    """A new folder below the shared folder of the session."""
+    return f"{shared_folder(r.spark)}/tidemark-stream-{uuid.uuid4().hex}"
 
 
 @query("stream_bars", ["events"], """

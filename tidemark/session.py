@@ -24,19 +24,25 @@ def local_session(cpus: int | str = 8, app: str = "tidemark") -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach: ``spark.checkpoint.dir``, or the checkpoint folder already set.
 
-    ``spark.checkpoint.dir`` is honoured when it is set; only a local master (tests) falls back to a
-    temporary folder, because a machine-local folder would be lost with its executor.
+    Only a local master (tests) falls back to a temporary folder, because a machine-local folder would be
+    lost with its executor.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            shared = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-        sc.setCheckpointDir(shared)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        named = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        sc.setCheckpointDir(named)
+    return named
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

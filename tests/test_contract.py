@@ -12,4 +12,5 @@ def test_entry_runs(spark):
 def test_registry():
     assert set(ORACLE) <= set(QUERIES) and len(QUERIES) > 100
     assert not [q for q in QUERIES if re.fullmatch(r"op\d+_.*", q)]
-    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
+    assert set(entry.queries()) == set(QUERIES) | set(entry.LLM_QUERIES)
+    assert set(entry.oracle_sql()) == set(ORACLE) | set(entry.LLM_ORACLE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash
+from tidemark.llm import minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op9_minhash_neardup")
 def minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

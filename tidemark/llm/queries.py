@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, suffix
+from tidemark.llm import lines, minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,8 @@ def minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op10_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(table(spark, sf_dir, "documents"))

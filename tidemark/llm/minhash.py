@@ -14,6 +14,9 @@ from tidemark.llm.common import U64, Prefix, blocks, components, mix, stored, ut
 #: Fixed value: bytes that part words (space, tab, line feed, vertical tab, form feed, carriage return).
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
+#: Bins of the parity sketch.
+PARITY = 1024
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
@@ -104,7 +107,7 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the whole sets, for documents that have a candidate."""
+    """(doc_id, shingles, parity): the whole sets and, by bits, which of their bins hold an odd number of shingles."""
 
     def run(batches):
         for batch in batches:
@@ -114,9 +117,11 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                 sets = list(shingle_sets(data, offsets, words))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 body = pa.ListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, U64)]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), body], ["doc_id", "shingles"])
+                odd = [np.packbits(np.bincount((s & U64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).view(np.int64) for s in sets]
+                odd = pa.ListArray.from_arrays(np.arange(0, len(sets) * PARITY // 64 + 1, PARITY // 64).astype(np.int32), np.concatenate([*odd, np.zeros(0, np.int64)]))
+                yield pa.RecordBatch.from_arrays([part.column(0), body, odd], ["doc_id", "shingles", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>, parity array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -128,12 +133,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _mixed(rest: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    several = rest.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    return rest.join(several, "key", "left_semi")
+
+
+def _across(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in a bucket (key, node, n, root, parity) that can reach ``percent``.
+
+    Bins that hold an odd number of one set's shingles and an even number of the other's hold one at least that is in one set
+    only, which bounds what the two have in common from above.
+    """
+    one = rest.select("key", F.struct("node", "n", "root", "parity").alias("x"))
+    two = one.withColumnRenamed("x", "y")
+    apart = sum((F.bit_count(F.col("x.parity")[i].bitwiseXOR(F.col("y.parity")[i])) for i in range(1, PARITY // 64)), F.bit_count(F.col("x.parity")[0].bitwiseXOR(F.col("y.parity")[0])))
+    total = F.col("x.n") + F.col("y.n")
+    most = F.least("x.n", "y.n", F.shiftright(total - apart, 1))
+    can = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (100 * most >= percent * (total - most))
+    return one.join(two, "key").where(can).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
     Equal sets are one node, so copies never meet as pairs. Within a band bucket all members are compared with its smallest
-    one; only members that are still in different components are then compared with each other. Every pair that shares a
-    bucket is therefore confirmed on full sets, in one component already, or too different in size.
+    one. Members still in different components are then compared with each other, unless a bound on what their sets have in
+    common rules a link out. Every pair that shares a bucket is therefore confirmed on full sets,
+    in one component already, or ruled out by a bound.
 
     Null or blank text: empty set, linked with nothing, kept. Rows with a null doc_id form no links: component_id is null
     and kept is true. Rows that repeat a doc_id share its component. Extra columns are ignored; an empty table gives no rows.
@@ -154,12 +181,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     links = stored(_confirmed(star, sets, percent))
     roots = components(links)
     rest = inside.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = rest.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    rest = stored(rest.join(mixed, "key", "left_semi"))
-    one = rest.select("key", F.col("node").alias("a"), F.col("n"), F.col("root").alias("ra"))
-    two = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
-    across = one.join(two, "key").where("a < b and ra <> rb").where(fits).select("a", "b").distinct()
-    late = _confirmed(across.join(star, ["a", "b"], "left_anti"), sets, percent)
+    rest = _mixed(rest).join(sets.select(F.col("doc_id").alias("node"), "parity"), "node")
+    late = _confirmed(_across(rest, percent).join(star, ["a", "b"], "left_anti"), sets, percent)
     roots = components(links.unionByName(late))
     owner = nodes.join(roots, "node", "left").select("set_a", "set_b", F.coalesce("root", "node").alias("root"))
     shown = named.select("doc_id", "n_shingles", "set_a", "set_b").join(owner, ["set_a", "set_b"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, minhash, suffix
+from tidemark.llm import decontaminate, lines, minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,8 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op1_decontaminate")
+def decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

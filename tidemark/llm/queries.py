@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, lines, minhash, suffix
+from tidemark.llm import decontaminate, langid, lines, minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,8 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_decontaminate")
 def decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))

@@ -19,7 +19,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import U64, Prefix, blocks, mix, stored, utf8
@@ -60,7 +61,7 @@ def anchors(body: np.ndarray, edges: np.ndarray, length: int, reach: int) -> tup
 
 
 def _ranked(docs: DataFrame, length: int, reach: int) -> DataFrame:
-    """(doc_id, tag, at, left, span, narrow, wide) for every anchor."""
+    """(doc_id, tag, spot, narrow, wide) for every anchor; spot packs its place, its distance to its first window and their number."""
 
     def run(batches):
         for batch in batches:
@@ -78,30 +79,30 @@ def _ranked(docs: DataFrame, length: int, reach: int) -> DataFrame:
                 row = np.searchsorted(edges, at, "right") - 1
                 of = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(of), batch.column(1).take(of), *(pa.array(x.astype(np.int32)) for x in (at - edges[row], at - first, last - first)), pa.array(narrow.view(np.int64)), pa.array(wide.view(np.int64))],
-                    ["doc_id", "tag", "at", "left", "span", "narrow", "wide"],
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(((at - edges[row]) << 32) | ((at - first) << 16) | (last - first)), pa.array(narrow.view(np.int64)), pa.array(wide.view(np.int64))],
+                    ["doc_id", "tag", "spot", "narrow", "wide"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, tag long, at int, left int, span int, narrow long, wide long")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, spot long, narrow long, wide long")
 
 
 def _windows(docs: DataFrame, spots: DataFrame, length: int) -> DataFrame:
     """(doc_id, tag, start, name): every window of the anchors in ``spots``, named by its anchor's rank and its own bytes."""
-    listed = spots.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "left", "span", "narrow")).alias("spots"))
+    listed = spots.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("spot", "narrow")).alias("spots"))
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 data, offsets = utf8(part.column(2))
-                lists = part.column(3)
+                lists = part.column(4)
                 of = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths()))
                 flat = lists.flatten()
-                spot, left, span, narrow = (np.asarray(flat.field(i)) for i in range(4))
-                count = span.astype(np.int64) + 1
+                packed, narrow = (np.asarray(flat.field(i)) for i in range(2))
+                spot, left, count = packed >> 32, (packed >> 16) & 0xFFFF, (packed & 0xFFFF) + 1
                 whose = np.repeat(np.arange(len(of)), count)
                 step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                start = (spot.astype(np.int64) - left)[whose] + step
+                start = (spot - left)[whose] + step
                 place = start + offsets[:-1][of][whose]
                 with np.errstate(over="ignore"):
                     name = mix(Prefix(data)(place, place + length) ^ mix(narrow[whose].view(U64) + (spot[whose] - start).astype(U64)))
@@ -112,19 +113,21 @@ def _windows(docs: DataFrame, spots: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
-    """(doc_id, tag, spans): runs [lo, hi) of bytes covered by a ``length``-byte string that also starts elsewhere."""
+    """(doc_id, tag, spans) of ``docs`` (doc_id, tag, text, known), no nulls: runs [lo, hi) of bytes covered by a ``length``-byte string that also starts elsewhere."""
     reach = max(1, min(2 * length // 5, length - GRAM + 1, 65_535))
     ranked = _ranked(docs, length, reach)
     again = ranked.groupBy("narrow").agg(F.count("*").alias("n")).where("n > 1").select("narrow")
     left = stored(ranked.join(again, "narrow", "left_semi"))
-    classes = stored(left.groupBy("narrow", "wide").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "at", "left", "span")).alias("spot")))
+    classes = stored(left.groupBy("narrow", "wide").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "spot")).alias("one")))
     settled = left.join(classes.where("n > 1").select("narrow", "wide"), ["narrow", "wide"], "left_semi")
-    runs = settled.select("doc_id", "tag", (F.col("at") - F.col("left")).alias("lo"), (F.col("at") - F.col("left") + F.col("span") + length).alias("hi"))
+    lo = F.shiftright("spot", 32) - F.shiftright("spot", 16).bitwiseAND(0xFFFF)
+    runs = settled.select("doc_id", "tag", lo.alias("lo"), (lo + F.col("spot").bitwiseAND(0xFFFF) + length).alias("hi"))
     several = classes.groupBy("narrow").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("narrow")
-    spots = classes.join(several, "narrow", "left_semi").select("spot.*", "narrow")
-    windows = stored(_windows(docs, spots, length))
-    same = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    edge = windows.join(same, "name", "left_semi").select("doc_id", "tag", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
+    spots = classes.join(several, "narrow", "left_semi").select("one.*", "narrow")
+    # each class sends one anchor, so a group here holds different texts only; large groups spill
+    same = F.count("*").over(Window.partitionBy("name"))
+    edge = _windows(docs, spots, length).withColumn("same", same).where("same > 1")
+    edge = edge.select("doc_id", "tag", F.col("start").cast("long").alias("lo"), (F.col("start") + length).cast("long").alias("hi"))
     return runs.unionByName(edge).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
@@ -135,11 +138,6 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(lo[new].tolist(), hi[np.append(new[1:], len(lo)) - 1].tolist(), strict=True))
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
-    return repeated_spans(base, length)
-
-
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256.
 
@@ -147,17 +145,17 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     it that also starts anywhere else. Repeated rows are documents of their own, so they remove each other; null ids are
     kept as such. Texts shorter than ``length`` stay whole; extra columns are ignored; an empty table gives no rows.
     """
-    spans = _with_spans(docs, length)
-    base = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("of"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = spans.select(F.col("doc_id").alias("of"), "tag", "spans")
-    both = base.join(spans, ["of", "tag"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"), F.col("doc_id").isNotNull().alias("known"))
+    # the texts are shuffled once: the windows and this join read the same exchange
+    both = base.join(repeated_spans(base, length), ["doc_id", "tag"], "left")
 
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                data, offsets = utf8(part.column(1))
-                lists = part.column(2)
+                data, offsets = utf8(part.column(2))
+                lists = part.column(4)
                 ends = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))])
                 flat = lists.flatten()
                 lo, hi = (np.asarray(flat.field(i)).astype(np.int64) for i in (0, 1))
@@ -172,6 +170,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
                     out["kept"].append(b"".join(stay))
                 kinds = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept": pa.binary()}
                 digest = pa.array([hashlib.sha256(x).hexdigest() for x in out["kept"]], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(v, kinds[k]) for k, v in out.items()), digest], ["doc_id", *out, "kept_sha256"])
+                ids = pc.if_else(part.column(3), part.column(0), None)
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, kinds[k]) for k, v in out.items()), digest], ["doc_id", *out, "kept_sha256"])
 
     return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, lines, minhash, suffix
+from tidemark.llm import decontaminate, hnsw, langid, lines, minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,8 @@ def decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op2_embedding_neardup")
+def embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.links(table(spark, sf_dir, "embeddings"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hnsw, langid, lines, minhash, suffix
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +53,33 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_embedding_neardup")
 def embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.links(table(spark, sf_dir, "embeddings"))
+
+
+#: Fixed value: the text of the conversation that is added to the table.
+HARD_TURN = "\\### Assistant: </turn> ok"
+
+
+@query(
+    "op4_chat_format",
+    r"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    written AS (
+      SELECT *, replace(replace(replace(text, '\', '\0'), '### ', '\1'), '</turn>', '\2') AS safe FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      sum(length('### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE '=' || role END
+                 || ': ' || safe || '</turn>' || chr(10)))::BIGINT AS formatted_chars,
+      regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn, role, text),
+                        's?(ua)+') AS valid
+    FROM written GROUP BY conv_id
+    """,
+)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TURN).alias("text"))
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.digest(given.unionByName(hard))

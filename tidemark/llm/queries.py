@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, suffix
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,28 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TURN).alias("text"))
     given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat.digest(given.unionByName(hard))
+
+
+@query(
+    "op3_mix_sources",
+    """
+    WITH RECURSIVE size AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source),
+    mean AS (
+      SELECT source, pow(size, 0.5) / sum(pow(size, 0.5)) OVER () * sum(size) OVER () * 1.0 / size AS mean FROM size WHERE size > 0),
+    part AS (SELECT source, greatest(1, ceil(mean / 256))::BIGINT AS parts, mean / greatest(1, ceil(mean / 256)) AS mean FROM mean),
+    sums AS (
+      SELECT source, parts, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM part
+      UNION ALL
+      SELECT source, parts, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM sums WHERE k < ceil(mean + 12 * sqrt(mean) + 24)),
+    lists AS (SELECT source, parts, list(c ORDER BY k) AS cs FROM sums GROUP BY source, parts),
+    drawn AS (
+      SELECT d.doc_id, d.source, d.text, list_sum(list_transform(range(1, parts + 1), lambda part: len(list_filter(cs, lambda c:
+               c < ('0x' || md5('0:copies:' || part || ':' || d.doc_id)[1:13])::BIGINT / 4503599627370496.0)))) AS n
+      FROM documents d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source),
+    copies AS (SELECT doc_id, source, text, unnest(range(1, n::BIGINT + 1)) AS copy FROM drawn WHERE n > 0)
+    SELECT doc_id, source, copy, ('0x' || md5('0:order:' || copy || ':' || doc_id)[1:15])::BIGINT AS shuffle_key, md5(coalesce(text, '')) AS text_md5 FROM copies
+    """,
+)
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))

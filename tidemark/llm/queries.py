@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, suffix
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, secrets, suffix
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,8 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "copy", "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+@query("op7_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))

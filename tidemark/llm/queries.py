@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, secrets, suffix
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, secrets, suffix, tokens
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,8 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_secret_scan")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_rollup")
+def token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.corpus_totals(table(spark, sf_dir, "documents"))

@@ -64,3 +64,12 @@ def test_one_exchange_for_many_sides(spark, d):
     df = asof_join_many(left.distinct(), ["k"], "t", [Side(right, "t", {f"v{i}": "v"}) for i in range(4)], left_unique=True)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("bucket", [None, "year"])
+def test_null_keys_match_nothing(spark, d, unique, bucket):
+    left = spark.createDataFrame([(None, d("2020-01-02"), 1), ("a", d("2020-01-02"), 2)], "k string, t date, v int")
+    right = spark.createDataFrame([(None, d("2020-01-01"), 9.0), ("a", d("2019-12-30"), 7.0)], "k string, s date, x double")
+    got = asof_join(left, right, ["k"], "t", "s", ["x"], left_unique=unique, bucket=bucket)
+    assert sorted((r.v, r.x) for r in got.collect()) == [(1, None), (2, 7.0)]

@@ -4,12 +4,15 @@ import datetime
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.recursive import smooth
+from tidemark.operators.dedupe import newest_report_per_day
 from tidemark.operators.ranking import average_ranks, exact_quantiles, keep_fraction, spearman
 from tidemark.plans import catalog, factors, indicators
+from tidemark.plans.beta import beta_daily
 
 IDS = [s.id for s in factors.PRICE_VOLUME]
 
@@ -175,3 +178,51 @@ def test_fraction_is_floored_not_ntiled(spark):
     df = spark.createDataFrame([(1, f"c{i}", float(i)) for i in range(7)] + [(2, f"c{i}", 1.0) for i in range(5)], "day int, code string, pb double")
     got = sorted((r.day, r.code) for r in keep_fraction(df, ["day"], "pb", "code", 0.5).collect())
     assert got == [(1, "c0"), (1, "c1"), (1, "c2"), (2, "c0"), (2, "c1")]
+
+
+def test_long_windows_forget_what_left_them(spark):
+    """One huge value and one NaN: windows that do not hold them any more are as if they had never been."""
+    rng = np.random.default_rng(3)
+    n = 5_000
+    r = rng.normal(0, 0.02, n)
+    x = r.copy()
+    x[100] = 2000.0
+    x[150] = np.nan
+    df = spark.createDataFrame(pd.DataFrame({"jq_code": "a", "date": pd.date_range("2000-01-01", periods=n).date, "X": x})).withColumn("X", F.when(~F.isnan("X"), F.col("X")))
+    ctx = factors.Ctx()
+    out = {f"{op}{k}": getattr(ctx, op)("X", k) for op in ("rsum", "var", "skew", "kurt") for k in (20, 60, 120)}
+    got = df.withColumns(ctx.running).withColumns(ctx.windows).select("date", *[v.alias(k) for k, v in out.items()]).orderBy("date").toPandas()
+    s = pd.Series(x)
+    for k in (20, 60, 120):
+        want = {"rsum": s.rolling(k).sum(), "var": s.rolling(k).var(), "skew": s.rolling(k).skew(), "kurt": s.rolling(k).kurt()}
+        clean = {"rsum": pd.Series(r).rolling(k).sum(), "var": pd.Series(r).rolling(k).var(), "skew": pd.Series(r).rolling(k).skew(), "kurt": pd.Series(r).rolling(k).kurt()}
+        for op in want:
+            mine = got[f"{op}{k}"].astype(float).to_numpy()
+            assert np.allclose(mine[150 + k :], clean[op].to_numpy()[150 + k :], rtol=1e-7, atol=1e-9)
+            assert np.isnan(mine[150 : 150 + k]).all() and np.isnan(mine[: k - 1]).all()
+            assert np.allclose(mine[k - 1 : 100], clean[op].to_numpy()[k - 1 : 100], rtol=1e-7, atol=1e-9)
+
+
+def test_beta_forgets_too(spark):
+    rng = np.random.default_rng(4)
+    n = 1_000
+    m, s = rng.normal(0, 0.01, n), rng.normal(0, 0.02, n)
+    dirty = s.copy()
+    dirty[50], dirty[60] = 2000.0, np.nan
+    days = pd.date_range("2000-01-01", periods=n).date
+    bench = spark.createDataFrame(pd.DataFrame({"date": days, "mret": m}))
+    one, two = (beta_daily(spark.createDataFrame(pd.DataFrame({"code": "a", "date": days, "sret": x})), bench).orderBy("date").toPandas() for x in (s, dirty))
+    for w in (60, 120, 252):
+        assert (one[f"beta_{w}"][60 + w :] == two[f"beta_{w}"][60 + w :]).all()
+
+
+def test_only_what_the_factors_read_is_planned(spark):
+    assert [x.out for x in factors.needed_smoothers({"trix5_3"})] == ["trix5_1", "trix5_2", "trix5_3"]
+    assert [x.out for x in factors.needed_smoothers({"macd_dea"})] == ["ema_c12", "ema_c26", "macd_dea"]
+    assert {"mass_1", "mass_2"} == {x.out for x in factors.needed_smoothers({"MASS_R"})} and factors.needed_smoothers({"C"}) == []
+
+
+def test_restated_report_stays_visible_until_the_next_one(spark, d):
+    rows = [("a", d("2019-03-31"), d("2019-09-01"), 1.0), ("a", d("2019-06-30"), d("2019-08-20"), 2.0), ("a", d("2019-09-30"), d("2019-10-20"), 3.0), ("a", d("2018-12-31"), d("2019-08-20"), 0.0)]
+    got = newest_report_per_day(spark.createDataFrame(rows, "code string, report_date date, pub_date date, v double"))
+    assert sorted(r.v for r in got.collect()) == [1.0, 2.0, 3.0]

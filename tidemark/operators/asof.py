@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,7 +51,8 @@ def _right_rows(side: Side, on: Sequence[str], i: int) -> DataFrame:
         packed = F.struct(*[F.col(src).alias(out) for out, src in cols.items()])
         return F.col(next(iter(cols.values()))) if side.per_column else packed
 
-    return side.df.where(F.col(side.ts).isNotNull()).select(
+    known = reduce(lambda a, b: a & b, [F.col(side.key.get(k, k)).isNotNull() for k in on], F.col(side.ts).isNotNull())
+    return side.df.where(known).select(  # a NULL key equals nothing
         *[F.col(side.key.get(k, k)).alias(k) for k in on],
         F.col(side.ts).alias(_TS),
         *[carried(cols).alias(slot) for slot, cols in side.slots(i).items()],

@@ -29,6 +29,11 @@ def keep_min(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     )
 
 
+def newest_report_per_day(df: DataFrame, code: str = "code", pub: str = "pub_date", report: str = "report_date") -> DataFrame:
+    """One row per (code, publication date), the newest period of the day; a restated old period counts from its own day."""
+    return keep_max(df.where(F.col(pub).isNotNull()), [code, pub], [report])
+
+
 def newest_report_asof(df: DataFrame, code: str = "code", pub: str = "pub_date", report: str = "report_date") -> DataFrame:
     """Right side of a filing as-of: unique on (code, pub_date), late restatements of old periods dropped.
 

@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-RANGES = 32
+LEAST_RANGES = 32
 
 
-def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
-    """(by..., value, n, below): how often each value occurs and how many rows of its group lie below it."""
+def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """(by..., value, n, below): how often each value occurs and how many rows of its group lie below it.
+
+    ``ranges`` is the number of tasks a group may use; by default as many as a shuffle has, 32 at least.
+    """
     by = list(by)
+    ranges = ranges or max(LEAST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # the counts are read three times below, so they are written once
     counts = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")))
     probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])

@@ -20,22 +20,14 @@ def benchmark_returns(index_bars: DataFrame, start: str | None = None) -> DataFr
 def beta_daily(stocks: DataFrame, bench: DataFrame, windows: dict[int, int] = WINDOWS) -> DataFrame:
     """Slope of stock on benchmark returns over the joined series.  ``stocks``: code, date, sret (present).
 
-    Covariance and variance over the frame come from differences of running totals, so the cost per row does
-    not depend on the window.  NULL below the minimum number of paired observations.
+    Each window reads its own frame and only pairs without NULL or NaN; NULL below the minimum number of pairs.
     """
-    df = stocks.join(F.broadcast(bench), "date")
-    both = F.col("sret").isNotNull() & F.col("mret").isNotNull()
-    base = Window.partitionBy("code").orderBy("date")
-    upto = base.rowsBetween(Window.unboundedPreceding, 0)
-    s, m = F.when(both, F.col("sret")), F.when(both, F.col("mret"))
-    terms = {"n": F.when(both, 1).otherwise(0), "x": m, "y": s, "xx": m * m, "xy": m * s}
-    df = df.withColumns({f"__{k}": F.coalesce(F.sum(v).over(upto), F.lit(0)) for k, v in terms.items()})
-    df = df.withColumns({
-        f"__{k}_{w}": F.col(f"__{k}") - F.coalesce(F.lag(f"__{k}", w).over(base), F.lit(0)) for w in windows for k in terms
-    })
+    df = stocks.join(bench, "date")
+    both = F.col("sret").isNotNull() & F.col("mret").isNotNull() & ~F.isnan("sret") & ~F.isnan("mret")
+    df = df.withColumns({"__s": F.when(both, F.col("sret")), "__m": F.when(both, F.col("mret"))})
     out = []
     for w, least in windows.items():
-        n, x, y, xx, xy = [F.col(f"__{k}_{w}") for k in ("n", "x", "y", "xx", "xy")]
-        slope = safe_div(n * xy - x * y, n * xx - x * x)
-        out.append(F.when(n >= least, round_half(slope, 6)).alias(f"beta_{w}"))
+        frame = Window.partitionBy("code").orderBy("date").rowsBetween(1 - w, 0)
+        slope = F.regr_slope("__s", "__m").over(frame)
+        out.append(F.when(F.count("__s").over(frame) >= least, round_half(slope, 6)).alias(f"beta_{w}"))
     return df.select("code", "date", *out)

@@ -10,11 +10,13 @@ from tidemark.plans.bars import fund_segment, unified_code
 
 DELISTED_AFTER_DAYS = 30
 NORMAL = "正常上市"  # fixed value
+# Columns of the stock panel that a fund has not; numbers, then index memberships.
 DOUBLE_BLANKS = (
-    "turnover floatmv totalmv pb pe_ttm ps_ttm roe_ttm peg np_ttm rev_ttm rev_yoy np_yoy np_q rev_q np_q_yoy rev_q_yoy "
-    "eps_q roe_q eps_basic roe_parent bps revenue net_profit_parent adjusted_profit_q"
-).split()
-INDEX_BLANKS = "in_hs300 in_zz500 in_zz1000 in_sz50 in_cyb in_kc50 in_zz800".split()
+    "turnover", "floatmv", "totalmv", "pb", "pe_ttm", "ps_ttm", "roe_ttm", "peg", "np_ttm", "rev_ttm", "rev_yoy", "np_yoy",
+    "np_q", "rev_q", "np_q_yoy", "rev_q_yoy", "eps_q", "roe_q", "eps_basic", "roe_parent", "bps", "revenue",
+    "net_profit_parent", "adjusted_profit_q",
+)
+INDEX_BLANKS = ("in_hs300", "in_zz500", "in_zz1000", "in_sz50", "in_cyb", "in_kc50", "in_zz800")
 
 
 def etf_universe(bars: DataFrame) -> DataFrame:

@@ -8,17 +8,18 @@ Arrow function), rolling windows, arithmetic.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.recursive import apply_smoothers, ema, wilder
+from tidemark.functions.recursive import Smooth, apply_smoothers, ema, wilder
 from tidemark.functions.scalars import log, null_if, safe_div, where, z
 from tidemark.functions.windows import Roll
 from tidemark.operators.asof import asof_join
-from tidemark.operators.dedupe import newest_report_asof
+from tidemark.operators.dedupe import newest_report_per_day
 
 ROLL = Roll("jq_code", "date")
 
@@ -30,17 +31,13 @@ UNITS = {
 GROUPS = ("ma", "pos", "dist", "turn", "vol", "osc", "lev", "ttm", "val", "cfq")
 
 
-# Frames up to this length are evaluated directly; longer sums come from differences of running totals,
-# because Spark re-reads a sliding frame for every row (cost n per row against 1).
-DIRECT_FRAME = 26
-
-
 @dataclass
 class Ctx:
     """Rolling operators on the derived columns, each computed once.
 
     ``running`` holds totals from the first bar, ``windows`` everything that reads a frame or a lag of them.
-    Window length is counted in rows; a NULL inside a window makes the result NULL.
+    Window length is counted in rows; a NULL inside a window makes the result NULL.  Every length reads its own frame, so no
+    value outside a window can touch its result.
     """
 
     running: dict[str, Column] = field(default_factory=dict)
@@ -52,19 +49,8 @@ class Ctx:
             self.windows[name] = make(F.col(col))
         return F.col(name)
 
-    def _total(self, op: str, col: str, n: int, make: Callable[[Column], Column]) -> Column:
-        """Sum of ``make(col)`` over the last n rows as a difference of running totals."""
-        run = f"__run_{op}_{col}"
-        if run not in self.running:
-            self.running[run] = F.sum(make(F.col(col))).over(ROLL.upto())
-        lagged = self._memo(f"lagrun_{op}", col, n, lambda _x: F.lag(run, n).over(ROLL.base()))
-        return F.coalesce(F.col(run), F.lit(0)) - F.coalesce(lagged, F.lit(0))
-
     def _count(self, col: str, n: int) -> Column:
-        return self._total("count", col, n, lambda x: F.when(x.isNotNull(), 1).otherwise(0))
-
-    def _power(self, col: str, n: int, k: int) -> Column:
-        return self._total(f"p{k}", col, n, lambda x: F.pow(x, k) if k > 1 else x)
+        return self._memo("count", col, n, lambda x: F.count(x).over(ROLL.last(n)))
 
     def _full(self, op: str, col: str, n: int, fn) -> Column:
         """Aggregate of a full window read directly from its frame."""
@@ -72,9 +58,7 @@ class Ctx:
         return F.when(self._count(col, n) == n, value)
 
     def rsum(self, col: str, n: int) -> Column:
-        if n <= DIRECT_FRAME:
-            return self._full("sum", col, n, F.sum)
-        return F.when(self._count(col, n) == n, self._power(col, n, 1))
+        return self._full("sum", col, n, F.sum)
 
     def ma(self, col: str, n: int) -> Column:
         return self.rsum(col, n) / n
@@ -91,36 +75,20 @@ class Ctx:
     def stdp(self, col: str, n: int) -> Column:
         return self._full("stdp", col, n, F.stddev_pop)
 
-    def _flat(self, col: str, n: int) -> Column:
-        """Is the window constant?  Exact: no value differs from its predecessor on the last n-1 rows."""
-        changed = self._total("chg", col, n - 1, lambda x: F.when(x.eqNullSafe(F.col(f"{col}_prev")), 0).otherwise(1))
-        return changed == 0
-
-    def _moments(self, col: str, n: int) -> tuple[Column, Column, Column, Column]:
-        """Mean and central moments from power totals.  Meant for returns, whose mean is near 0."""
-        s1, s2, s3, s4 = [self._power(col, n, k) / n for k in (1, 2, 3, 4)]
-        m2 = F.greatest(s2 - s1 * s1, F.lit(0.0))
-        m3 = s3 - 3 * s1 * s2 + 2 * s1 * s1 * s1
-        m4 = s4 - 4 * s1 * s3 + 6 * s1 * s1 * s2 - 3 * s1 * s1 * s1 * s1
-        return s1, m2, m3, m4
+    def _unless_flat(self, op: str, col: str, n: int, fn, flat: float, scale: Callable[[Column], Column]) -> Column:
+        """A moment of a full window; a constant window gives ``flat``."""
+        value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
+        same = self.rmin(col, n) == self.rmax(col, n)
+        return F.when(same, F.lit(flat)).when(self._count(col, n) == n, F.coalesce(scale(value), F.lit(flat)))
 
     def var(self, col: str, n: int) -> Column:
-        if n <= DIRECT_FRAME:
-            return self._full("var", col, n, F.var_samp)
-        _, m2, _, _ = self._moments(col, n)
-        return F.when(self._count(col, n) == n, F.when(self._flat(col, n), F.lit(0.0)).otherwise(m2 * n / (n - 1)))
+        return self._unless_flat("var", col, n, F.var_samp, 0.0, lambda v: v)
 
     def skew(self, col: str, n: int) -> Column:
-        _, m2, m3, _ = self._moments(col, n)
-        g1 = m3 / F.pow(m2, 1.5) * ((n * (n - 1)) ** 0.5 / (n - 2))
-        body = F.when(self._flat(col, n) | (m2 == 0), F.lit(0.0)).otherwise(g1)
-        return F.when(self._count(col, n) == n, body)
+        return self._unless_flat("skew", col, n, F.skewness, 0.0, lambda g1: g1 * ((n * (n - 1)) ** 0.5 / (n - 2)))
 
     def kurt(self, col: str, n: int) -> Column:
-        _, m2, _, m4 = self._moments(col, n)
-        g2 = m4 / (m2 * m2) - 3
-        body = F.when(self._flat(col, n) | (m2 == 0), F.lit(-3.0)).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
-        return F.when(self._count(col, n) == n, body)
+        return self._unless_flat("kurt", col, n, F.kurtosis, -3.0, lambda g2: (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
     def shift(self, col: str, k: int) -> Column:
         return self._memo("lag", col, k, lambda x: F.lag(x, k).over(ROLL.base()))
@@ -192,6 +160,8 @@ def derived(panel: DataFrame) -> DataFrame:
     tr = F.when(
         c("PC").isNotNull(), F.greatest(c("H") - c("L"), F.abs(c("H") - c("PC")), F.abs(c("L") - c("PC")))
     )
+    # NaN is a missing value from here on
+    base = base.withColumns({k: F.when(~F.isnan(k), c(k)) for k, kind in base.dtypes if kind in ("double", "float")})
     return base.withColumns({"TP": (c("H") + c("L") + c("C")) / 3.0, "TR": tr, "HL": c("H") - c("L")})
 
 
@@ -445,21 +415,36 @@ def by_code(df: DataFrame) -> DataFrame:
     return df.repartition(n, "jq_code")
 
 
+def needed_smoothers(read: set[str]) -> list[Smooth]:
+    """The smoothers among the names ``read``, and those that they are made of, in evaluation order."""
+    wanted = read | ({"mass_1", "mass_2"} if "MASS_R" in read else set())
+    out: list[Smooth] = []
+    for s in reversed(SMOOTHERS):
+        if s.out in wanted:
+            out.append(s)
+            wanted |= {s.src} if isinstance(s.src, str) else set(s.src)
+    return out[::-1]
+
+
 def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] = tuple(ALL), dtype: str | None = "float") -> DataFrame:
     """(jq_code, date, one column per factor).  ``statements`` is the output of ``statement_layer``."""
     check_ids(specs)
-    groups = {s.group for s in specs}
-    df = by_code(derived(panel))
-    if any(s.id in RECURSIVE for s in specs):
-        df = apply_smoothers(df, "jq_code", "date", SMOOTHERS, df.columns)
-    df = daily_terms(df)
-    if statements is not None and groups & {"lev", "ttm", "val", "cfq"}:
-        right = newest_report_asof(statements)
-        cols = [x for x in right.columns if x[:2] in ("b_", "t_", "c_")]
-        df = asof_join(df, right.withColumnRenamed("code", "jq_code"), ["jq_code"], "date", "pub_date", cols, left_unique=True)
     ctx = Ctx()
     columns = [s.calc(ctx) for s in specs]
-    # NaN-free and cast last, so the stored width does not enter any window
+    read = set(re.findall(r"\w+", " ".join(map(str, [*columns, *ctx.windows.values(), *ctx.running.values()]))))
+    smoothers = needed_smoothers(read)
+    df = by_code(derived(panel))
+    if smoothers:
+        df = apply_smoothers(df, "jq_code", "date", smoothers, df.columns)
+    df = daily_terms(df)
+    df = df.select("jq_code", "date", *[x for x in df.columns if x in read - {"jq_code", "date"}])
+    if statements is not None:
+        right = newest_report_per_day(statements)
+        cols = [x for x in right.columns if x[:2] in ("b_", "t_", "c_") and x in read]
+        if cols:
+            right = right.select(F.col("code").alias("jq_code"), "pub_date", *cols)
+            df = asof_join(df, right, ["jq_code"], "date", "pub_date", cols, left_unique=True)
+    # cast last, so the stored width does not enter any window
     typed = [(x.cast(dtype) if dtype else x).alias(s.id) for s, x in zip(specs, columns)]
     return df.withColumns(ctx.running).withColumns(ctx.windows).select("jq_code", "date", *typed)
 

@@ -137,7 +137,7 @@ def financial_chain(core: DataFrame, ratio: DataFrame) -> DataFrame:
 
     w = Window.partitionBy("code", F.year("report_date")).orderBy("report_date")
     q, prev_q = F.quarter("report_date"), F.quarter(F.lag("report_date").over(w))
-    fin = fin.withColumn("q_ok", (q == 1) | (q - prev_q == 1))
+    fin = fin.withColumn("q_ok", F.coalesce((q == 1) | (q - prev_q == 1), F.lit(False)))
 
     def single(col: str) -> Column:
         x = F.col(col)

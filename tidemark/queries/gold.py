@@ -73,7 +73,7 @@ def q_share_asof(r):
 def q_asof_left(r):
     left = r("bars").join(codes(r).select(F.col("tdx_symbol").alias("symbol"), F.col("jq_code").alias("code")), "symbol")
     out = asof_join(left.select("symbol", "code", "date"), share_asof_rows(r("share_change")), ["code"], "date", "eff_date",
-                    ["eff_date", "float_sh"], bucket="year")
+                    ["eff_date", "float_sh"], left_unique=True, bucket="year")
     return out.select("symbol", "date", "eff_date", "float_sh")
 
 

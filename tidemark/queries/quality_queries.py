@@ -52,8 +52,7 @@ def q_share_truth(r):
     return quality.share_truth_checks(p, truth).withColumn("value", rnd("value"))
 
 
-@query("share_guard_activity", ["o_share_steps"], _check_sql("""(SELECT coalesce(change_reason = '定期报告' AND ev > share_trade_total, false) AS acts FROM (
-    SELECT *, last_value(CASE WHEN change_reason <> '定期报告' THEN share_trade_total END IGNORE NULLS) OVER (PARTITION BY code ORDER BY change_date, pub_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ev FROM o_share_steps))""",
+@query("share_guard_activity", ["o_share_fold"], _check_sql("(SELECT coalesce(periodic AND event > trade, false) AS acts FROM o_share_fold)",
     [("guard_activity", _rate("acts"), 0.04, 0.10)]))
 def q_guard(r):
     return quality.guard_activity(r("share_change")).withColumn("value", rnd("value"))

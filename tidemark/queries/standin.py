@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans.fundamentals import BALANCE, CASHFLOW, INCOME
+
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
 )
@@ -46,27 +48,7 @@ def _d(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
-BAL = (
-    "total_assets total_liability total_owner_equities equities_parent_company_owners total_current_assets "
-    "total_current_liability total_non_current_assets total_non_current_liability fixed_assets intangible_assets "
-    "inventories cash_equivalents trading_assets account_receivable accounts_payable shortterm_loan longterm_loan "
-    "bonds_payable non_current_liability_in_one_year hold_to_maturity_investments preferred_shares_equity "
-    "surplus_reserve_fund retained_profit capital_reserve_fund"
-).split()
-INC = (
-    "total_profit net_profit np_parent_company_owners operating_revenue operating_cost operating_profit "
-    "total_operating_revenue total_operating_cost financial_expense administration_expense sale_expense "
-    "non_operating_revenue non_operating_expense operating_tax_surcharges asset_impairment_loss "
-    "fair_value_variable_income investment_income invest_income_associates interest_expense interest_income"
-).split()
-CFL = (
-    "net_operate_cash_flow net_invest_cash_flow net_finance_cash_flow cash_equivalent_increase "
-    "goods_sale_and_service_render_cash cash_and_equivalents_at_end fix_intan_other_asset_acqui_cash "
-    "fixed_assets_depreciation intangible_assets_amortization"
-).split()
-
-
-def _statement(fields: list[str], salt: int, miss: int) -> str:
+def _statement(fields: tuple[str, ...], salt: int, miss: int) -> str:
     cols = ", ".join(
         f"CASE WHEN (sk + q * 5 + {i + salt}) % 13 = 0 THEN NULL ELSE "
         f"{_d(f'(CASE WHEN (sk + {i}) % 5 = 0 THEN -1 ELSE 1 END) * (rev_cum * {i % 7 + 1} + sk * 1000 + y * {i + 3})')} END AS {f}"
@@ -150,9 +132,9 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN (sk + y + q) % 23 = 0 THEN NULL ELSE (np_cum % 8192) / 65536E0 END AS roe,
                {_d('np_cum - sk')} AS adjusted_profit, np_cum / 4096E0 AS inc_net_profit_year_on_year
         FROM filings WHERE (sk + q) % 29 <> 0"""),
-    "income": (("filings",), _statement(INC, 0, 31)),
-    "balance": (("filings",), _statement(BAL, 3, 37)),
-    "cashflow": (("filings",), _statement(CFL, 6, 41)),
+    "income": (("filings",), _statement(INCOME, 0, 31)),
+    "balance": (("filings",), _statement(BALANCE, 3, 37)),
+    "cashflow": (("filings",), _statement(CASHFLOW, 6, 41)),
     "express": (("filings",), f"""
         SELECT code, CASE WHEN q % 2 = 0 THEN 'express' ELSE 'restated' END AS source, report_date,
                pub_date - {_i('(sk + q) % 12')} AS pub_date, {_d('np_cum')} AS net_profit

@@ -12,11 +12,20 @@ KEEP_SHARE = 0.95
 
 
 def conform_increment(old: DataFrame, inc: DataFrame) -> DataFrame:
-    """Increment in the old table's columns and types.  A missing column is an error, an extra one is ignored."""
+    """Increment in the old table's columns and types.  A missing column is an error, an extra one is ignored.
+
+    What does not convert becomes NULL; ``increment_losses`` counts it.
+    """
     missing = [c for c in old.columns if c not in inc.columns]
     if missing:
         raise ValueError(f"increment lacks columns {missing}")
-    return inc.select(*[F.col(c).cast(t).alias(c) for c, t in old.dtypes])
+    return inc.select(*[F.col(c).try_cast(t).alias(c) for c, t in old.dtypes])
+
+
+def increment_losses(old: DataFrame, inc: DataFrame) -> DataFrame:
+    """One row: per column of the old table how many values of the increment do not convert to its type."""
+    lost = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in old.dtypes if c in inc.columns]
+    return inc.agg(*lost)
 
 
 def upsert(old: DataFrame, inc: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sinks: yearly partitions, all-or-nothing publication, build manifests, empty tables."""
+"""Sinks: yearly partitions, checked publication, build manifests, empty tables."""
 
 from __future__ import annotations
 
@@ -28,9 +28,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None) -> None:
-    """Write beside the target, check what was written, then swap by rename.  A failed check changes nothing.
+    """Write beside the target, check what was written, then swap by two renames.  A failed check changes nothing.
 
-    The old version is kept next to the target until the new one is in place.
+    The old version is kept next to the target and comes back if the second rename fails; between the renames readers find
+    no table.
     """
     spark, staging, old = df.sparkSession, path + "__new", path + "__old"
     df.write.mode("overwrite").parquet(staging)
@@ -39,10 +40,11 @@ def publish(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None
     jvm, target, fs = _fs(spark, path)
     if fs.exists(jvm.org.apache.hadoop.fs.Path(old)):
         fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
-    if fs.exists(target):
-        fs.rename(target, jvm.org.apache.hadoop.fs.Path(old))
+    if fs.exists(target) and not fs.rename(target, jvm.org.apache.hadoop.fs.Path(old)):
+        raise OSError(f"the old table cannot be moved, nothing is published: {path}")
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        raise OSError(f"rename failed: {staging}")
+        back = fs.exists(jvm.org.apache.hadoop.fs.Path(old)) and fs.rename(jvm.org.apache.hadoop.fs.Path(old), target)
+        raise OSError(f"rename failed: {staging}; the old table is {'back' if back else 'at ' + old}")
 
 
 def manifest(df: DataFrame, bad_days: DataFrame | None = None) -> DataFrame:

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _row_hash(columns: Sequence[str]) -> Column:
+    """Hash of a row that tells where a NULL stands: the hash function alone skips NULLs."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def content_hash(df: DataFrame) -> DataFrame:
     """Order-free fingerprint of a table: row count, xor and sum of row hashes (all combine on the map side)."""
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    h = _row_hash(sorted(df.columns))
     return df.select(h.alias("__h")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.bit_xor("__h"), F.lit(0)).alias("hash_xor"),
         F.coalesce(F.sum(F.col("__h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"),
@@ -18,7 +23,7 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 
 def group_hash(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns) if c not in by])
+    h = _row_hash([c for c in sorted(df.columns) if c not in by])
     return df.withColumn("__h", h).groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor("__h").alias("hash_xor"))
 
 

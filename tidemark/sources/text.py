@@ -56,14 +56,19 @@ def strip_carriage_returns(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.regexp_replace("line", "\r", ""))
 
 
-def assemble_records(lines: DataFrame, start: str = RECORD_START) -> DataFrame:
+def assemble_records(lines: DataFrame, start: str = RECORD_START, header: bool = True) -> DataFrame:
     """Join continuation lines to their record: (file, rec, n_lines, record).
 
-    Records are numbered by a running count inside each block plus the counts of the blocks before it, so no
-    file is ever read by one task; a record cut by a block border is put together by the final grouping.
+    With ``header`` the first line of a file is its header and goes, unless it begins a record; every other line is kept.  Lines before the first that begins a
+    record are record 0, a damaged one.  Records are numbered by a running count inside each block plus the counts of the
+    blocks before it, so no file is ever read by one task; a record cut by a block border is put together by the final
+    grouping.
     """
     begins = F.col("line").rlike(start).cast("long")
     rows = lines.withColumn("__begin", begins)
+    if header:
+        first = lines.groupBy("file").agg(F.min(F.struct("block", "pos")).alias("__header"))
+        rows = rows.join(first, "file").where((F.struct("block", "pos") != F.col("__header")) | (F.col("__begin") > 0)).drop("__header")
     per_block = rows.groupBy("file", "block").agg(F.sum("__begin").alias("__n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select("file", "block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
@@ -72,7 +77,6 @@ def assemble_records(lines: DataFrame, start: str = RECORD_START) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct("block", "pos", "line")))
     return (
         numbered.withColumn("rec", F.col("__in") + F.col("__offset"))
-        .where(F.col("rec") > 0)  # lines before the first record are the header
         .groupBy("file", "rec")
         .agg(F.count(F.lit(1)).alias("n_lines"), F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("record"))
     )
@@ -88,10 +92,10 @@ def split_record(record: Column, n_head: int = HEAD_FIELDS) -> tuple[list[Column
     return [F.try_element_at(bits, F.lit(i + 1)) for i in range(n_head)], F.when(trimmed.startswith('"'), unquoted).otherwise(text)
 
 
-def repair_records(lines: DataFrame, names: list[str], start: str = RECORD_START) -> DataFrame:
+def repair_records(lines: DataFrame, names: list[str], start: str = RECORD_START, header: bool = True) -> DataFrame:
     """Damaged multi-line CSV to columns; ``names`` holds the head fields and the free-text field."""
     head, text = split_record(F.col("record"), len(names) - 1)
-    recs = assemble_records(lines, start)
+    recs = assemble_records(lines, start, header)
     return recs.select("file", "rec", "n_lines", *[h.alias(n) for h, n in zip(head, names)], text.alias(names[-1]))
 
 

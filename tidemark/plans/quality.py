@@ -57,32 +57,96 @@ def key_check(df: DataFrame, keys: Sequence[str], name: str = "duplicate_keys")
     return measures(duplicate_keys(df, keys), {name: (F.count(F.lit(1)), (0, 0))})
 
 
-def panel_checks(panel: DataFrame, source_rows: DataFrame) -> DataFrame:
-    """Row count against the source, look-ahead, outliers, limit rule, listing days."""
-    r, vwap = F.col("ret_1d"), safe_div(F.col("amount"), F.col("volume_shares"))
-    body = measures(panel, {
+NORMAL, TRADED = "正常上市", ("正常上市", "ST", "*ST")  # fixed values: public_status
+
+
+def known(df: DataFrame, allow: DataFrame | None) -> DataFrame:
+    """``df`` with ``__known``: is (jq_code, date) on the allow-list?"""
+    if allow is None:
+        return df.withColumn("__known", F.lit(False))
+    listed = allow.select("jq_code", "date").distinct().withColumn("__known", F.lit(True))
+    return df.join(listed, ["jq_code", "date"], "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
+
+
+def panel_checks(panel: DataFrame, source_rows: DataFrame, allow_vwap: DataFrame | None = None, early_codes: Sequence[str] = ()) -> DataFrame:
+    """Row count against the source, key, look-ahead, nulls, outliers, average prices, limit rule, listing days.
+
+    ``allow_vwap`` lists known (jq_code, date) whose average price lies below the low; ``early_codes`` reused codes with bars
+    before their listing.
+    """
+    vwap = safe_div(F.col("amount"), F.col("volume_shares"))
+    traded = (F.col("volume_shares") > 0) & (F.col("amount") > 0) & (F.col("low") > 0)
+    dated = F.col("list_date").isNotNull()
+    early = F.when(F.col("listed_days") < 0, F.col("jq_code"))
+    body = measures(known(panel, allow_vwap), {
         "future_filings": (F.count_if(F.col("fin_pub_date") > F.col("date")), (0, 0)),
-        "return_outliers": (rate(F.abs(r) > 1), (None, 0.0001)),
-        "vwap_outside_range": (rate((vwap < F.col("low") * 0.99) | (vwap > F.col("high") * 1.01)), (None, 0.001)),
-        "negative_listed_days": (F.count_if(F.col("listed_days") < 0), (0, 0)),
-        "limit_rule_ok": (rate(F.col("limit_rule_ok") | F.col("preclose").isNull()), (0.999, None)),
-        "floatmv_null": (null_rate("floatmv"), (None, 0.05)),
-        "np_ttm_null": (null_rate("np_ttm"), (None, 0.5)),
+        "return_outliers": (rate(F.abs("ret_1d") > 0.45), (None, 0.0001)),
+        "vwap_below_low": (F.count_if(traded & (F.col("amount") > 10_000) & (vwap < F.col("low") * 0.99) & ~F.col("__known")), (0, 0)),
+        "vwap_above_high": (F.count_if(traded & (vwap > F.col("high") * 1.01)), (None, 500)),
+        "codes_before_listing": (F.count_distinct(F.when(~early.isin(*early_codes), early) if early_codes else early), (0, 0)),
+        "limit_rule_ok": (rate(F.col("limit_rule_ok")), (0.999, None)),
+        "close_hfq_null": (null_rate("close_hfq"), (None, 0.001)),
+        "floatmv_null": (null_rate("floatmv"), (None, 0.02)),
+        "sw_l1_name_null": (null_rate("sw_l1_name"), (None, 0.05)),
+        "fin_report_date_null": (F.avg(F.when(dated, F.col("fin_report_date").isNull().cast("double"))), (None, 0.02)),
     })
     n = panel.agg(F.count(F.lit(1)).cast("double").alias("value"))
     src = source_rows.agg(F.count(F.lit(1)).cast("double").alias("lo"))
-    rows = n.crossJoin(F.broadcast(src)).select(F.lit("row_count").alias("check"), "value", "lo", F.col("lo").alias("hi"))
+    rows = n.crossJoin(src).select(F.lit("row_count").alias("check"), "value", "lo", F.col("lo").alias("hi"))
     return all_checks(body, judged(rows), key_check(panel, ["date", "jq_code"]))
 
 
-def share_truth_checks(panel: DataFrame, truth: DataFrame) -> DataFrame:
-    """Float value against an independent share table: agreement within 1 % and one-sided bias."""
-    j = panel.join(truth.select("jq_code", "date", F.col("float_sh").alias("__truth")), ["jq_code", "date"])
-    ratio = safe_div(F.col("floatmv"), F.col("__truth") * F.col("close_bfq"))
-    j = j.withColumn("__r", ratio).where(F.col("__r").isNotNull())
+def identity_checks(panel: DataFrame) -> DataFrame:
+    """An annual report's trailing profit is its own, a first quarter's single profit the cumulative one; gaps are few."""
+    off = lambda x: F.abs(F.col(x) - F.col("net_profit_parent")) > 1
+    return measures(panel, {
+        "annual_ttm": (F.count_if((F.month("fin_report_date") == 12) & off("np_ttm")), (0, 0)),
+        "first_quarter": (F.count_if((F.quarter("fin_report_date") == 1) & off("np_q")), (0, 0)),
+        "np_q_null": (F.avg(F.when(F.col("fin_report_date").isNotNull(), F.col("np_q").isNull().cast("double"))), (None, 0.05)),
+    })
+
+
+#: Medians that a panel is expected to have, and the share of missing pb.
+VALUATION: dict[str, Bounds] = {"pb": (1.0, 5.0), "pe_ttm": (15.0, 60.0), "roe_ttm": (0.02, 0.15)}
+
+
+def valuation_checks(panel: DataFrame, since: str | None = "2010-01-01", bounds: Mapping[str, Bounds] = VALUATION) -> DataFrame:
+    rows = panel if since is None else panel.where(F.col("date") >= F.to_date(F.lit(since)))
+    parts = [measures(rows, {"pb_null": (null_rate("pb"), (None, 0.10))})]
+    for name, (lo, hi) in bounds.items():
+        mid = exact_quantiles(rows.select(name), [], name, {"value": 0.5})
+        parts.append(judged(mid.select(F.lit(f"{name}_median").alias("check"), "value", F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi"))))
+    return all_checks(*parts)
+
+
+def daily_count_checks(panel: DataFrame, since: str | None = "2015-01-01", p05: float = 2000, median: Bounds = (2500, 6000), most: float = 6500) -> DataFrame:
+    """Codes a day: the 5 % quantile, so that real days of suspension do not count, the median and the maximum."""
+    rows = panel if since is None else panel.where(F.col("date") >= F.to_date(F.lit(since)))
+    days = rows.groupBy("date").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return measures(days, {"daily_p05": (F.percentile("n", 0.05), (p05, None)), "daily_median": (F.percentile("n", 0.5), median), "daily_max": (F.max("n"), (None, most))})
+
+
+def turnover_checks(panel: DataFrame, since: str | None = "2005-01-01", year_most: float = 20, day_least: float = 0.2, day_codes: int = 500) -> DataFrame:
+    """Years whose median turnover is too high, and days (of over ``day_codes`` codes) on which it is too low."""
+    rows = panel.where((F.col("turnover") > 0) & F.col("public_status").isin(*TRADED)).select("date", F.year("date").alias("year"), "turnover")
+    years = exact_quantiles(rows, ["year"], "turnover", {"p50": 0.5})
+    days = exact_quantiles(rows if since is None else rows.where(F.col("date") >= F.to_date(F.lit(since))), ["date"], "turnover", {"p50": 0.5})
+    return all_checks(
+        measures(years, {"years_too_high": (F.count_if(F.col("p50") > year_most), (0, 0))}),
+        measures(days, {"days_too_low": (F.count_if((F.col("p50") < day_least) & (F.col("n") > day_codes)), (0, 0))}),
+    )
+
+
+def share_truth_checks(panel: DataFrame, truth: DataFrame, since: str | None = "2016-01-01") -> DataFrame:
+    """Values against an independent share table: agreement within 1 %, float shares understated by over 10 %, total shares."""
+    j = panel.where((F.col("close_bfq") > 0) & (F.col("floatmv") > 0))
+    j = j if since is None else j.where(F.col("date") >= F.to_date(F.lit(since)))
+    j = j.join(truth.select("jq_code", "date", F.col("float_sh").alias("__float"), F.col("total_sh").alias("__total")), ["jq_code", "date"])
+    mine, whole = F.col("floatmv") / F.col("close_bfq"), F.col("totalmv") / F.col("close_bfq")
     return measures(j, {
-        "share_agreement": (rate(F.abs(F.col("__r") - 1) <= 0.01), (0.99, None)),
-        "share_bias_up": (rate(F.col("__r") > 1.01), (None, 0.005)), "share_bias_down": (rate(F.col("__r") < 0.99), (None, 0.005)),
+        "float_agreement": (rate(F.abs(safe_div(mine, F.col("__float")) - 1) < 0.01), (0.99, None)),
+        "float_understated": (rate(mine < F.col("__float") * 0.9), (None, 0.005)),
+        "total_agreement": (rate(whole.isNull() | (F.abs(safe_div(whole, F.col("__total")) - 1) < 0.01)), (0.99, None)),
     })
 
 
@@ -101,14 +165,17 @@ def medians_by_year(panel: DataFrame, col: str) -> DataFrame:
     return exact_quantiles(panel.select(F.year("date").alias("year"), col), ["year"], col, {"p50": 0.5})
 
 
-def limit_breaches(panel: DataFrame, allow: Sequence[str] = ()) -> DataFrame:
-    """Adjusted returns beyond the limit: normal status, after the fifth bar, at most five days since the last."""
+def limit_breaches(panel: DataFrame, allow: DataFrame | None = None, since: str | None = "2007-01-01") -> DataFrame:
+    """Adjusted returns over 1.1 times the limit: normal status, after the fifth bar, at most five days since the last.
+
+    ``allow`` lists known (jq_code, date).
+    """
     w = Window.partitionBy("jq_code").orderBy("date")
     df = panel.withColumns({"__bar": F.row_number().over(w), "__gap": F.datediff("date", F.lag("date").over(w))})
-    bad = (F.abs("ret_1d") > F.col("limit_pct") + 0.01) & (F.col("is_st") == 0) & (F.col("__bar") > 5) & (F.col("__gap") <= 5)
-    if allow:
-        bad = bad & ~F.col("jq_code").isin(*allow)
-    return df.where(bad).select("jq_code", "date", "ret_1d", "limit_pct")
+    bad = (F.col("limit_pct") > 0) & (F.abs("ret_1d") > F.col("limit_pct") * 1.1) & (F.col("public_status") == NORMAL) & (F.col("__bar") > 5) & (F.col("__gap") <= 5)
+    if since is not None:
+        bad = bad & (F.col("date") >= F.to_date(F.lit(since)))
+    return known(df.where(bad), allow).where(~F.col("__known")).select("jq_code", "date", "ret_1d", "limit_pct")
 
 
 def mass_move_days(bars: DataFrame, at_least: int = 50, move: float = 0.5) -> DataFrame:

@@ -19,11 +19,14 @@ def _rate(c: str) -> str:
     return f"avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END)"
 
 
+_VWAP = "volume_shares > 0 AND amount > 0 AND low > 0"
 _PANEL_CHECKS = [
-    ("future_filings", "count(*) FILTER (WHERE fin_pub_date > date)", 0, 0), ("return_outliers", _rate("abs(ret_1d) > 1"), None, 0.0001),
-    ("vwap_outside_range", _rate("amount / nullif(volume_shares, 0) < low * 0.99 OR amount / nullif(volume_shares, 0) > high * 1.01"), None, 0.001),
-    ("negative_listed_days", "count(*) FILTER (WHERE listed_days < 0)", 0, 0), ("limit_rule_ok", _rate("limit_rule_ok OR preclose IS NULL"), 0.999, None),
-    ("floatmv_null", _rate("floatmv IS NULL"), None, 0.05), ("np_ttm_null", _rate("np_ttm IS NULL"), None, 0.5),
+    ("future_filings", "count(*) FILTER (WHERE fin_pub_date > date)", 0, 0), ("return_outliers", _rate("abs(ret_1d) > 0.45"), None, 0.0001),
+    ("vwap_below_low", f"count(*) FILTER (WHERE {_VWAP} AND amount > 10000 AND amount / nullif(volume_shares, 0) < low * 0.99 AND day(date) <> 9)", 0, 0),
+    ("vwap_above_high", f"count(*) FILTER (WHERE {_VWAP} AND amount / nullif(volume_shares, 0) > high * 1.01)", None, 500),
+    ("codes_before_listing", "count(DISTINCT CASE WHEN listed_days < 0 THEN jq_code END)", 0, 0), ("limit_rule_ok", _rate("limit_rule_ok"), 0.999, None),
+    ("close_hfq_null", _rate("close_hfq IS NULL"), None, 0.001), ("floatmv_null", _rate("floatmv IS NULL"), None, 0.02), ("sw_l1_name_null", _rate("sw_l1_name IS NULL"), None, 0.05),
+    ("fin_report_date_null", "avg((fin_report_date IS NULL)::INT) FILTER (WHERE list_date IS NOT NULL)", None, 0.02),
 ]
 
 
@@ -39,17 +42,50 @@ def _check_sql(rel: str, checks) -> str:
     UNION ALL SELECT 'row_count', count(*)::DOUBLE, (SELECT count(*) FROM o_px)::DOUBLE, (SELECT count(*) FROM o_px)::DOUBLE, count(*) = (SELECT count(*) FROM o_px) FROM o_panel
     UNION ALL SELECT 'duplicate_keys', count(*)::DOUBLE, 0::DOUBLE, 0::DOUBLE, count(*) = 0 FROM (SELECT 1 FROM o_panel GROUP BY date, jq_code HAVING count(*) > 1)""")
 def q_panel_checks(r):
-    p = cut_lineage(panel(r).select("date", "jq_code", "ret_1d", "amount", "volume_shares", "low", "high", "fin_pub_date", "listed_days",
-                                    "limit_rule_ok", "preclose", "floatmv", "np_ttm"))
-    return quality.panel_checks(p, px(r)).withColumn("value", rnd("value"))
+    p = cut_lineage(panel(r).select("date", "jq_code", "ret_1d", "amount", "volume_shares", "low", "high", "fin_pub_date", "fin_report_date", "listed_days", "list_date",
+                                    "limit_rule_ok", "close_hfq", "floatmv", "sw_l1_name"))
+    allow = p.where(F.dayofmonth("date") == 9)  # a stand-in for a list of known days
+    return quality.panel_checks(p, px(r), allow).withColumn("value", rnd("value"))
 
 
-@query("share_truth_checks", ["o_panel", "o_shr"], _check_sql("(SELECT * FROM (SELECT floatmv / nullif(s.float_sh * close_bfq, 0) AS r FROM o_panel p ASOF JOIN o_shr s ON s.code = p.jq_code AND s.eff_date <= p.date) WHERE r IS NOT NULL)", [
-    ("share_agreement", _rate("abs(r - 1) <= 0.01"), 0.99, None), ("share_bias_up", _rate("r > 1.01"), None, 0.005), ("share_bias_down", _rate("r < 0.99"), None, 0.005)]))
+@query("identity_checks", ["o_panel"], _check_sql("o_panel", [
+    ("annual_ttm", "count(*) FILTER (WHERE month(fin_report_date) = 12 AND abs(np_ttm - net_profit_parent) > 1)", 0, 0),
+    ("first_quarter", "count(*) FILTER (WHERE quarter(fin_report_date) = 1 AND abs(np_q - net_profit_parent) > 1)", 0, 0),
+    ("np_q_null", "avg((np_q IS NULL)::INT) FILTER (WHERE fin_report_date IS NOT NULL)", None, 0.05)]))
+def q_identity(r):
+    return quality.identity_checks(panel(r)).withColumn("value", rnd("value"))
+
+
+@query("valuation_checks", ["o_panel"], _check_sql("(SELECT * FROM o_panel WHERE date >= DATE '1993-01-01')", [
+    ("pb_null", _rate("pb IS NULL"), None, 0.1), ("pb_median", "median(pb)", 1.0, 5.0), ("pe_ttm_median", "median(pe_ttm)", 15.0, 60.0), ("roe_ttm_median", "median(roe_ttm)", 0.02, 0.15)]))
+def q_valuation(r):
+    return quality.valuation_checks(cut_lineage(panel(r).select("date", "pb", "pe_ttm", "roe_ttm")), "1993-01-01").withColumn("value", rnd("value"))
+
+
+@query("daily_count_checks", ["o_panel"], _check_sql("(SELECT count(*) AS n FROM o_panel GROUP BY date)", [
+    ("daily_p05", "quantile_cont(n, 0.05)", 2000, None), ("daily_median", "median(n)", 2500, 6000), ("daily_max", "max(n)", None, 6500)]))
+def q_daily_counts(r):
+    return quality.daily_count_checks(panel(r), None).withColumn("value", rnd("value"))
+
+
+_TURN = "turnover > 0 AND public_status IN ('正常上市', 'ST', '*ST')"
+
+
+@query("turnover_checks", ["o_panel"], _check_sql(f"(SELECT median(turnover) AS m FROM o_panel WHERE {_TURN} GROUP BY year(date))", [("years_too_high", "count(*) FILTER (WHERE m > 1)", 0, 0)])
+       + " UNION ALL " + _check_sql(f"(SELECT median(turnover) AS m, count(*) AS n FROM o_panel WHERE {_TURN} AND date >= DATE '1993-01-01' GROUP BY date)", [("days_too_low", "count(*) FILTER (WHERE m < 0.5 AND n > 12)", 0, 0)]))
+def q_turnover(r):
+    p = cut_lineage(panel(r).select("date", "turnover", "public_status"))
+    return quality.turnover_checks(p, "1993-01-01", year_most=1, day_least=0.5, day_codes=12).withColumn("value", rnd("value"))
+
+
+@query("share_truth_checks", ["o_panel", "o_shr"], _check_sql("""(SELECT floatmv / close_bfq AS mine, totalmv / close_bfq AS whole, s.float_sh, s.total_sh
+    FROM (SELECT * FROM o_panel WHERE close_bfq > 0 AND floatmv > 0) p ASOF JOIN o_shr s ON s.code = p.jq_code AND s.eff_date <= p.date)""", [
+    ("float_agreement", _rate("abs(mine / nullif(float_sh, 0) - 1) < 0.01"), 0.99, None), ("float_understated", _rate("mine < float_sh * 0.9"), None, 0.005),
+    ("total_agreement", _rate("whole IS NULL OR abs(whole / nullif(total_sh, 0) - 1) < 0.01"), 0.99, None)]))
 def q_share_truth(r):
-    p = cut_lineage(panel(r).select("jq_code", "date", "floatmv", "close_bfq"))
-    truth = asof_join(p.select("jq_code", "date"), share_asof_rows(r("share_change")).withColumnRenamed("code", "jq_code"), ["jq_code"], "date", "eff_date", ["float_sh"], how="inner", left_unique=True)
-    return quality.share_truth_checks(p, truth).withColumn("value", rnd("value"))
+    p = cut_lineage(panel(r).select("jq_code", "date", "floatmv", "totalmv", "close_bfq"))
+    truth = asof_join(p.select("jq_code", "date"), share_asof_rows(r("share_change")).withColumnRenamed("code", "jq_code"), ["jq_code"], "date", "eff_date", ["float_sh", "total_sh"], how="inner", left_unique=True)
+    return quality.share_truth_checks(p, truth, None).withColumn("value", rnd("value"))
 
 
 @query("share_guard_activity", ["o_share_fold"], _check_sql("(SELECT coalesce(periodic AND event > trade, false) AS acts FROM o_share_fold)",
@@ -65,9 +101,10 @@ def q_medians(r):
 
 @query("limit_breaches", ["o_panel"], """
     SELECT jq_code, date, round(ret_1d, 6) AS ret_1d, limit_pct FROM (SELECT *, row_number() OVER w AS bar, date - lag(date) OVER w AS gap FROM o_panel WINDOW w AS (PARTITION BY jq_code ORDER BY date))
-    WHERE abs(ret_1d) > limit_pct + 0.01 AND is_st = 0 AND bar > 5 AND gap <= 5""")
+    WHERE abs(ret_1d) > limit_pct * 1.1 AND limit_pct > 0 AND public_status = '正常上市' AND bar > 5 AND gap <= 5 AND date >= DATE '1993-01-01' AND day(date) <> 9""")
 def q_breaches(r):
-    return quality.limit_breaches(panel(r).select("jq_code", "date", "ret_1d", "limit_pct", "is_st")).withColumn("ret_1d", rnd("ret_1d"))
+    p = cut_lineage(panel(r).select("jq_code", "date", "ret_1d", "limit_pct", "public_status"))
+    return quality.limit_breaches(p, p.where(F.dayofmonth("date") == 9), "1993-01-01").withColumn("ret_1d", rnd("ret_1d"))
 
 
 @query("mass_move_days", ["bars"], """

@@ -21,51 +21,43 @@ def share_asof_rows(changes: DataFrame) -> DataFrame:
     rows = changes.where(
         (F.col("share_trade_total") > 0) & F.col("pub_date").isNotNull() & F.col("change_date").isNotNull()
     )
-    order = Window.partitionBy("code").orderBy("change_date", "pub_date")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    tradable = F.col("share_trade_total")
+    upto = Window.partitionBy("code").orderBy("change_date", "pub_date").rowsBetween(Window.unboundedPreceding, 0)
+    step = Window.partitionBy("code").orderBy("change_date", "pub_date")
+    tradable, periodic = F.col("share_trade_total"), F.col("change_reason") == PERIODIC
+    moment = F.struct("change_date", "pub_date")
 
-    rows = rows.withColumn("__prev", F.lag("share_trade_total").over(order))
-    for k in ("b", "h"):
-        explicit = F.col(f"share_{k}")
-        rows = rows.withColumns({
-            f"__ff_{k}": F.last(explicit, ignorenulls=True).over(upto),
-            f"__grp_{k}": F.count(explicit).over(upto),
-        })
-    for k in ("b", "h"):
-        ff = F.col(f"__ff_{k}")
-        dropped = F.col(f"share_{k}").isNull() & (ff > 0) & (tradable <= F.col("__prev") - REMOVAL_SHARE * ff)
-        rows = rows.withColumn(f"__drop_{k}", F.when(dropped, 1).otherwise(0))
-    for k in ("b", "h"):
-        since = Window.partitionBy("code", f"__grp_{k}").orderBy("change_date", "pub_date").rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        rows = rows.withColumn(f"__gone_{k}", F.max(f"__drop_{k}").over(since))
+    def named(k: str) -> Column:
+        """The last explicit count of a share kind and when it was named."""
+        return F.max(F.when(F.col(f"share_{k}").isNotNull(), F.struct(moment.alias("at"), F.col(f"share_{k}").alias("count")))).over(upto)
 
-    def carried(k: str) -> Column:
-        return (
-            F.when(F.col(f"share_{k}").isNotNull(), F.col(f"share_{k}"))
-            .when(F.col(f"__gone_{k}") > 0, 0.0)
-            .otherwise(F.coalesce(f"__ff_{k}", F.lit(0.0)))
-        )
+    rows = rows.withColumns({
+        "__b": named("b"), "__h": named("h"), "__before": F.lag("share_trade_total").over(step),
+        "__floor": F.max(F.when(~periodic, F.struct(moment.alias("at"), tradable.alias("count")))).over(upto)["count"],
+    })
 
-    event = F.last(F.when(F.col("change_reason") != PERIODIC, tradable), ignorenulls=True).over(upto)
-    rows = rows.withColumn("__event", event)
-    guarded = F.when(
-        (F.col("change_reason") == PERIODIC) & F.col("__event").isNotNull(), F.greatest(tradable, F.col("__event"))
-    ).otherwise(tradable)
+    def fell(k: str) -> Column:
+        """When the tradable total last dropped by about this kind's count without naming a new one."""
+        kind = F.col(f"__{k}")
+        drop = (kind["at"] < moment) & (kind["count"] > 0) & (tradable <= F.col("__before") - REMOVAL_SHARE * kind["count"])
+        return F.max(F.when(drop, moment)).over(upto)
+
+    rows = rows.withColumns({"__fell_b": fell("b"), "__fell_h": fell("h")})
+
+    def held(k: str) -> Column:
+        kind = F.col(f"__{k}")
+        return F.when(F.col(f"__fell_{k}") > kind["at"], 0.0).otherwise(F.coalesce(kind["count"], F.lit(0.0)))
+
+    whole = F.when(periodic, F.greatest(tradable, "__floor")).otherwise(tradable)
     facts = rows.select(
-        "code", "change_date", "pub_date",
-        F.greatest("change_date", "pub_date").alias("eff_date"),
-        (F.greatest(guarded - carried("b") - carried("h"), F.lit(0.0)) * TEN_THOUSAND).alias("fs"),
-        (F.col("share_total") * TEN_THOUSAND).alias("ts"),
+        "code", F.greatest("change_date", "pub_date").alias("eff_date"), moment.alias("at"),
+        (F.greatest(whole - held("b") - held("h"), F.lit(0.0)) * TEN_THOUSAND).alias("float_sh"),
+        (F.col("share_total") * TEN_THOUSAND).alias("total_sh"),
     )
     # Per effective date only the best row can win, then the best row up to that date wins: both steps are
     # a maximum of the same ordering key, so equal dates enter together.
-    key = F.struct("change_date", "pub_date")
-    daily = facts.groupBy("code", "eff_date").agg(F.max(F.struct(key.alias("k"), "fs", "ts")).alias("top"))
+    daily = facts.groupBy("code", "eff_date").agg(F.max(F.struct("at", "float_sh", "total_sh")).alias("top"))
     w = Window.partitionBy("code").orderBy("eff_date").rowsBetween(Window.unboundedPreceding, 0)
     best = F.max("top").over(w)
     return daily.withColumn("best", best).select(
-        "code", "eff_date", F.col("best.fs").alias("float_sh"), F.col("best.ts").alias("total_sh")
+        "code", "eff_date", F.col("best.float_sh").alias("float_sh"), F.col("best.total_sh").alias("total_sh")
     )

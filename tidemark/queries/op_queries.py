@@ -138,11 +138,11 @@ def q_lookup(r):
 
 @query("most_specific_kind", ["bars"], """
     SELECT code, kind FROM (SELECT code, kind, row_number() OVER (PARTITION BY code ORDER BY CASE kind WHEN 'etf' THEN 1 WHEN 'lof' THEN 2 WHEN 'index' THEN 3 WHEN 'fund' THEN 4 ELSE 5 END, kind) AS rn FROM (
-      SELECT DISTINCT symbol AS code, CASE volume % 5 WHEN 0 THEN 'fund' WHEN 1 THEN 'index' WHEN 2 THEN 'bond' WHEN 3 THEN 'lof' ELSE 'etf' END AS kind FROM bars WHERE month(date) = 3)) WHERE rn = 1""")
+      SELECT DISTINCT symbol AS code, CASE volume % 5 WHEN 0 THEN 'fund' WHEN 1 THEN 'index' WHEN 2 THEN 'bond' WHEN 3 THEN 'lof' ELSE 'etf' END AS kind FROM bars)) WHERE rn = 1""")
 def q_kind(r):
     v = F.col("volume") % 5
     kind = F.when(v == 0, "fund").when(v == 1, "index").when(v == 2, "bond").when(v == 3, "lof").otherwise("etf")
-    return di.most_specific_kind(r("bars").where(F.month("date") == 3).select(F.col("symbol").alias("code"), kind.alias("kind")).distinct())
+    return di.most_specific_kind(r("bars").select(F.col("symbol").alias("code"), kind.alias("kind")).distinct())
 
 
 @query("restatements", ["income"], """
@@ -293,22 +293,20 @@ def q_replace(r):
 
 
 @query("snapshot_key_changes", ["events"], """
-    SELECT user_id, event_type, 'added' AS change FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 50 < 8 EXCEPT SELECT user_id, event_type FROM events WHERE event_id % 50 >= 5 AND event_id % 50 < 12)
-    UNION ALL SELECT user_id, event_type, 'removed' FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 50 >= 5 AND event_id % 50 < 12 EXCEPT SELECT user_id, event_type FROM events WHERE event_id % 50 < 8)""")
+    SELECT user_id, event_id, CASE WHEN event_id % 50 < 5 THEN 'added' ELSE 'removed' END AS change FROM events WHERE event_id % 50 < 5 OR event_id % 50 >= 45""")
 def q_key_changes(r):
-    """Two overlapping daily snapshots of the event keys."""
+    """Two overlapping snapshots of the event keys that hold the whole table between them."""
     e, k = r("events"), F.col("event_id") % 50
-    return snapshots.key_changes(e.where((k >= 5) & (k < 12)), e.where(k < 8), ["user_id", "event_type"])
+    return snapshots.key_changes(e.where(k >= 5), e.where(k < 45), ["user_id", "event_id"])
 
 
 _FACTOR_MONTHS = [f"m{m:02d}" for m in range(1, 13)]
 
 
 @query("melt_wide", ["bars"], """
-    SELECT symbol AS date, 'm' || lpad(CAST(month(date) AS VARCHAR), 2, '0') AS code, max(close) AS factor FROM bars WHERE year(date) = 1998 GROUP BY ALL""")
+    SELECT symbol || '-' || year(date) AS date, 'm' || lpad(CAST(month(date) AS VARCHAR), 2, '0') AS code, max(close) AS factor FROM bars GROUP BY ALL""")
 def q_melt(r):
-    b = r("bars").where(F.year("date") == 1998)
-    wide = b.groupBy(F.col("symbol").alias("date")).agg(*[F.max(F.when(F.month("date") == i + 1, F.col("close"))).alias(m) for i, m in enumerate(_FACTOR_MONTHS)])
+    wide = r("bars").groupBy(F.concat_ws("-", "symbol", F.year("date")).alias("date")).agg(*[F.max(F.when(F.month("date") == i + 1, F.col("close"))).alias(m) for i, m in enumerate(_FACTOR_MONTHS)])
     return vendor.melt_wide(wide)
 
 

@@ -152,9 +152,9 @@ def q_watermarks(r):
 
 @query("freshness", ["bars", "fin_core", "calendar_days"], """
     SELECT layer, newest, (SELECT count(*) FROM calendar_days WHERE date > newest AND date <= DATE '2002-01-01') AS lag_trading_days, CAST(DATE '2002-01-01' - newest AS INTEGER) AS lag_days
-    FROM (SELECT 'bars' AS layer, max(date) AS newest FROM bars WHERE symbol LIKE 'sh60%' UNION ALL SELECT 'fin_core', max(report_date) FROM fin_core)""")
+    FROM (SELECT 'bars' AS layer, max(date) AS newest FROM bars UNION ALL SELECT 'fin_core', max(report_date) FROM fin_core)""")
 def q_fresh(r):
-    return quality.freshness(r("calendar_days"), {"bars": (r("bars").where(F.col("symbol").startswith("sh60")), "date"), "fin_core": (r("fin_core"), "report_date")}, "2002-01-01")
+    return quality.freshness(r("calendar_days"), {"bars": (r("bars"), "date"), "fin_core": (r("fin_core"), "report_date")}, "2002-01-01")
 
 
 @query("complete_days", ["bars"], """
@@ -215,9 +215,8 @@ def q_catalog(r):
 
 @query("factor_daily_all")
 def q_factor_daily(r):
-    """The whole table: 162 factors as 32-bit floats."""
-    m = market(r).withColumn("peg", F.lit(None).cast("double"))
-    return factors.factor_daily(m, statements(r))
+    """The whole table from the panel: 162 factors as 32-bit floats."""
+    return factors.factor_daily(panel(r), statements(r))
 
 
 # --- technical indicators ----------------------------------------------------------------------------------

@@ -156,3 +156,12 @@ def test_a_later_event_changes_the_guard(spark, d):
     """Reverse proof: without the event before it, the periodic row stands."""
     alone = [("2018-06-30", "2018-08-20", "定期报告", 9000, 4200, None, None)]
     assert ask(spark, d, alone, "2018-09-01") == pytest.approx(4200e4)
+
+
+def test_load_is_refused(spark, d):
+    good = spark.createDataFrame([("a", d("2020-03-31"), d("2020-04-30")), ("b", d("2020-03-31"), d("2020-04-30"))], "code string, report_date date, pub_date date")
+    assert fundamentals.accepted_filings(good).count() == 2
+    for bad in (good.union(good), good.union(spark.createDataFrame([("c", d("2020-03-31"), None)], good.schema))):
+        assert not fundamentals.load_faults(bad).first().accepted
+        with pytest.raises(Exception, match="duplicate keys"):
+            fundamentals.accepted_filings(bad).collect()

@@ -37,11 +37,25 @@ CASHFLOW = (
 CODE_PATTERN = r"^\d{6}\.XSH[EG]$"
 
 
-def regular_filings(df: DataFrame) -> DataFrame:
-    """Rows with a well-formed code, with the placeholder flag (published on or before the period end)."""
-    return df.where(F.col("code").rlike(CODE_PATTERN)).withColumn(
-        "pub_date_is_placeholder", F.col("pub_date") <= F.col("report_date")
-    )
+def regular_filings(df: DataFrame, report_type: str | None = None) -> DataFrame:
+    """Rows with a well-formed code, of one ``report_type`` if given, with the placeholder flag (published on or before the
+    period end).  ``drop_counts`` tells how many rows that leaves out."""
+    kept = df.where(F.col("code").rlike(CODE_PATTERN))
+    kept = kept if report_type is None else kept.where(F.col("report_type") == report_type)
+    return kept.withColumn("pub_date_is_placeholder", F.col("pub_date") <= F.col("report_date"))
+
+
+def load_faults(df: DataFrame, keys: Sequence[str] = ("code", "report_date")) -> DataFrame:
+    """One row: how many rows lack a publication date, and how many keys occur twice.  A load with either is refused."""
+    blank = df.agg(F.count_if(F.col("pub_date").isNull()).alias("n_without_pub_date"))
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("n_duplicate_keys"))
+    return blank.crossJoin(twice).withColumn("accepted", (F.col("n_without_pub_date") == 0) & (F.col("n_duplicate_keys") == 0))
+
+
+def accepted_filings(df: DataFrame, keys: Sequence[str] = ("code", "report_date")) -> DataFrame:
+    """``df`` as it is, or an error when it is used if ``load_faults`` finds any."""
+    verdict = load_faults(df, keys).select(F.when(~F.col("accepted"), F.raise_error(F.lit("filings without publication date or with duplicate keys"))).alias("__fault"))
+    return df.crossJoin(verdict).where(F.col("__fault").isNull()).drop("__fault")
 
 
 def drop_counts(df: DataFrame, report_type: str | None = None) -> DataFrame:

@@ -72,6 +72,21 @@ def q_placeholder(r):
     return fu.regular_filings(r("filings").select("code", "report_date", "pub_date"))
 
 
+@query("regular_reports", ["filings"], """
+    SELECT code, report_date, pub_date, pub_date <= report_date AS pub_date_is_placeholder FROM filings WHERE q % 2 = 0 AND regexp_full_match(code, '[0-9]{6}[.]XSH[EG]')""")
+def q_regular_reports(r):
+    df = r("filings").withColumn("report_type", F.when(F.col("q") % 2 == 0, "regular").otherwise("other"))
+    return fu.regular_filings(df, "regular").select("code", "report_date", "pub_date", "pub_date_is_placeholder")
+
+
+@query("load_faults", ["indicator_q"], """
+    SELECT n_without_pub_date, n_duplicate_keys, n_without_pub_date + n_duplicate_keys = 0 AS accepted
+    FROM (SELECT count(*) FILTER (WHERE pub_date IS NULL) AS n_without_pub_date FROM indicator_q),
+         (SELECT count(*) AS n_duplicate_keys FROM (SELECT 1 FROM indicator_q GROUP BY code, report_date HAVING count(*) > 1))""")
+def q_load_faults(r):
+    return fu.load_faults(r("indicator_q"))
+
+
 @query("percent_to_fraction", ["indicator_q"], "SELECT code, report_date, pub_date, eps, roe / 100.0 AS roe, adjusted_profit, inc_net_profit_year_on_year / 100.0 AS inc_net_profit_year_on_year FROM indicator_q")
 def q_percent(r):
     return fu.percent_to_fraction(r("indicator_q"), ["eps", "adjusted_profit"])

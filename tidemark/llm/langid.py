@@ -21,6 +21,8 @@ from tidemark.llm.common import blocks, utf8
 WIDTHS = (2, 3, 4)
 SPAN = max(WIDTHS)
 UNKNOWN = "und"
+#: Labels that training takes at most; a table with more of them raises.
+MOST_LANGUAGES = 1000
 
 
 @dataclass
@@ -156,8 +158,12 @@ def train(docs: DataFrame, s: Settings = Settings()) -> ByteNetwork:
     """
     known = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     known = known.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("h")).where(_lettered(F.col("text")))
-    share = known.groupBy("lang").agg((F.lit(2.0 * s.per_language + 20) / F.count("*")).alias("share"))
-    few = known.join(share, "lang").where(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    counts = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # a row for each language, so the sample is taken where the texts are read and only its rows are shuffled
+    share = docs.sparkSession.createDataFrame([(r.lang, (2.0 * s.per_language + 20) / r["count"]) for r in counts], "lang string, share double")
+    few = known.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
     few = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= s.per_language)
     rest = F.greatest(F.length("text") - s.window, F.lit(0))
     cuts = [F.substring("text", (rest * j / max(1, s.cuts - 1)).cast("int") + 1, F.lit(s.window)) for j in range(s.cuts)]

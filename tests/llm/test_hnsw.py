@@ -65,3 +65,19 @@ def test_recall_of_a_graph():
     found = graph.near(x, 0.9, 16)
     want = x @ x.T >= 0.9
     assert sum(want[i][f].sum() for i, f in enumerate(found)) >= 0.98 * want.sum()
+
+
+def numbers(df):
+    return {r.vec_id: (r.n_links, r.component_id) for r in df.collect()}
+
+
+def test_half_a_shard_equal(make):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=16)
+    x = np.concatenate([np.tile(centre, (5000, 1)), centre + 0.1 * rng.normal(size=(5000, 16))])
+    unit = hnsw._unit(x)
+    close = unit @ unit.T >= 0.9
+    for r, f in enumerate(hnsw.Graph(unit).near(unit[::100], 0.9, 32)):
+        assert set(np.flatnonzero(close[100 * r])) <= set(f.tolist())
+    df = make([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    assert numbers(hnsw.links(df, shards=1)) == {i: (int(n) - 1, 0) for i, n in enumerate(close.sum(axis=1))}

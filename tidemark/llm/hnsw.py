@@ -2,9 +2,9 @@
 
 Vectors are spread over shards by a hash; each shard's graph is built in one task, by batches: a batch searches the graph as
 it stands and is linked to what it finds and to its own members.  Every vector then queries every shard.  A search keeps a
-beam of the best nodes; a query whose beam holds nothing below the threshold is searched again with a beam twice as wide, and
-a block of queries whose audited links fall short of the recall aimed at is searched again as a whole.  Cosines are verified
-in double precision.  A task reports for each query how many links it has and, for the components, a spanning forest of the
+beam of the best nodes; a query whose beam holds nothing below the threshold is searched again with a beam twice as wide.
+Queries that no beam settles, and a block of queries whose audited links fall short of the recall aimed at, are compared with
+all vectors of the shard.  Cosines are verified in double precision.  A task reports for each query how many links it has and, for the components, a spanning forest of the
 links it saw, never the pairs.
 """
 
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, stored
 
+#: Beams up to this width; beyond it a query is compared with the whole shard.
+WIDEST = 256
+
 
 def _unit(rows) -> np.ndarray:
     x = np.stack([np.asarray(r, np.float64) for r in rows]) if len(rows) else np.zeros((0, 1))
@@ -169,23 +172,39 @@ class Graph:
         ids, score = np.take_along_axis(ids, rank, 1), np.take_along_axis(score, rank, 1)
         return np.where(score > -np.inf, ids, -1), score
 
-    def near(self, q: np.ndarray, least: float, beam: int) -> list[np.ndarray]:
-        """For each query the nodes of cosine ``least`` or more that its search met; beams widen until one is below it."""
+    def met(self, q: np.ndarray, least: float, beam: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each query the nodes of cosine ``least`` or more that its search met, and the queries that no beam settled.
+
+        Beams widen until one holds a node below ``least``. A query is left over where its beam stays unfilled (it was caught
+        on an island of the graph) or holds nothing else at ``WIDEST``, where a wider one costs more than all the vectors.
+        """
         q = q.astype(np.float32)
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
-        left, n = np.arange(len(q)), len(self.x)
+        left, n, rest = np.arange(len(q)), len(self.x), [np.zeros(0, np.int64)]
         base = len(self.layers) - 1
-        while len(left):
+        while len(left) and beam < min(n, 2 * WIDEST):
             again = []
             size = max(16, min(1 << 18 >> beam.bit_length(), (1 << 24) // (64 * self.x.shape[1])))
             for lo in range(0, len(left), size):
                 rows = left[lo : lo + size]
-                ids, score = self._search(base, q[rows], self._descend(q[rows], base), min(beam, n), n)
+                ids, score = self._search(base, q[rows], self._descend(q[rows], base), beam, n)
                 good = (score >= least - 1e-5) & (ids >= 0)
                 for r, i, g in zip(rows, ids, good, strict=True):
                     out[r] = self.order[i[g]]
-                again.append(rows[good.all(axis=1)] if beam < n else rows[:0])
+                unfilled = (ids < 0).any(axis=1)
+                rest.append(rows[unfilled])
+                again.append(rows[good.all(axis=1) & ~unfilled])
             left, beam = np.concatenate([*again, np.zeros(0, np.int64)]).astype(np.int64), 2 * beam
+        return out, np.sort(np.concatenate([*rest, left]))
+
+    def near(self, q: np.ndarray, least: float, beam: int) -> list[np.ndarray]:
+        """As ``met``, and queries left over are compared with every node."""
+        out, rest = self.met(q, least, beam)
+        step = max(1, (1 << 22) // max(1, len(self.x)))
+        for lo in range(0, len(rest), step):
+            close = q[rest[lo : lo + step]].astype(np.float32) @ self.x.T >= least - 1e-5
+            for r, c in zip(rest[lo : lo + step], close, strict=True):
+                out[r] = np.flatnonzero(c)
         return out
 
     def dump(self) -> bytes:
@@ -204,30 +223,35 @@ class Graph:
         return g
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links."""
-    root: dict[int, int] = {}
+class _Forest:
+    """A spanning forest of the links between queries and the nodes ``ids`` of a shard, a query at a time."""
 
-    def find(x: int) -> int:
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = root.setdefault(up, up)
-            x = up
-        return x
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.up = ids, np.arange(len(ids))
+        self.a: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.b: list[np.ndarray] = [np.zeros(0, np.int64)]
 
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        i, j = find(x), find(y)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-            out.append((x, y))
-    return out
+    def add(self, own: int, nodes: np.ndarray) -> None:
+        root = self.up[nodes]
+        while ((above := self.up[root]) != root).any():
+            root = above
+        self.up[nodes] = root
+        tops, first = (root[:1], np.zeros(1, np.int64)) if (root == root[0]).all() else np.unique(root, return_index=True)
+        self.up[tops] = tops[0]
+        other = self.ids[nodes[first]]
+        other = other[other != own]
+        self.a.append(np.full(len(other), own, np.int64))
+        self.b.append(other)
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(self.a), np.concatenate(self.b)
 
 
 def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: int = 100_000, block: int = 4096, beam: int = 32, recall: float = 0.995, audit: int = 24) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
     There are ``shards`` graphs, more where one would exceed ``per_shard`` vectors. ``audit`` queries of each block are also
-    compared with the whole shard; under ``recall`` the block's beams are doubled and it is searched again. Vectors that are
+    compared with the whole shard; under ``recall`` the whole block is. Vectors that are
     null, empty, zero or hold null or non-finite components link with nothing; so do vectors of different lengths with each
     other, and rows with a null vec_id (their component_id is null). A repeated vec_id counts once (its smallest vector).
     """
@@ -260,27 +284,35 @@ def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: i
         exact = np.frombuffer(graph.exact[0]).reshape(len(ids), -1)
         rows = rows.sort_values("vec_id")
         mine, q = rows.vec_id.to_numpy(), _unit(rows.v)
+        forest, count = _Forest(ids), np.zeros(len(q), np.int64)
+
+        def add(r, nodes):
+            count[r] = (ids[nodes] != mine[r]).sum()
+            if count[r]:
+                forest.add(mine[r], nodes)
+
+        def compare(part):
+            step = max(1, (1 << 22) // len(ids))
+            for lo in range(0, len(part), step):
+                close = q[part[lo : lo + step]] @ exact.T >= least
+                for i in np.flatnonzero(close.any(axis=1)):
+                    add(part[lo + i], np.flatnonzero(close[i]))
+
         test = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-        whole = (q[test] @ exact.T >= least) & (mine[test][:, None] != ids[None, :])
-        width = beam
-        while True:
-            found = net.near(q, least, width)
-            who = np.repeat(np.arange(len(q)), [len(f) for f in found])
-            node = np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)
-            other = mine[who] != ids[node]
-            who, node = who[other], node[other]
-            near = [np.einsum("ij,ij->i", q[who[lo : lo + (1 << 16)]], exact[node[lo : lo + (1 << 16)]]) >= least for lo in range(0, len(who), 1 << 16)]
-            ok = np.concatenate([*near, np.zeros(0, bool)])
-            who, node = who[ok], node[ok]
-            met = np.isin(who, test).sum()
-            if met >= recall * whole.sum() or width >= len(ids):
-                break
-            width *= 2
-        a, b = mine[who], ids[node]
-        count = np.bincount(who, minlength=len(mine))
-        tree = _forest(a, b)
+        compare(test)
+        found, rest = net.met(q, least, beam)
+        found = [f[exact[f] @ v >= least] for f, v in zip(found, q, strict=True)]
+        sure = np.setdiff1d(test, rest)
+        met = sum((ids[found[r]] != mine[r]).sum() for r in sure)
+        if met < recall * count[sure].sum():  # the graph falls short
+            rest = np.arange(len(q))
+        rest = np.setdiff1d(rest, test)
+        compare(rest)
+        for r in np.setdiff1d(np.arange(len(q)), np.concatenate([rest, test])):
+            add(r, found[r])
+        a, b = forest.edges()
         linked = np.flatnonzero(count)
-        return pd.DataFrame({"a": np.concatenate([mine[linked], np.array([x for x, _ in tree], np.int64)]), "b": np.concatenate([mine[linked], np.array([y for _, y in tree], np.int64)]), "n": np.concatenate([count[linked], np.zeros(len(tree), np.int64)])})
+        return pd.DataFrame({"a": np.concatenate([mine[linked], a]), "b": np.concatenate([mine[linked], b]), "n": np.concatenate([count[linked], np.zeros(len(a), np.int64)])})
 
     keys = ["shard", "dim", "part"]
     seen = stored(asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(search, "a long, b long, n long"))

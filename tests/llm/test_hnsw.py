@@ -81,3 +81,14 @@ def test_half_a_shard_equal(make):
         assert set(np.flatnonzero(close[100 * r])) <= set(f.tolist())
     df = make([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     assert numbers(hnsw.links(df, shards=1)) == {i: (int(n) - 1, 0) for i, n in enumerate(close.sum(axis=1))}
+
+
+def test_rare_links_among_copies(make):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.repeat(rng.normal(size=(100, 32)), 60, axis=0), rng.normal(size=(1000, 32))])
+    x = np.concatenate([x, x[-200:] + 0.3 * rng.normal(size=(200, 32))])
+    unit = hnsw._unit(x)
+    close = unit @ unit.T >= 0.9
+    df = make([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = numbers(hnsw.links(df, shards=1))
+    assert [got[i][0] for i in range(len(x))] == (close.sum(axis=1) - 1).tolist()

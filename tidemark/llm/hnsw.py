@@ -3,8 +3,8 @@
 Vectors are spread over shards by a hash; each shard's graph is built in one task, by batches: a batch searches the graph as
 it stands and is linked to what it finds and to its own members.  Every vector then queries every shard.  A search keeps a
 beam of the best nodes; a query whose beam holds nothing below the threshold is searched again with a beam twice as wide.
-Queries that no beam settles, and a block of queries whose audited links fall short of the recall aimed at, are compared with
-all vectors of the shard.  Cosines are verified in double precision.  A task reports for each query how many links it has and, for the components, a spanning forest of the
+Queries that no beam settles are compared with all vectors of the shard, and so are audited queries: as many of each block as
+it takes to see enough that have links, which where links are rare is all of them, and all where the recall falls short.  Cosines are verified in double precision.  A task reports for each query how many links it has and, for the components, a spanning forest of the
 links it saw, never the pairs.
 """
 
@@ -247,11 +247,13 @@ class _Forest:
         return np.concatenate(self.a), np.concatenate(self.b)
 
 
-def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: int = 100_000, block: int = 4096, beam: int = 32, recall: float = 0.995, audit: int = 24) -> DataFrame:
+def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: int = 100_000, block: int = 4096, beam: int = 32, recall: float = 0.995, audit: int = 400) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
-    There are ``shards`` graphs, more where one would exceed ``per_shard`` vectors. ``audit`` queries of each block are also
-    compared with the whole shard; under ``recall`` the whole block is. Vectors that are
+    There are ``shards`` graphs, more where one would exceed ``per_shard`` vectors. Random queries of each
+    block are compared with the whole shard until ``audit`` of them have links there, but fewer than ``beam``; a block without
+    so many is thereby compared in full. Where the graph meets less than ``recall`` of a query's links, on average over these
+    queries or over those with more links, the rest of the block is compared too. Vectors that are
     null, empty, zero or hold null or non-finite components link with nothing; so do vectors of different lengths with each
     other, and rows with a null vec_id (their component_id is null). A repeated vec_id counts once (its smallest vector).
     """
@@ -298,18 +300,26 @@ def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: i
                 for i in np.flatnonzero(close.any(axis=1)):
                     add(part[lo + i], np.flatnonzero(close[i]))
 
-        test = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-        compare(test)
-        found, rest = net.met(q, least, beam)
-        found = [f[exact[f] @ v >= least] for f, v in zip(found, q, strict=True)]
-        sure = np.setdiff1d(test, rest)
-        met = sum((ids[found[r]] != mine[r]).sum() for r in sure)
-        if met < recall * count[sure].sum():  # the graph falls short
-            rest = np.arange(len(q))
-        rest = np.setdiff1d(rest, test)
-        compare(rest)
-        for r in np.setdiff1d(np.arange(len(q)), np.concatenate([rest, test])):
-            add(r, found[r])
+        # audit until enough queries with few links are seen; where links are rare that is the whole block
+        order, done, sparse = np.random.default_rng(len(q)).permutation(len(q)), 0, 0
+        while done < len(q) and (done < audit or sparse < audit):
+            more = order[done : done + max(256, done)]
+            compare(more)
+            done += len(more)
+            sparse += ((count[more] > 0) & (count[more] < beam)).sum()
+        test, rest = order[:done], order[done:]
+        if len(rest):
+            found, open_ = net.met(q, least, beam)
+            found = [f[exact[f] @ v >= least] for f, v in zip(found, q, strict=True)]
+            met = np.array([(ids[f] != mine[r]).sum() for r, f in enumerate(found)])
+            sure = np.setdiff1d(test[count[test] > 0], open_)
+            few = sure[count[sure] < beam]
+            short = any((met[some] / count[some]).mean() < recall for some in (few, sure[count[sure] >= beam]) if len(some))
+            if not short and len(few):
+                for r in np.setdiff1d(rest, open_):
+                    add(r, found[r])
+                rest = np.intersect1d(rest, open_)
+            compare(rest)
         a, b = forest.edges()
         linked = np.flatnonzero(count)
         return pd.DataFrame({"a": np.concatenate([mine[linked], a]), "b": np.concatenate([mine[linked], b]), "n": np.concatenate([count[linked], np.zeros(len(a), np.int64)])})

@@ -81,3 +81,21 @@ def test_blocks_long_text_and_empty(make, monkeypatch):
     none = make([], "item_id long, text string")
     assert decontaminate.leaks(docs, none).count() == 0 and decontaminate.drop_leaks(docs, none).count() == 4
     assert decontaminate.leaks(docs.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.2])
+def test_full_budget(make, rate):
+    rng = random.Random(9)
+    items = [(i, "".join(rng.choice(letters) for _ in range(n))) for i, (n, letters) in enumerate((n, a) for n in (5, 12, 20, 31, 100, 153, 270) for a in ("abcdefgh", "abcdéf字g", "a\U0001d11eb"))]
+    docs = []
+    for i, x in items:
+        for more in (0, 1):
+            y = list(x)
+            for k in range(int(rate * len(x)) + more):  # spread evenly
+                y[int((k + 0.5) * len(x) / (int(rate * len(x)) + more))] = "Z"
+            docs.append((2 * i + more, "so " + "".join(y) + " it is"))
+    want = {(d, i, e) for d, t in docs for i, x in items if (e := least_edits(x, squeeze(t))) <= int(rate * len(x))}
+    assert {(2 * i, i) for i, _ in items} <= {(d, i) for d, i, _ in want}
+    d, b = make(docs, "doc_id long, text string"), make(items, "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.leaks(d, b, rate, full=True).collect()} == want
+    assert {r.doc_id for r in decontaminate.drop_leaks(d, b, rate).collect()} == {d for d, _ in docs} - {d for d, _, _ in want}

@@ -75,56 +75,76 @@ def edits(item: str, text: str) -> int:
 class Items:
     """Test items of one block with their pieces, and a table that most 8-grams of a text miss."""
 
-    def __init__(self, rows: list[tuple[int, str]], rate: float):
+    def __init__(self, rows: list[tuple[int, str]], rate: float, full: bool = False):
         self.ids = [i for i, t in rows if normal(t)]
         self.texts = [normal(t) for _, t in rows if normal(t)]
         self.raw = [np.frombuffer(t.encode(), np.uint8) for t in self.texts]
         least = [GRAM if t.isascii() else GRAM + 3 for t in self.texts]  # cuts move to the next character
-        self.budget = [max(0, min(int(rate * len(t)), len(r) // n - 1)) for t, r, n in zip(self.texts, self.raw, least, strict=True)]
-        self.short = [k for k, r in enumerate(self.raw) if len(r) < GRAM]
-        cut = [np.arange(e + 2) * len(r) // (e + 1) for r, e in zip(self.raw, self.budget, strict=True)]
-        for r, c in zip(self.raw, cut, strict=True):
+        if full:
+            self.budget = [max(0, min(int(rate * len(t)), len(t) - 1)) for t in self.texts]
+        else:
+            self.budget = [max(0, min(int(rate * len(t)), len(r) // n - 1)) for t, r, n in zip(self.texts, self.raw, least, strict=True)]
+        self.short = [k for k, (r, e) in enumerate(zip(self.raw, self.budget, strict=True)) if len(r) < GRAM and not e]
+        cut = []
+        for r, e in zip(self.raw, self.budget, strict=True):
             starts = np.append(np.flatnonzero((r & 0xC0) != 0x80), len(r))
-            c[:] = starts[np.searchsorted(starts, c)]
-        none = np.zeros(0, np.int64)
-        self.owner = np.concatenate([none, *(np.full(len(c) - 1, k) for k, c in enumerate(cut) if k not in set(self.short))])
-        self.place = np.concatenate([none, *(c[:-1] for k, c in enumerate(cut) if k not in set(self.short))])
-        self.size = np.concatenate([none, *(np.diff(c) for k, c in enumerate(cut) if k not in set(self.short))])
+            if len(r) // (e + 1) >= GRAM:
+                cut.append(starts[np.searchsorted(starts, np.arange(e + 2) * len(r) // (e + 1))])
+            else:  # by characters, so that no piece is empty
+                cut.append(starts[np.arange(e + 2) * (len(starts) - 1) // (e + 1)])
+        none, short = np.zeros(0, np.int64), set(self.short)
+        used = [(k, c) for k, c in enumerate(cut) if k not in short]
+        owner = np.concatenate([none, *(np.full(len(c) - 1, k) for k, c in used)])
+        place = np.concatenate([none, *(c[:-1] for _, c in used)])
+        size = np.concatenate([none, *(np.diff(c) for _, c in used)])
+        number = np.concatenate([none, *(np.arange(len(c) - 1) for _, c in used)])
         self.flat = np.concatenate([np.zeros(0, np.uint8), *self.raw])
         self.first = np.concatenate([[0], np.cumsum([len(r) for r in self.raw])]).astype(np.int64)
-        at = self.first[self.owner] + self.place
+        at = self.first[owner] + place
+        width = np.minimum(size, GRAM)
         gram = np.zeros(len(at), U64)
         for j in range(GRAM):
-            gram |= self.flat[at + j].astype(U64) << U64(8 * j)
-        order = np.argsort(gram, kind="stable")
-        self.gram, self.owner, self.place, self.size = gram[order], self.owner[order], self.place[order], self.size[order]
+            inside = width > j
+            gram[inside] |= self.flat[at[inside] + j].astype(U64) << U64(8 * j)
+        order = np.lexsort([gram, width])
+        self.gram, self.owner, self.place, self.size, self.number = gram[order], owner[order], place[order], size[order], number[order]
         points = [np.concatenate([[0], np.cumsum((r & 0xC0) != 0x80)]) for r in self.raw]
         #: For each item the places of its pieces, and its end, in code points.
         self.cuts = [points[k][c] for k, c in enumerate(cut)]
-        self.number = np.concatenate([none, *(np.arange(len(c) - 1) for k, c in enumerate(cut) if k not in set(self.short))])[order]
-        self.table = np.zeros(1 << _TABLE_BITS, bool)
-        self.table[_slot(self.gram)] = True
+        #: For each length of grams (that of the piece, eight at most) the range of its pieces, and its table.
+        self.tables = []
+        for g in np.unique(width).tolist():
+            lo, hi = np.searchsorted(width[order], [g, g + 1]).tolist()
+            table = np.zeros(1 << _TABLE_BITS, bool)
+            table[_slot(self.gram[lo:hi])] = True
+            self.tables.append((g, lo, hi, table))
 
     def hits(self, body: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, place, piece) for each exact piece within one of the texts of ``body``, by bytes."""
         none = np.zeros(0, np.int64)
-        if len(body) < GRAM or not len(self.gram):
-            return none, none, none
-        x = body.astype(U64)
+        out = [(none, none, none)]
+        if not len(body) or not self.tables:
+            return out[0]
+        x = np.concatenate([body, np.zeros(GRAM - 1, np.uint8)]).astype(U64)
         for n in (1, 2, 4):
             x = x[:-n] | (x[n:] << U64(8 * n))
-        at = np.flatnonzero(self.table[_slot(x)])
-        lo, hi = np.searchsorted(self.gram, x[at], "left"), np.searchsorted(self.gram, x[at], "right")
-        many = hi - lo
-        piece = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        at = np.repeat(at, many)
-        text = np.searchsorted(edges, at, "right") - 1
-        inside = at + self.size[piece] <= edges[text + 1]
-        at, piece, text = at[inside], piece[inside], text[inside]
-        for back in range(GRAM, int(self.size.max(initial=GRAM))):  # the rest of each piece, byte by byte
-            own = self.first[self.owner[piece]] + self.place[piece] + back
-            same = (self.size[piece] <= back) | (body[np.minimum(at + back, len(body) - 1)] == self.flat[np.minimum(own, len(self.flat) - 1)])
-            at, piece, text = at[same], piece[same], text[same]
+        for g, first, end, table in self.tables:
+            y = x if g == GRAM else x & U64((1 << 8 * g) - 1)
+            at = np.flatnonzero(table[_slot(y)])
+            gram = self.gram[first:end]
+            lo, hi = np.searchsorted(gram, y[at], "left"), np.searchsorted(gram, y[at], "right")
+            many = hi - lo
+            piece = first + np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            at = np.repeat(at, many)
+            text = np.searchsorted(edges, at, "right") - 1
+            inside = at + self.size[piece] <= edges[text + 1]
+            at, piece, text = at[inside], piece[inside], text[inside]
+            for back in range(g, int(self.size[first:end].max())):  # the rest of each piece, byte by byte
+                own = self.first[self.owner[piece]] + self.place[piece] + back
+                same = (self.size[piece] <= back) | (body[np.minimum(at + back, len(body) - 1)] == self.flat[np.minimum(own, len(self.flat) - 1)])
+                at, piece, text = at[same], piece[same], text[same]
+            out.append((text, at, piece))
+        text, at, piece = (np.concatenate(p) for p in zip(*out, strict=True))
         return text, at, piece
 
     def _grown(self, text: str, item: int, piece: int, place: int) -> int | None:
@@ -180,11 +200,11 @@ def _blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield rows
 
 
-def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: str) -> DataFrame:
+def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: str, full: bool) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(rows)
 
     def run(batches):
-        items = Items(sent.value, rate)
+        items = Items(sent.value, rate, full)
         for batch in batches:
             ids, item, score = [], [], []
             data, offsets = utf8(batch.column(1))
@@ -202,12 +222,12 @@ def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: st
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, item_id long, edits long")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, full: bool = False) -> DataFrame:
     """(doc_id, item_id, edits): each document that holds a test item, and the fewest edits that make it one.
 
     Documents and items are compared with lower-case ASCII letters and runs of ASCII white space as one space. The budget is
-    ``rate`` edits a character, less where pieces would get shorter than eight bytes (eleven if not ASCII). Null or blank texts match nothing; items
-    under eight bytes must occur as they are. The items pass in blocks of bounded size, each against all documents, without a
+    ``rate`` edits a character; without ``full`` it is less where pieces would get shorter than eight bytes (eleven if not
+    ASCII). Null or blank texts match nothing; items without a budget must occur as they are. The items pass in blocks of bounded size, each against all documents, without a
     shuffle of texts. Rows that repeat a doc_id count as one document; a null doc_id is one document too. Tables without rows
     give no rows; extra columns are ignored.
     """
@@ -215,11 +235,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, edits long")
     for rows in _blocks_of(benchmark):
-        found = found.unionByName(_scan(docs, rows, rate, "long"))
+        found = found.unionByName(_scan(docs, rows, rate, "long", full))
     return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """``docs`` without those that hold a test item; columns as they were. Rows with a null id stay if no such row leaks."""
-    lost = leaks(docs, benchmark, rate).select("doc_id").distinct().withColumnRenamed("doc_id", "_leak")
+    lost = leaks(docs, benchmark, rate, full=True).select("doc_id").distinct().withColumnRenamed("doc_id", "_leak")
     return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(F.col("_leak")), "left_anti")

@@ -42,7 +42,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_decontaminate")
 def decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), full=True)
 
 
 @query("op8_language_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, secrets, suffix, tokens
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, resample, secrets, suffix, tokens
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,39 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_rollup")
 def token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.corpus_totals(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_importance_resample",
+    r"""
+    WITH RECURSIVE crc_step AS (
+      SELECT range AS byte, range AS c, 0 AS k FROM range(256)
+      UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_step WHERE k < 8),
+    crc_table AS (SELECT list(c ORDER BY byte) AS steps FROM crc_step WHERE k = 8),
+    texts AS (
+      SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    worded AS (
+      SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+    feature AS (
+      SELECT side, id, unnest(w) AS f FROM worded
+      UNION ALL SELECT side, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded),
+    coded AS (
+      SELECT f, xor(list_reduce(list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::BIGINT),
+                                lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+      FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM feature)), crc_table),
+    counted AS (
+      SELECT bucket, count(*) FILTER (side = 'd')::DOUBLE AS s, count(*) FILTER (side = 'b')::DOUBLE AS t FROM feature JOIN coded USING (f) GROUP BY bucket),
+    gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(t * 0 + s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM counted),
+    summed AS (
+      SELECT id, count(*) AS n, sum(gain)::BIGINT AS g FROM feature JOIN coded USING (f) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id),
+    scored AS (
+      SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce((g - (g % n + n) % n) // n, 0) AS weight,
+        ('0x' || sha256('7:' || id)[1:8])::BIGINT AS h FROM worded LEFT JOIN summed USING (id) WHERE side = 'd'),
+    noisy AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0)))::BIGINT AS score FROM scored),
+    placed AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 25 // 100 AS drawn FROM noisy WHERE n_words >= 20)
+    SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM noisy LEFT JOIN placed USING (doc_id)
+    """,
+)
+def importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, resample, secrets, suffix, tokens
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, resample, rules, secrets, suffix, tokens
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,8 @@ def token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

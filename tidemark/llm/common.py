@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, shared_folder
 
 U64 = np.uint64
 #: Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
@@ -22,6 +23,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table of its own in the shared folder: compressed, and columns are read apart."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string column; a null has length zero."""
     if pa.types.is_null(column.type):
@@ -48,6 +56,30 @@ def blocks(offsets: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]
         lo = hi
 
 
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[0x30:0x3A] = _IN_WORD[0x61:0x7B] = _IN_WORD[0x80:] = True
+
+
+def folded_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of a block of texts as one binary column, A-Z in lower case, and for each text where its words begin.
+
+    Words are runs of ASCII letters and digits and of all characters beyond ASCII.
+    """
+    body = _FOLD[data]
+    inside = np.zeros(len(body) + 2, bool)
+    inside[1:-1] = _IN_WORD[body]
+    first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+    inner = offsets[(offsets > 0) & (offsets < len(body))]  # words end with their text
+    first[inner] = inside[inner + 1]
+    last[inner - 1] = inside[inner]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body[inside[1:-1]])])
+    return words, np.searchsorted(starts, offsets)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     with np.errstate(over="ignore"):

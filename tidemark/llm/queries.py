@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, langid, lines, minhash, mixing, resample, rules, secrets, suffix, tokens
+from tidemark.llm import chat, decontaminate, hnsw, langid, lines, maxscore, minhash, mixing, resample, rules, secrets, suffix, tokens
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -159,3 +159,26 @@ def importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op11_maxscore_search",
+    r"""
+    WITH worded AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    asked AS (
+      SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    long AS (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id),
+    total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM long),
+    held AS (SELECT doc_id, term, count(*) AS tf FROM worded GROUP BY doc_id, term),
+    weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, total GROUP BY term, docs),
+    scored AS (
+      SELECT item_id, doc_id, sum(w * times * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))))::BIGINT AS score
+      FROM (SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term) JOIN weight USING (term) JOIN held USING (term) JOIN long USING (doc_id), total
+      GROUP BY item_id, doc_id)
+    SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+    WHERE rank <= 20
+    """,
+)
+def maxscore_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

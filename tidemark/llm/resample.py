@@ -18,18 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, stored, utf8
+from tidemark.llm.common import blocks, folded_words, stored, utf8
 from tidemark.operators.ranking import cumulative_counts
 
 BUCKETS = 10_000
 #: Cells of a byte matrix at most, and the length from which features, too rare to share one, are hashed one by one.
 CELLS, LONG = 1 << 22, 1 << 10
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_IN_WORD = np.zeros(256, bool)
-_IN_WORD[0x30:0x3A] = _IN_WORD[0x61:0x7B] = _IN_WORD[0x80:] = True
-
 
 def _crc_table() -> np.ndarray:
     """One step of the CRC (reversed polynomial 0xEDB88320) for each byte."""
@@ -69,26 +64,11 @@ def crc32s(features: pa.Array) -> np.ndarray:
     return out
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words of a block of texts as one binary column, and for each text where its words begin."""
-    body = _FOLD[data]
-    inside = np.zeros(len(body) + 2, bool)
-    inside[1:-1] = _IN_WORD[body]
-    first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
-    inner = offsets[(offsets > 0) & (offsets < len(body))]  # words end with their text
-    first[inner] = inside[inner + 1]
-    last[inner - 1] = inside[inner]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body[inside[1:-1]])])
-    return words, np.searchsorted(starts, offsets)
-
-
 def feature_buckets(column: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For blocks of texts: buckets of all words, buckets of all pairs (-1 where a text ends), and the places where each text's words begin and end."""
     data, offsets = utf8(column)
     for lo, hi in blocks(offsets):
-        words, at = _words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        words, at = folded_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         if not len(words):
             yield np.zeros(0, np.int64), np.zeros(0, np.int64), at[:-1], at[1:]
             continue

@@ -191,7 +191,7 @@ def test_long_windows_forget_what_left_them(spark):
     df = spark.createDataFrame(pd.DataFrame({"jq_code": "a", "date": pd.date_range("2000-01-01", periods=n).date, "X": x})).withColumn("X", F.when(~F.isnan("X"), F.col("X")))
     ctx = factors.Ctx()
     out = {f"{op}{k}": getattr(ctx, op)("X", k) for op in ("rsum", "var", "skew", "kurt") for k in (20, 60, 120)}
-    got = df.withColumns(ctx.running).withColumns(ctx.windows).select("date", *[v.alias(k) for k, v in out.items()]).orderBy("date").toPandas()
+    got = df.withColumns(ctx.windows).select("date", *[v.alias(k) for k, v in out.items()]).orderBy("date").toPandas()
     s = pd.Series(x)
     for k in (20, 60, 120):
         want = {"rsum": s.rolling(k).sum(), "var": s.rolling(k).var(), "skew": s.rolling(k).skew(), "kurt": s.rolling(k).kurt()}
@@ -217,9 +217,60 @@ def test_beta_forgets_too(spark):
 
 
 def test_only_what_the_factors_read_is_planned(spark):
-    assert [x.out for x in factors.needed_smoothers({"trix5_3"})] == ["trix5_1", "trix5_2", "trix5_3"]
-    assert [x.out for x in factors.needed_smoothers({"macd_dea"})] == ["ema_c12", "ema_c26", "macd_dea"]
-    assert {"mass_1", "mass_2"} == {x.out for x in factors.needed_smoothers({"MASS_R"})} and factors.needed_smoothers({"C"}) == []
+    spec = {s.id: s for s in factors.ALL}
+    plan = lambda *ids: factors.Plan.of([spec[i] for i in ids], [*factors.DAILY, *factors.STATEMENT])
+    assert plan("trix5").base == {"C"} and sorted(plan("trix5").rounds.values()) == [1, 2, 3, 4]
+    assert plan("close_bfq").rounds == {} and plan("close_bfq").base == {"close_bfq"}
+    assert len(plan("macd", "ema12", "ema26").ctx.smoothers) == 3  # the signal line shares both means
+    assert plan("mass").base == {"HL"} and plan("curr_ratio").base == {"b_total_current_assets", "b_total_current_liability"}
+
+
+def test_formulas_nest_windows_and_recursions_both_ways(spark, market):
+    """ema(ma(x, 5), 9) / ema(ema(x, 9), 9), a window over a recursion over an expression, and a recursion over a point function."""
+    c = F.col
+    formulas = {
+        "two": lambda x: x.ema(x.ma("C", 5), 9) / x.ema(x.ema("C", 9), 9),
+        "over": lambda x: x.rmax(x.ema(c("V") / x.ma("V", 3) - 1, 4), 6),
+        "point": lambda x: x.wilder(F.abs(x.shift(c("C") - c("L"), 1)), 7),
+        "gaps": lambda x: x.ema(x.ema("TO", 5), 5),
+    }
+    got = factors.factor_daily(market, None, [factors.Spec(k, "osc", k, "plain", f) for k, f in formulas.items()], dtype=None).toPandas()
+    smooth_n = lambda x, n: pd.Series(literal_smooth(np.asarray(x, float), 2 / (n + 1), n))
+    for code, m in market.toPandas().sort_values("date").groupby("jq_code"):
+        m, g = m.reset_index(drop=True), got[got.jq_code == code].sort_values("date").reset_index(drop=True)
+        C, V, L = m.close_hfq, m.volume_shares, m.low * m.hfq_factor
+        want = {
+            "two": smooth_n(C.rolling(5).mean(), 9) / smooth_n(smooth_n(C, 9), 9),
+            "over": smooth_n(V / V.rolling(3).mean() - 1, 4).rolling(6).max(),
+            "point": pd.Series(literal_smooth((C - L).shift(1).abs().to_numpy(), 1 / 7, 7)),
+            "gaps": smooth_n(smooth_n(m.turnover, 5), 5),
+        }
+        for k, w in want.items():
+            np.testing.assert_allclose(g[k].to_numpy(float), w.to_numpy(float), rtol=1e-9, err_msg=f"{code} {k}")
+
+
+def test_requirements_are_read_from_the_formulas(spark):
+    need = {name: (deps, rows, rec) for name, deps, rows, rec in factors.requirements()}
+    assert len(need) == 162
+    assert need["ma20"] == (["close_hfq"], 19, False) and need["skew20"] == (["close_hfq"], 20, False)
+    assert need["macd"] == (["close_hfq"], 4 * 26 + 4 * 9, True) and need["trix5"] == (["close_hfq"], 61, True)
+    assert need["mfi14"] == (["close_hfq", "hfq_factor", "high", "low", "volume_shares"], 14, False)
+    assert need["pvt"] == (["close_hfq", "volume_shares"], None, False)
+    assert need["ocf_np"][0] == ["t_net_operate_cash_flow", "t_net_profit"] and need["ocf_np"][1] == 0
+    with pytest.raises(ValueError, match="operators of Ctx"):
+        factors.Plan.of([factors.Spec("x", "osc", "x", "plain", lambda x: F.lag("C").over(factors.ROLL.base()))], factors.DAILY)
+
+
+def test_scan_refuses_groups_beyond_its_reach(spark, monkeypatch):
+    from tidemark.functions import recursive
+
+    monkeypatch.setattr(recursive, "STRIDES", (1, 4))
+    monkeypatch.setattr(recursive, "LONGEST", 16)
+    df = lambda n: spark.range(n).selectExpr("'a' AS code", "id AS t", "id * 1.0D AS x")
+    one = recursive.Smooth("y", "x", 0.5, 1)
+    assert recursive.apply_smoothers(df(16), "code", "t", [one], ["x"]).count() == 16
+    with pytest.raises(Exception, match="more than 16 rows"):
+        recursive.apply_smoothers(df(17), "code", "t", [one], ["x"]).collect()
 
 
 def test_restated_report_stays_visible_until_the_next_one(spark, d):

@@ -1,8 +1,9 @@
-"""Recursive smoothers.
+"""Recursive smoothers as composed affine maps.
 
-Their state reaches back to the first bar, which no bounded frame can express, so they run as one grouped
-Arrow function per code: all smoothers of a code in a single pass over its (calendar-bounded) history.
-Everything else in the factor table stays in native windows.
+A row of an exponential mean maps the state before it to the state after it: y -> a * y + b.  A missing value keeps the state, the
+first full window replaces it, a value after a gap weighs more.  Maps compose, so all states come from a scan in which each round
+composes a row's map with those 1, 4, 16, ... rows before: seven rounds of native window look-backs cover 16,384 rows.  No code's
+history is handed to Python or folded in one piece.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+#: Look-backs of the scan; four times the last one bounds the rows of a code.
+STRIDES = tuple(4**k for k in range(7))
+LONGEST = 4 * STRIDES[-1]
 
 
 @dataclass(frozen=True)
@@ -40,7 +43,7 @@ def ewm_first(out: str, src: str | tuple[str, str], alpha: float) -> Smooth:
 
 
 def smooth(x: np.ndarray, alpha: float, seed: int) -> np.ndarray:
-    """Exponential mean started by the first full-window simple mean; the weight decays over gaps."""
+    """The recurrence over one array, for tests: started by the first full-window simple mean; the weight decays over gaps."""
     s = pd.Series(x, dtype="float64")
     if seed > 1:
         mean = s.rolling(seed, min_periods=seed).mean()
@@ -50,22 +53,45 @@ def smooth(x: np.ndarray, alpha: float, seed: int) -> np.ndarray:
     return s.ewm(alpha=alpha, adjust=False, ignore_na=False).mean().to_numpy()
 
 
+def in_rounds(smoothers: Sequence[Smooth]) -> list[list[Smooth]]:
+    """Smoothers by depth: those of a round read columns and outputs of earlier rounds only."""
+    depth: dict[str, int] = {}
+    for s in smoothers:
+        depth[s.out] = 1 + max((depth.get(x, -1) for x in ((s.src,) if isinstance(s.src, str) else s.src)), default=-1)
+    return [[s for s in smoothers if depth[s.out] == d] for d in range(max(depth.values(), default=-1) + 1)]
+
+
+def _scan(df: DataFrame, by: str, order: str, smoothers: Sequence[Smooth]) -> DataFrame:
+    """One round of smoothers that do not read each other, as SQL expressions: a round has hundreds, and text is quick to hand over."""
+    keep, names = [f"`{c}`" for c in df.columns], [f"__s{k}" for k in range(len(smoothers))]
+    rows = f"PARTITION BY `{by}` ORDER BY `{order}`"
+    upto, before, whole = (f"OVER ({rows} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})" for end in ("CURRENT ROW", "1 PRECEDING", "UNBOUNDED FOLLOWING"))
+    each = lambda text: [text.format(n=n, seed=s.seed, alpha=repr(s.alpha)) for n, s in zip(names, smoothers)]
+    value = [f"cast(`{s.src}` AS double)" if isinstance(s.src, str) else f"cast(`{s.src[0]}` - `{s.src[1]}` AS double)" for s in smoothers]
+    df = df.selectExpr(*keep, f"row_number() OVER ({rows}) AS __rn", *(f"CASE WHEN NOT isnan({x}) THEN {x} END AS {n}x" for n, x in zip(names, value)))
+    df = df.selectExpr("*", *each(f"__rn - coalesce(max(CASE WHEN {{n}}x IS NULL THEN __rn END) {upto}, 0) >= {{seed}} AS {{n}}full"))
+    df = df.selectExpr("*", *each(f"min(CASE WHEN {{n}}full THEN __rn END) {whole} AS {{n}}start"), *each(f"count(CASE WHEN {{n}}full THEN 1 END) {upto} > 1 AND {{n}}x IS NOT NULL AS {{n}}counts"))
+    # between the first full window and the second, values do not count
+    df = df.selectExpr(
+        "*", *each(f"avg(CASE WHEN __rn > {{n}}start - {{seed}} AND __rn <= {{n}}start THEN {{n}}x END) {whole} AS {{n}}mean"),
+        *each(f"pow(1 - {{alpha}}D, __rn - max(CASE WHEN __rn = {{n}}start OR {{n}}counts THEN __rn END) {before}) AS {{n}}kept"),
+    )
+    df = df.selectExpr(
+        *keep, "__rn", *(f"{n}start" for n in names),
+        *each("CASE WHEN __rn = {n}start THEN 0D WHEN {n}counts THEN {n}kept / ({n}kept + {alpha}D) ELSE 1D END AS {n}a"),
+        *each("CASE WHEN __rn = {n}start THEN {n}mean WHEN {n}counts THEN {alpha}D * {n}x / ({n}kept + {alpha}D) ELSE 0D END AS {n}b"),
+    )
+    for stride in STRIDES:  # a row's map after the three maps before it
+        df = df.selectExpr("*", *(f"lag({n}{what}, {k * stride}, {none}) OVER ({rows}) AS {n}{what}{k}" for n in names for what, none in (("a", "1D"), ("b", "0D")) for k in (1, 2, 3)))
+        df = df.selectExpr(*keep, "__rn", *(f"{n}start" for n in names), *each("{n}a * {n}a1 * {n}a2 * {n}a3 AS {n}a"), *each("{n}b + {n}a * ({n}b1 + {n}a1 * ({n}b2 + {n}a2 * {n}b3)) AS {n}b"))
+    short = f"assert_true(__rn <= {LONGEST}, 'more than {LONGEST} rows of one group') IS NULL"
+    outs = [s.out for s in smoothers]
+    return df.selectExpr(*(c for c in keep if c[1:-1] not in outs), *(f"CASE WHEN __rn >= {n}start AND {short} THEN {n}b END AS `{s.out}`" for n, s in zip(names, smoothers)))
+
+
 def apply_smoothers(df: DataFrame, by: str, order: str, smoothers: Sequence[Smooth], keep: Sequence[str]) -> DataFrame:
-    """Append the smoothers' columns; ``keep`` are the columns to carry through."""
-    names = list(dict.fromkeys([by, order, *keep]))
-    fields = [f for f in df.select(*names).schema.fields]
-    schema = T.StructType(fields + [T.StructField(s.out, T.DoubleType()) for s in smoothers])
-    plan = list(smoothers)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-        for s in plan:
-            if isinstance(s.src, tuple):
-                x = pdf[s.src[0]].to_numpy("float64", na_value=np.nan) - pdf[s.src[1]].to_numpy("float64", na_value=np.nan)
-            else:
-                x = pdf[s.src].to_numpy("float64", na_value=np.nan)
-            pdf[s.out] = smooth(x, s.alpha, s.seed)
-        return pdf
-
-    out = df.select(*names).groupBy(by).applyInPandas(run, schema)
-    return out.withColumns({s.out: F.when(~F.isnan(s.out), F.col(s.out)) for s in smoothers})
+    """Append the smoothers' columns; ``keep`` are the columns to carry through. Rows are unique on (by, order)."""
+    df = df.select(*dict.fromkeys([by, order, *keep]))
+    for group in in_rounds(smoothers):
+        df = _scan(df, by, order, group)
+    return df

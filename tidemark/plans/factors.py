@@ -1,25 +1,26 @@
 """Factor library: 98 price/volume and 64 financial factors over the panel.
 
 A factor is a ``Spec``: metadata plus a function from ``Ctx`` to a Column.  ``Ctx`` hands out rolling
-operators by (operator, column, length) and remembers them, so factors that need the same window share one
-column.  ``factor_daily`` plans three layers behind one exchange on the code: recursive smoothers (one grouped
-Arrow function), rolling windows, arithmetic.
+operators by (operator, input, length) and remembers them, so factors that need the same window share one
+column.  An input is a column's name or any expression over columns and other operators' results, so windows and
+recursions nest both ways.  ``factor_daily`` orders the operators by what they read and plans them in rounds
+behind one exchange on the code.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.recursive import Smooth, apply_smoothers, ema, wilder
+from tidemark.functions.recursive import Smooth, apply_smoothers
 from tidemark.functions.scalars import log, null_if, safe_div, where, z
 from tidemark.functions.windows import Roll
 from tidemark.operators.asof import asof_join
 from tidemark.operators.dedupe import newest_report_per_day
+from tidemark.plans.fundamentals import BALANCE, CASHFLOW, INCOME
 
 ROLL = Roll("jq_code", "date")
 
@@ -31,88 +32,134 @@ UNITS = {
 GROUPS = ("ma", "pos", "dist", "turn", "vol", "osc", "lev", "ttm", "val", "cfq")
 
 
+#: Daily terms: the columns they are made of and the rows before today's that they look back over.
+TERMS: dict[str, tuple[tuple[str, ...], int]] = {
+    "C": (("close_hfq",), 0), "V": (("volume_shares",), 0), "A": (("amount",), 0), "TO": (("turnover",), 0),
+    "H": (("high", "hfq_factor"), 0), "L": (("low", "hfq_factor"), 0), "O": (("open", "hfq_factor"), 0), "PC": (("preclose", "hfq_factor"), 0),
+    "TP": (("H", "L", "C"), 0), "TR": (("H", "L", "PC"), 0), "HL": (("H", "L"), 0),
+    "R": (("C",), 1), "TP1": (("TP",), 1), "R_prev": (("R",), 1), "ord": ((), 0),
+    "UP": (("R",), 0), "V_UP": (("R", "V"), 0), "V_DN": (("R", "V"), 0), "MF": (("TP", "V"), 0), "MF_UP": (("TP", "TP1", "V"), 0), "MF_DN": (("TP", "TP1", "V"), 0),
+    "PVT": (("R", "V"), 0), "WVAD": (("C", "O", "H", "L", "V"), 0), "AR_U": (("H", "O"), 0), "AR_D": (("O", "L"), 0), "BR_U": (("H", "PC"), 0), "BR_D": (("PC", "L"), 0),
+    "CR_U": (("H", "TP1"), 0), "CR_D": (("TP1", "L"), 0),
+}
+#: Rows after which a smoother of length n has forgotten its start for practical purposes, as a multiple of n.
+SETTLED = 4
+
+
 @dataclass
 class Ctx:
-    """Rolling operators on the derived columns, each computed once.
+    """Rolling and recursive operators, each computed once.
 
-    ``running`` holds totals from the first bar, ``windows`` everything that reads a frame or a lag of them.
+    An operator's input is the name of a column or an expression; expressions may use other operators' results.  ``inputs`` holds
+    the expressions, ``windows`` everything that reads a frame, a lag or running totals of a column, ``smoothers`` the recursions.
     Window length is counted in rows; a NULL inside a window makes the result NULL.  Every length reads its own frame, so no
     value outside a window can touch its result.
     """
 
-    running: dict[str, Column] = field(default_factory=dict)
+    inputs: dict[str, Column] = field(default_factory=dict)
     windows: dict[str, Column] = field(default_factory=dict)
-
-    def _memo(self, op: str, col: str, n: int, make: Callable[[Column], Column]) -> Column:
+    smoothers: dict[str, Smooth] = field(default_factory=dict)
+    #: operator -> the column that it reads, and the rows before today's that it looks back over (None: all of them)
+    reads: dict[str, tuple[str, int | None]] = field(default_factory=dict)
+
+    def _name(self, x: str | Column) -> str:
+        """The name of an input; equal expressions share one."""
+        if isinstance(x, str):
+            return x
+        for name, known in self.inputs.items():
+            if known._jc.equals(x._jc):
+                return name
+        name = f"__x{len(self.inputs)}"
+        self.inputs[name] = x
+        return name
+
+    def _memo(self, op: str, x: str | Column, n: int, make: Callable[[Column], Column], back: int | None = -1) -> Column:
+        col = self._name(x)
         name = f"__{op}_{col}_{n}"
         if name not in self.windows:
             self.windows[name] = make(F.col(col))
+            self.reads[name] = (col, n - 1 if back == -1 else back)
+        return F.col(name)
+
+    def _smooth(self, op: str, x: str | Column, n: int, alpha: float) -> Column:
+        col = self._name(x)
+        name = f"__{op}_{col}_{n}"
+        self.smoothers[name] = Smooth(name, col, alpha, n)
+        self.reads[name] = (col, SETTLED * n)
         return F.col(name)
 
-    def _count(self, col: str, n: int) -> Column:
+    def ema(self, x: str | Column, n: int) -> Column:
+        """Exponential mean of span ``n``, started by the mean of the first full window."""
+        return self._smooth("ema", x, n, 2.0 / (n + 1))
+
+    def wilder(self, x: str | Column, n: int) -> Column:
+        """Exponential mean of weight 1/n, started by the mean of the first full window."""
+        return self._smooth("wilder", x, n, 1.0 / n)
+
+    def _count(self, col: str | Column, n: int) -> Column:
         return self._memo("count", col, n, lambda x: F.count(x).over(ROLL.last(n)))
 
-    def _full(self, op: str, col: str, n: int, fn) -> Column:
+    def _full(self, op: str, col: str | Column, n: int, fn) -> Column:
         """Aggregate of a full window read directly from its frame."""
         value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
         return F.when(self._count(col, n) == n, value)
 
-    def rsum(self, col: str, n: int) -> Column:
+    def rsum(self, col: str | Column, n: int) -> Column:
         return self._full("sum", col, n, F.sum)
 
-    def ma(self, col: str, n: int) -> Column:
+    def ma(self, col: str | Column, n: int) -> Column:
         return self.rsum(col, n) / n
 
-    def rmax(self, col: str, n: int) -> Column:
+    def rmax(self, col: str | Column, n: int) -> Column:
         return self._full("max", col, n, F.max)
 
-    def rmin(self, col: str, n: int) -> Column:
+    def rmin(self, col: str | Column, n: int) -> Column:
         return self._full("min", col, n, F.min)
 
-    def std(self, col: str, n: int) -> Column:
+    def std(self, col: str | Column, n: int) -> Column:
         return self._full("std", col, n, F.stddev_samp)
 
-    def stdp(self, col: str, n: int) -> Column:
+    def stdp(self, col: str | Column, n: int) -> Column:
         return self._full("stdp", col, n, F.stddev_pop)
 
-    def _unless_flat(self, op: str, col: str, n: int, fn, flat: float, scale: Callable[[Column], Column]) -> Column:
+    def _unless_flat(self, op: str, col: str | Column, n: int, fn, flat: float, scale: Callable[[Column], Column]) -> Column:
         """A moment of a full window; a constant window gives ``flat``."""
         value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
         same = self.rmin(col, n) == self.rmax(col, n)
         return F.when(same, F.lit(flat)).when(self._count(col, n) == n, F.coalesce(scale(value), F.lit(flat)))
 
-    def var(self, col: str, n: int) -> Column:
+    def var(self, col: str | Column, n: int) -> Column:
         return self._unless_flat("var", col, n, F.var_samp, 0.0, lambda v: v)
 
-    def skew(self, col: str, n: int) -> Column:
+    def skew(self, col: str | Column, n: int) -> Column:
         return self._unless_flat("skew", col, n, F.skewness, 0.0, lambda g1: g1 * ((n * (n - 1)) ** 0.5 / (n - 2)))
 
-    def kurt(self, col: str, n: int) -> Column:
+    def kurt(self, col: str | Column, n: int) -> Column:
         return self._unless_flat("kurt", col, n, F.kurtosis, -3.0, lambda g2: (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
-    def shift(self, col: str, k: int) -> Column:
-        return self._memo("lag", col, k, lambda x: F.lag(x, k).over(ROLL.base()))
+    def shift(self, col: str | Column, k: int) -> Column:
+        return self._memo("lag", col, k, lambda x: F.lag(x, k).over(ROLL.base()), k)
 
-    def cumsum(self, col: str) -> Column:
-        self.running[f"__run_p1_{col}"] = F.sum(F.col(col)).over(ROLL.upto())
-        return F.when(F.col(col).isNotNull(), F.col(f"__run_p1_{col}"))
+    def cumsum(self, x: str | Column) -> Column:
+        col = self._name(x)
+        return F.when(F.col(col).isNotNull(), self._memo("run", col, 1, lambda v: F.sum(v).over(ROLL.upto()), None))
 
-    def slope(self, col: str, n: int) -> Column:
+    def slope(self, col: str | Column, n: int) -> Column:
         return self._full("slope", col, n, lambda x: F.regr_slope(x, F.col("ord")))
 
-    def _frame(self, col: str, n: int) -> Column:
+    def _frame(self, col: str | Column, n: int) -> Column:
         return self._memo("list", col, n, lambda x: F.collect_list(x).over(ROLL.last(n)))
 
-    def mad(self, col: str, n: int) -> Column:
+    def mad(self, col: str | Column, n: int) -> Column:
         mean = self.ma(col, n)
         total = F.aggregate(self._frame(col, n), F.lit(0.0), lambda acc, v: acc + F.abs(v - mean))
         return F.when(mean.isNotNull(), total / n)
 
-    def since_max(self, col: str, n: int) -> Column:
+    def since_max(self, col: str | Column, n: int) -> Column:
         top = self.rmax(col, n)
         return F.when(top.isNotNull(), n - F.array_position(self._frame(col, n), top).cast("double"))
 
-    def since_min(self, col: str, n: int) -> Column:
+    def since_min(self, col: str | Column, n: int) -> Column:
         low = self.rmin(col, n)
         return F.when(low.isNotNull(), n - F.array_position(self._frame(col, n), low).cast("double"))
 
@@ -130,21 +177,6 @@ class Spec:
         return UNITS[self.unit]
 
 
-# Recursive inputs, in evaluation order (later ones may read earlier ones).
-SMOOTHERS = [
-    *[ema(f"ema_c{n}", "C", n) for n in (5, 10, 12, 13, 20, 26, 120)],
-    ema("macd_dea", ("ema_c12", "ema_c26"), 9),
-    *[ema(f"ema_v{n}", "V", n) for n in (5, 10, 12, 26)],
-    ema("vmacd_sig", ("ema_v12", "ema_v26"), 9),
-    *[ema(f"trix{n}_1", "C", n) for n in (5, 10)],
-    *[ema(f"trix{n}_2", f"trix{n}_1", n) for n in (5, 10)],
-    *[ema(f"trix{n}_3", f"trix{n}_2", n) for n in (5, 10)],
-    wilder("wilder6", "TR", 6),
-    wilder("wilder14", "TR", 14),
-    ema("mass_1", "HL", 9),
-    ema("mass_2", "mass_1", 9),
-]
-
 c = F.col
 
 
@@ -191,7 +223,6 @@ def daily_terms(df: DataFrame) -> DataFrame:
         "AR_U": c("H") - c("O"), "AR_D": c("O") - c("L"),
         "BR_U": positive(c("H") - c("PC")), "BR_D": positive(c("PC") - c("L")),
         "CR_U": positive(c("H") - c("TP1")), "CR_D": positive(c("TP1") - c("L")),
-        "MASS_R": safe_div(c("mass_1"), c("mass_2")) if "mass_1" in df.columns else F.lit(None).cast("double"),
     })
 
 
@@ -207,15 +238,23 @@ def _growth(now: Column, before: Column) -> Column:
     return safe_div(now, before) - 1
 
 
+def _dif(x: Ctx, col: str) -> Column:
+    return x.ema(col, 12) - x.ema(col, 26)
+
+
+def _triple(x: Ctx, n: int) -> Column:
+    return x.ema(x.ema(x.ema("C", n), n), n)
+
+
 PRICE_VOLUME: list[Spec] = [
     # moving averages and trend
     *[Spec(f"ma{n}", "ma", f"MA(C,{n})", "price", lambda x, n=n: x.ma("C", n)) for n in (5, 10, 20, 60, 120)],
-    *[Spec(f"ema{n}", "ma", f"EMA(C,{n})", "price", lambda x, n=n: c(f"ema_c{n}")) for n in (5, 10, 12, 20, 26, 120)],
+    *[Spec(f"ema{n}", "ma", f"EMA(C,{n})", "price", lambda x, n=n: x.ema("C", n)) for n in (5, 10, 12, 20, 26, 120)],
     Spec("macd", "ma", "2*(DIF-DEA), DIF=EMA12-EMA26, DEA=EMA(DIF,9)", "price",
-         lambda x: 2 * (c("ema_c12") - c("ema_c26") - c("macd_dea"))),
-    Spec("vmacd", "ma", "MACD of volume", "shares", lambda x: 2 * (c("ema_v12") - c("ema_v26") - c("vmacd_sig"))),
+         lambda x: 2 * (_dif(x, "C") - x.ema(_dif(x, "C"), 9))),
+    Spec("vmacd", "ma", "MACD of volume", "shares", lambda x: 2 * (_dif(x, "V") - x.ema(_dif(x, "V"), 9))),
     *[Spec(f"trix{n}", "ma", f"pct change of triple EMA(C,{n})", "fraction",
-           lambda x, n=n: _growth(c(f"trix{n}_3"), x.shift(f"trix{n}_3", 1))) for n in (5, 10)],
+           lambda x, n=n: _growth(_triple(x, n), x.shift(_triple(x, n), 1))) for n in (5, 10)],
     Spec("boll_up", "ma", "MA20 + 2*population std", "price", lambda x: x.ma("C", 20) + 2 * x.stdp("C", 20)),
     Spec("boll_dn", "ma", "MA20 - 2*population std", "price", lambda x: x.ma("C", 20) - 2 * x.stdp("C", 20)),
     Spec("bbi", "ma", "mean of MA 3, 6, 12, 24", "price",
@@ -239,11 +278,11 @@ PRICE_VOLUME: list[Spec] = [
     Spec("to_m_q", "turn", "sum of TO, 60, /3", "percent", lambda x: x.rsum("TO", 60) / 3.0),
     Spec("to_m_y", "turn", "sum of TO, 240, /12", "percent", lambda x: x.rsum("TO", 240) / 12.0),
     # volume and money flow
-    *[Spec(f"v_ema{n}", "vol", f"EMA(V,{n})", "shares", lambda x, n=n: c(f"ema_v{n}")) for n in (5, 10, 26)],
+    *[Spec(f"v_ema{n}", "vol", f"EMA(V,{n})", "shares", lambda x, n=n: x.ema("V", n)) for n in (5, 10, 26)],
     Spec("vosc", "vol", "(MA(V,12)-MA(V,26))/MA(V,12)", "fraction",
          lambda x: safe_div(x.ma("V", 12) - x.ma("V", 26), x.ma("V", 12))),
-    Spec("vmacd_dif", "vol", "EMA(V,12)-EMA(V,26)", "shares", lambda x: c("ema_v12") - c("ema_v26")),
-    Spec("vmacd_dea", "vol", "EMA(vmacd_dif,9)", "shares", lambda x: c("vmacd_sig")),
+    Spec("vmacd_dif", "vol", "EMA(V,12)-EMA(V,26)", "shares", lambda x: _dif(x, "V")),
+    Spec("vmacd_dea", "vol", "EMA(vmacd_dif,9)", "shares", lambda x: x.ema(_dif(x, "V"), 9)),
     *[Spec(f"v_std{n}", "vol", f"sample std of V, {n}", "shares", lambda x, n=n: x.std("V", n)) for n in (10, 20)],
     Spec("v_ma12", "vol", "MA(V,12)", "shares", lambda x: x.ma("V", 12)),
     Spec("vr26", "vol", "sum V on up days / sum V on down days, 26", "times",
@@ -261,16 +300,16 @@ PRICE_VOLUME: list[Spec] = [
     *[Spec(f"cci{n}", "osc", f"(TP-MA(TP,{n}))/(0.015*MAD)", "plain", lambda x, n=n: _cci(x, n)) for n in (10, 15, 20, 88)],
     *[Spec(f"bias{n}", "osc", f"(C-MA(C,{n}))/MA(C,{n})", "fraction", lambda x, n=n: safe_div(c("C") - x.ma("C", n), x.ma("C", n))) for n in (5, 10, 20, 60)],
     *[Spec(f"roc{n}", "osc", f"C/C[-{n}]-1", "fraction", lambda x, n=n: _growth(c("C"), x.shift("C", n))) for n in (6, 12, 20, 60, 120)],
-    *[Spec(f"atr{n}", "osc", f"Wilder(TR,{n})", "price", lambda x, n=n: c(f"wilder{n}")) for n in (6, 14)],
+    *[Spec(f"atr{n}", "osc", f"Wilder(TR,{n})", "price", lambda x, n=n: x.wilder("TR", n)) for n in (6, 14)],
     Spec("aroon_up", "osc", "100*(25-days since max H)/25, 26 bars", "0-100", lambda x: 100.0 * (25.0 - x.since_max("H", 26)) / 25.0),
     Spec("aroon_dn", "osc", "100*(25-days since min L)/25, 26 bars", "0-100", lambda x: 100.0 * (25.0 - x.since_min("L", 26)) / 25.0),
     Spec("ar26", "osc", "100*sum(H-O)/sum(O-L), 26", "plain", lambda x: _ratio100(x, "AR_U", "AR_D")),
     Spec("br26", "osc", "100*sum max(H-PC,0)/sum max(PC-L,0), 26", "plain", lambda x: _ratio100(x, "BR_U", "BR_D")),
     Spec("arbr", "osc", "ar26-br26", "plain", lambda x: _ratio100(x, "AR_U", "AR_D") - _ratio100(x, "BR_U", "BR_D")),
     Spec("cr26", "osc", "br26 around yesterday's TP", "plain", lambda x: _ratio100(x, "CR_U", "CR_D")),
-    Spec("mass", "osc", "sum of EMA9(H-L)/EMA9(EMA9(H-L)), 25", "plain", lambda x: x.rsum("MASS_R", 25)),
-    Spec("bull_power", "osc", "H-EMA(C,13)", "price", lambda x: c("H") - c("ema_c13")),
-    Spec("bear_power", "osc", "L-EMA(C,13)", "price", lambda x: c("L") - c("ema_c13")),
+    Spec("mass", "osc", "sum of EMA9(H-L)/EMA9(EMA9(H-L)), 25", "plain", lambda x: x.rsum(safe_div(x.ema("HL", 9), x.ema(x.ema("HL", 9), 9)), 25)),
+    Spec("bull_power", "osc", "H-EMA(C,13)", "price", lambda x: c("H") - x.ema("C", 13)),
+    Spec("bear_power", "osc", "L-EMA(C,13)", "price", lambda x: c("L") - x.ema("C", 13)),
     Spec("wvad", "osc", "sum of (C-O)/(H-L)*V, 24", "shares", lambda x: x.rsum("WVAD", 24)),
     Spec("wvad_ma6", "osc", "MA of the daily WVAD term, 6", "shares", lambda x: x.ma("WVAD", 6)),
     Spec("psy12", "osc", "100*count(R>0)/12", "0-100", lambda x: 100.0 * x.rsum("UP", 12) / 12.0),
@@ -415,38 +454,112 @@ def by_code(df: DataFrame) -> DataFrame:
     return df.repartition(n, "jq_code")
 
 
-def needed_smoothers(read: set[str]) -> list[Smooth]:
-    """The smoothers among the names ``read``, and those that they are made of, in evaluation order."""
-    wanted = read | ({"mass_1", "mass_2"} if "MASS_R" in read else set())
-    out: list[Smooth] = []
-    for s in reversed(SMOOTHERS):
-        if s.out in wanted:
-            out.append(s)
-            wanted |= {s.src} if isinstance(s.src, str) else set(s.src)
-    return out[::-1]
+def references(df: DataFrame, columns: Sequence[Column]) -> list[set[str]]:
+    """For each expression the columns of ``df`` that it reads, from Spark's analysis of it."""
+    if not columns:
+        return []
+    plan = df.select(*[x.alias(f"__k{i}") for i, x in enumerate(columns)])._jdf.queryExecution().analyzed()
+    listed, known = plan.expressions(), set(df.columns)
+    out = []
+    for i in range(len(columns)):
+        found = listed.apply(i).references().toSeq()
+        out.append({found.apply(k).name() for k in range(found.size())})
+    if any(not names <= known for names in out):
+        raise ValueError("a formula may use windows through the operators of Ctx only")
+    return out
+
+
+@dataclass
+class Plan:
+    """What a set of factors needs: operators by round, and the daily columns that everything is made of."""
+
+    ctx: Ctx
+    columns: list[Column]
+    #: name -> names that it reads, for inputs, operators and (by its id) every factor
+    reads: dict[str, set[str]]
+    rounds: dict[str, int]
+    base: set[str]
+
+    @classmethod
+    def of(cls, specs: Sequence[Spec], base: Sequence[str]) -> Plan:
+        """``base`` are the daily columns that exist; the formulas are analysed against them and the operators' results."""
+        ctx = Ctx()
+        columns = [s.calc(ctx) for s in specs]
+        ops = [n for n in ctx.reads]
+        kind = lambda n: "array<double>" if n.startswith("__list_") else "double"
+        blank = SparkSession.getActiveSession().range(0).select(*[F.lit(None).cast(kind(n)).alias(n) for n in dict.fromkeys([*base, *ops])])
+        found = references(blank, [*ctx.inputs.values(), *columns])
+        reads = dict(zip([*ctx.inputs, *(s.id for s in specs)], found))
+        reads |= {n: {col} | ({"ord"} if n.startswith("__slope_") else set()) for n, (col, _) in ctx.reads.items()}
+        rounds: dict[str, int] = {}
+
+        def place(name: str) -> int:
+            if name not in ctx.inputs and name not in ctx.reads:
+                return 0
+            if name not in rounds:
+                rounds[name] = max((place(x) for x in reads[name]), default=0) + (name in ctx.reads)
+            return rounds[name]
+
+        for name in [*ctx.inputs, *ops]:
+            place(name)
+        own = {*ctx.inputs, *ops}
+        needed = set().union(*(reads[n] for n in reads)) - own if reads else set()
+        return cls(ctx, columns, reads, rounds, needed)
+
+    def run(self, df: DataFrame) -> DataFrame:
+        """``df`` (jq_code, date, daily columns) with every operator's column."""
+        for k in range(max(self.rounds.values(), default=0) + 1):
+            mine = [n for n, r in self.rounds.items() if r == k]
+            smoothers = [self.ctx.smoothers[n] for n in mine if n in self.ctx.smoothers]
+            if smoothers:
+                df = apply_smoothers(df, "jq_code", "date", smoothers, df.columns)
+            df = df.withColumns({n: self.ctx.windows[n] for n in mine if n in self.ctx.windows})
+            # a NaN that a formula makes is a missing value
+            df = df.withColumns({n: F.when(~F.isnan(x), x) for n, x in ((n, self.ctx.inputs[n].cast("double")) for n in mine if n in self.ctx.inputs)})
+        return df
+
+    def trace(self, name: str) -> tuple[set[str], int | None, bool]:
+        """(panel and statement columns below ``name``, rows before today's that it looks back over, recursive). None: all rows."""
+        if name in self.reads or name in TERMS:
+            below, back = (self.reads[name], self.ctx.reads.get(name, ("", 0))[1]) if name in self.reads else TERMS[name]
+            parts = [self.trace(x) for x in below]
+            rows = None if back is None or any(r is None for _, r, _ in parts) else back + max((r for _, r, _ in parts), default=0)
+            return set().union(*(d for d, _, _ in parts)), rows, name in self.ctx.smoothers or any(r for _, _, r in parts)
+        return {name}, 0, False
+
+
+DAILY = ("C", "V", "A", "TO", "close_bfq", "H", "L", "O", "PC", "totalmv", "floatmv", "peg", "TP", "TR", "HL", "ord", "R", "TP1", "R_prev", "UP", "V_UP", "V_DN", "MF", "MF_UP", "MF_DN", "PVT",
+         "WVAD", "AR_U", "AR_D", "BR_U", "BR_D", "CR_U", "CR_D")
+STATEMENT = tuple(f"{kind}_{f}" for kind, fields in (("b", BALANCE), ("t", [*INCOME, *CASHFLOW]), ("c", [*INCOME, *CASHFLOW])) for f in fields)
+
+
+def requirements(specs: Sequence[Spec] = ()) -> list[tuple[str, list[str], int | None, bool]]:
+    """(factor, panel and statement columns, rows of warm-up, recursive) of each factor.
+
+    Warm-up is the sum of frames along the longest way down; a smoother of length n counts SETTLED * n rows and makes the factor
+    recursive (its exact state reaches back to the first row); None: a running total, which needs every row.
+    """
+    specs = specs or ALL
+    plan = Plan.of(specs, [*DAILY, *STATEMENT])
+    return [(s.id, sorted(deps), rows, recursive) for s in specs for deps, rows, recursive in (plan.trace(s.id),)]
 
 
-def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] = tuple(ALL), dtype: str | None = "float") -> DataFrame:
+def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] | None = None, dtype: str | None = "float") -> DataFrame:
     """(jq_code, date, one column per factor).  ``statements`` is the output of ``statement_layer``."""
+    specs = ALL if specs is None else specs
     check_ids(specs)
-    ctx = Ctx()
-    columns = [s.calc(ctx) for s in specs]
-    read = set(re.findall(r"\w+", " ".join(map(str, [*columns, *ctx.windows.values(), *ctx.running.values()]))))
-    smoothers = needed_smoothers(read)
-    df = by_code(derived(panel))
-    if smoothers:
-        df = apply_smoothers(df, "jq_code", "date", smoothers, df.columns)
-    df = daily_terms(df)
-    df = df.select("jq_code", "date", *[x for x in df.columns if x in read - {"jq_code", "date"}])
-    if statements is not None:
-        right = newest_report_per_day(statements)
-        cols = [x for x in right.columns if x[:2] in ("b_", "t_", "c_") and x in read]
-        if cols:
-            right = right.select(F.col("code").alias("jq_code"), "pub_date", *cols)
-            df = asof_join(df, right, ["jq_code"], "date", "pub_date", cols, left_unique=True)
+    right = newest_report_per_day(statements) if statements is not None else None
+    filed = [x for x in right.columns if x[:2] in ("b_", "t_", "c_")] if right is not None else []
+    df = daily_terms(by_code(derived(panel)))
+    plan = Plan.of(specs, [*(x for x in df.columns if x not in ("jq_code", "date")), *filed])
+    df = df.select("jq_code", "date", *[x for x in df.columns if x in plan.base])
+    cols = [x for x in filed if x in plan.base]
+    if cols:
+        right = right.select(F.col("code").alias("jq_code"), "pub_date", *cols)
+        df = asof_join(df, right, ["jq_code"], "date", "pub_date", cols, left_unique=True)
     # cast last, so the stored width does not enter any window
-    typed = [(x.cast(dtype) if dtype else x).alias(s.id) for s, x in zip(specs, columns)]
-    return df.withColumns(ctx.running).withColumns(ctx.windows).select("jq_code", "date", *typed)
+    typed = [(x.cast(dtype) if dtype else x).alias(s.id) for s, x in zip(specs, plan.columns)]
+    return plan.run(df).select("jq_code", "date", *typed)
 
 
 def try_factor(panel: DataFrame, name: str, calc: Callable[[Ctx], Column]) -> DataFrame:

@@ -11,6 +11,7 @@ from tidemark.plans.shares import share_asof_rows
 from tidemark.operators.asof import asof_join
 from tidemark.queries.factor_queries import market, statements
 from tidemark.queries.inputs import panel, px
+from tidemark.queries import recurrence
 from tidemark.queries.registry import part, query, rnd
 from tidemark.session import cut_lineage
 
@@ -269,7 +270,19 @@ def q_indicators(r):
     return df.select("symbol", "date", *[rnd(x, 6 if x == "ind_vwap" else 4).alias(x) for x in cols])
 
 
-@query("indicators_recursive")
+_RSV = "PARTITION BY symbol ORDER BY date ROWS BETWEEN 8 PRECEDING AND CURRENT ROW"
+_EWM = {
+    **{f"e{n}": ("b.close", 1, f"(2.0::DOUBLE / {n + 1})") for n in indicators.EMA_DAYS}, "signal": ("new_e12 - new_e26", 1, "(2.0::DOUBLE / 10)"),
+    "k": ("b.rsv", 1, "(1.0::DOUBLE / 3)"), "d": ("new_k", 1, "(1.0::DOUBLE / 3)"),
+}
+
+
+@query("indicators_recursive", ["bars"], f"""WITH RECURSIVE own AS (SELECT symbol, date, close, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn,
+      (close - min(low) OVER ({_RSV})) / nullif(max(high) OVER ({_RSV}) - min(low) OVER ({_RSV}), 0) * 100 AS rsv FROM bars),
+    {recurrence.states("own", "symbol", _EWM)}
+    SELECT symbol, date, {", ".join(f"round(e{n}, 5) AS ind_ema{n}" for n in indicators.EMA_DAYS)}, round(e12 - e26, 5) AS ind_macd, round(signal, 5) AS ind_macd_signal,
+      round(e12 - e26 - signal, 5) AS ind_macd_hist, round(k, 5) AS ind_kdj_k, round(d, 5) AS ind_kdj_d, round(3 * k - 2 * d, 5) AS ind_kdj_j
+    FROM state JOIN own USING (symbol, rn)""")
 def q_indicators_recursive(r):
     df = indicators.indicators(r("bars"))
-    return df.select("symbol", "date", *[x for x in df.columns if x.startswith(("ind_ema", "ind_macd", "ind_kdj"))])
+    return df.select("symbol", "date", *[rnd(x, 5).alias(x) for x in df.columns if x.startswith(("ind_ema", "ind_macd", "ind_kdj"))])

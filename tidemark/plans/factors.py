@@ -42,6 +42,8 @@ TERMS: dict[str, tuple[tuple[str, ...], int]] = {
     "PVT": (("R", "V"), 0), "WVAD": (("C", "O", "H", "L", "V"), 0), "AR_U": (("H", "O"), 0), "AR_D": (("O", "L"), 0), "BR_U": (("H", "PC"), 0), "BR_D": (("PC", "L"), 0),
     "CR_U": (("H", "TP1"), 0), "CR_D": (("TP1", "L"), 0),
 }
+#: Windows of so many rows are merged from two blocks; shorter ones read their frame.
+LONG = 60
 #: Rows after which a smoother of length n has forgotten its start for practical purposes, as a multiple of n.
 SETTLED = 4
 
@@ -52,13 +54,15 @@ class Ctx:
 
     An operator's input is the name of a column or an expression; expressions may use other operators' results.  ``inputs`` holds
     the expressions, ``windows`` everything that reads a frame, a lag or running totals of a column, ``smoothers`` the recursions.
-    Window length is counted in rows; a NULL inside a window makes the result NULL.  Every length reads its own frame, so no
-    value outside a window can touch its result.
+    Window length is counted in rows; a NULL inside a window makes the result NULL.  No value outside a window can touch its
+    result: short ones read their frame, long ones are merged from the end of one block of rows and the beginning of the next.
     """
 
     inputs: dict[str, Column] = field(default_factory=dict)
     windows: dict[str, Column] = field(default_factory=dict)
     smoothers: dict[str, Smooth] = field(default_factory=dict)
+    #: long windows: the statistics that are asked of them
+    blocks: dict[str, set[str]] = field(default_factory=dict)
     #: operator -> the column that it reads, and the rows before today's that it looks back over (None: all of them)
     reads: dict[str, tuple[str, int | None]] = field(default_factory=dict)
 
@@ -99,8 +103,22 @@ class Ctx:
     def _count(self, col: str | Column, n: int) -> Column:
         return self._memo("count", col, n, lambda x: F.count(x).over(ROLL.last(n)))
 
+    def _block(self, x: str | Column, n: int, *asked: str) -> Column:
+        """count, sum, low, high, and central moments m2 to m4 of a window of ``n`` rows."""
+        col = self._name(x)
+        name = f"__block_{col}_{n}"
+        self.blocks.setdefault(name, set()).update(asked)
+        self.reads[name] = (col, n - 1)
+        return F.col(name)
+
     def _full(self, op: str, col: str | Column, n: int, fn) -> Column:
-        """Aggregate of a full window read directly from its frame."""
+        """Aggregate of a full window."""
+        merged = {"sum": ("sum", lambda b: b["sum"]), "max": ("ends", lambda b: b["high"]), "min": ("ends", lambda b: b["low"]),
+                  "std": ("m2", lambda b: F.sqrt(b["m2"] / (n - 1))), "stdp": ("m2", lambda b: F.sqrt(b["m2"] / n))}
+        if n >= LONG and op in merged:
+            asked, told = merged[op]
+            b = self._block(col, n, asked)
+            return F.when(b["n"] == n, told(b))
         value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
         return F.when(self._count(col, n) == n, value)
 
@@ -124,6 +142,10 @@ class Ctx:
 
     def _unless_flat(self, op: str, col: str | Column, n: int, fn, flat: float, scale: Callable[[Column], Column]) -> Column:
         """A moment of a full window; a constant window gives ``flat``."""
+        if n >= LONG:
+            b = self._block(col, n, "ends", "m2" if op == "var" else "m4")
+            told = {"var": b["m2"] / (n - 1), "skew": safe_div(n**0.5 * b["m3"], F.pow(b["m2"], 1.5)), "kurt": safe_div(n * b["m4"], b["m2"] * b["m2"]) - 3}[op]
+            return F.when(b["n"] == n, F.when(b["low"] == b["high"], F.lit(flat)).otherwise(F.coalesce(scale(told), F.lit(flat))))
         value = self._memo(op, col, n, lambda x: fn(x).over(ROLL.last(n)))
         same = self.rmin(col, n) == self.rmax(col, n)
         return F.when(same, F.lit(flat)).when(self._count(col, n) == n, F.coalesce(scale(value), F.lit(flat)))
@@ -469,13 +491,58 @@ def references(df: DataFrame, columns: Sequence[Column]) -> list[set[str]]:
     return out
 
 
+BLOCK = "struct<n:bigint,sum:double,low:double,high:double,m2:double,m3:double,m4:double>"
+
+
+def merge_blocks(df: DataFrame, rows: int, asked: dict[str, tuple[str, set[str]]]) -> DataFrame:
+    """``df`` (jq_code, date, ord, ...) with windows of ``rows`` rows: name -> (column, statistics asked).
+
+    The rows of a code are cut into blocks of ``rows``.  A window is the end of one block and the beginning of the next (or one
+    whole block), both of which grow by a row at a time: running aggregates in either direction, and one look-back of rows - 1.
+    Moments are merged about their own means, so a value that has left a window leaves nothing behind.
+    """
+    keep, names = [f"`{c}`" for c in df.columns], {n: f"__w{k}" for k, n in enumerate(asked)}
+    parts = {"n": "count({x})", "sum": "sum({x})", "low": "min({x})", "high": "max({x})", "mean": "avg({x})", "var": "var_pop({x})", "skew": "skewness({x})", "kurt": "kurtosis({x})"}
+    needs = {"sum": ["sum"], "ends": ["low", "high"], "m2": ["mean", "var"], "m4": ["mean", "var", "skew", "kurt"]}
+    used = {n: ["n", *(p for p in parts if p in {q for a in asks for q in needs[a]})] for n, (_, asks) in asked.items()}
+    one = lambda n, order, out: "named_struct(" + ", ".join(
+        f"'{p}', {parts[p].format(x=f'`{asked[n][0]}`')} OVER (PARTITION BY jq_code, __blk ORDER BY date{order} ROWS UNBOUNDED PRECEDING)" for p in used[n]) + f") AS {names[n]}{out}"
+    df = df.selectExpr("*", f"(ord - 1) DIV {rows} AS __blk")
+    df = df.selectExpr("*", *(one(n, " DESC", "s") for n in asked)).selectExpr("*", *(one(n, "", "p") for n in asked))
+    at_end = f"ord % {rows} = 0"
+    df = df.selectExpr("*", *(f"CASE WHEN NOT {at_end} THEN lag({w}s, {rows - 1}) OVER (PARTITION BY jq_code ORDER BY date) END AS {w}a" for w in names.values()))
+
+    def merged(n: str) -> Column:
+        a, b, has = F.col(f"{names[n]}a"), F.col(f"{names[n]}p"), set(used[n])
+        na, nb = F.coalesce(a["n"], F.lit(0)).cast("double"), b["n"].cast("double")
+        both = null_if(na + nb, 0.0)
+        out = {"n": F.coalesce(both, F.lit(0.0)).cast("long"), **{k: F.lit(None).cast("double") for k in ("sum", "low", "high", "m2", "m3", "m4")}}
+        if "sum" in has:
+            out["sum"] = F.coalesce(a["sum"], F.lit(0.0)) + F.coalesce(b["sum"], F.lit(0.0))
+        if "low" in has:
+            out |= {"low": F.least(a["low"], b["low"]), "high": F.greatest(a["high"], b["high"])}
+        if "var" in has:
+            moment = lambda side, k: F.coalesce({2: side["var"] * side["n"], 3: F.when(side["var"] > 0, side["skew"] * F.pow(side["var"], 1.5) * side["n"]), 4: F.when(side["var"] > 0, (side["kurt"] + 3) * side["var"] * side["var"] * side["n"])}[k] if k == 2 or "skew" in has else F.lit(0.0), F.lit(0.0))
+            d = F.coalesce(b["mean"] - a["mean"], F.lit(0.0))
+            a2, b2 = moment(a, 2), moment(b, 2)
+            out["m2"] = a2 + b2 + d * d * na * nb / both
+            if "skew" in has:
+                a3, b3 = moment(a, 3), moment(b, 3)
+                out["m3"] = a3 + b3 + d * d * d * na * nb * (na - nb) / (both * both) + 3 * d * (na * b2 - nb * a2) / both
+                out["m4"] = (moment(a, 4) + moment(b, 4) + d * d * d * d * na * nb * (na * na - na * nb + nb * nb) / (both * both * both)
+                             + 6 * d * d * (na * na * b2 + nb * nb * a2) / (both * both) + 4 * d * (na * b3 - nb * a3) / both)
+        return F.struct(*[x.alias(k) for k, x in out.items()])
+
+    return df.withColumns({n: merged(n) for n in asked}).selectExpr(*keep, *asked)
+
+
 @dataclass
 class Plan:
     """What a set of factors needs: operators by round, and the daily columns that everything is made of."""
 
     ctx: Ctx
     columns: list[Column]
-    #: name -> names that it reads, for inputs, operators and (by its id) every factor
+    #: name -> names that it reads, for inputs, operators and (as "=id") every factor
     reads: dict[str, set[str]]
     rounds: dict[str, int]
     base: set[str]
@@ -486,11 +553,11 @@ class Plan:
         ctx = Ctx()
         columns = [s.calc(ctx) for s in specs]
         ops = [n for n in ctx.reads]
-        kind = lambda n: "array<double>" if n.startswith("__list_") else "double"
+        kind = lambda n: "array<double>" if n.startswith("__list_") else BLOCK if n.startswith("__block_") else "double"
         blank = SparkSession.getActiveSession().range(0).select(*[F.lit(None).cast(kind(n)).alias(n) for n in dict.fromkeys([*base, *ops])])
         found = references(blank, [*ctx.inputs.values(), *columns])
-        reads = dict(zip([*ctx.inputs, *(s.id for s in specs)], found))
-        reads |= {n: {col} | ({"ord"} if n.startswith("__slope_") else set()) for n, (col, _) in ctx.reads.items()}
+        reads = dict(zip([*ctx.inputs, *(f"={s.id}" for s in specs)], found))
+        reads |= {n: {col} | ({"ord"} if n.startswith(("__slope_", "__block_")) else set()) for n, (col, _) in ctx.reads.items()}
         rounds: dict[str, int] = {}
 
         def place(name: str) -> int:
@@ -514,6 +581,9 @@ class Plan:
             if smoothers:
                 df = apply_smoothers(df, "jq_code", "date", smoothers, df.columns)
             df = df.withColumns({n: self.ctx.windows[n] for n in mine if n in self.ctx.windows})
+            long = [n for n in mine if n in self.ctx.blocks]
+            for rows in sorted({self.ctx.reads[n][1] + 1 for n in long}):
+                df = merge_blocks(df, rows, {n: (self.ctx.reads[n][0], self.ctx.blocks[n]) for n in long if self.ctx.reads[n][1] + 1 == rows})
             # a NaN that a formula makes is a missing value
             df = df.withColumns({n: F.when(~F.isnan(x), x) for n, x in ((n, self.ctx.inputs[n].cast("double")) for n in mine if n in self.ctx.inputs)})
         return df
@@ -541,7 +611,7 @@ def requirements(specs: Sequence[Spec] = ()) -> list[tuple[str, list[str], int |
     """
     specs = specs or ALL
     plan = Plan.of(specs, [*DAILY, *STATEMENT])
-    return [(s.id, sorted(deps), rows, recursive) for s in specs for deps, rows, recursive in (plan.trace(s.id),)]
+    return [(s.id, sorted(deps), rows, recursive) for s in specs for deps, rows, recursive in (plan.trace(f"={s.id}"),)]
 
 
 def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] | None = None, dtype: str | None = "float") -> DataFrame:

@@ -554,7 +554,7 @@ class Plan:
         columns = [s.calc(ctx) for s in specs]
         ops = [n for n in ctx.reads]
         kind = lambda n: "array<double>" if n.startswith("__list_") else BLOCK if n.startswith("__block_") else "double"
-        blank = SparkSession.getActiveSession().range(0).select(*[F.lit(None).cast(kind(n)).alias(n) for n in dict.fromkeys([*base, *ops])])
+        blank = SparkSession.getActiveSession().range(0).select(*[F.lit(None).cast(kind(n)).alias(n) for n in dict.fromkeys(["jq_code", "date", *base, *ops])])
         found = references(blank, [*ctx.inputs.values(), *columns])
         reads = dict(zip([*ctx.inputs, *(f"={s.id}" for s in specs)], found))
         reads |= {n: {col} | ({"ord"} if n.startswith(("__slope_", "__block_")) else set()) for n, (col, _) in ctx.reads.items()}

@@ -66,3 +66,11 @@ def test_empty_null_ids_and_repeats(make):
 def test_components(make):
     df = make([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (None, 1), (2, 5)], "a long, b long")
     assert sorted(map(tuple, components(df).collect())) == [(2, 2), (3, 2), (4, 2), (5, 2), (8, 8), (9, 8)]
+
+
+def test_words_that_fool_polynomial_hashes(make):
+    """The Thue-Morse word of 1,024 letters and its complement agree under every multiplier modulo a power of two."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    out = minhash.near_duplicates(make([(1, f"{one} x y z w"), (2, f"{other} x y z w"), (3, f"{one} x y z w")], "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(1, 1), (2, 2), (3, 1)]

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,13 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(33))
 
 
+def names(body: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 128-bit hash of each slice of a byte buffer, as rows of two numbers. Unlike ``Prefix`` it is no polynomial, so texts that
+    repeat and mirror themselves do not meet."""
+    view = memoryview(np.ascontiguousarray(body))
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(first.tolist(), end.tolist())]), U64).reshape(-1, 2)
+
+
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 

@@ -17,10 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import U64, Prefix, blocks, mix, stored, utf8
+from tidemark.llm.common import U64, Prefix, blocks, mix, names, stored, utf8
 
-#: Another odd multiplier; with the first it names a line by 128 bits.
-SECOND = 0xD1342543DE82EF95
 #: The four halves: the first and second half of a line that is the longer one of a pair, then as the shorter one.
 HALVES = ("p0", "s0", "p1", "s1")
 
@@ -66,13 +64,14 @@ def line_table(base: DataFrame, min_chars: int) -> DataFrame:
                 filled = np.concatenate([[0], np.cumsum((points > 32) & (points != 0x85) & (points != 0xA0))])
                 keep = filled[end] > filled[first]
                 of, number, first, end = of[keep], number[keep], first[keep], end[keep]
-                name = Prefix(points)
-                halves = _halves(name, first, end)
+                halves = _halves(Prefix(points), first, end)
+                begins = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+                name = names(raw, begins[first], begins[end])
                 short = pa.array(end - first < min_chars)
                 rows = pa.array(of + lo)
                 put = lambda x: pa.array(x.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number.astype(np.int32)), put(name(first, end)), put(Prefix(points, SECOND)(first, end)), pa.array((end - first).astype(np.int32)),
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number.astype(np.int32)), put(np.ascontiguousarray(name[:, 0])), put(np.ascontiguousarray(name[:, 1])), pa.array((end - first).astype(np.int32)),
                      *(pc.if_else(short, None, put(h)) for h in halves)],
                     ["doc", "tag", "line", "ha", "hb", "n", *HALVES],
                 )

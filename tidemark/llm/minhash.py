@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, Prefix, blocks, components, mix, stored, utf8
+from tidemark.llm.common import U64, blocks, components, mix, names, stored, utf8
 
 #: Fixed value: bytes that part words (space, tab, line feed, vertical tab, form feed, carriage return).
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -37,7 +37,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
         first[inner] = ~gap[inner + 1]
         last[inner - 1] = ~gap[inner]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        word = Prefix(body)(starts, ends) + (ends - starts).astype(U64)
+        # each distinct word is hashed once, whole
+        lengths = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        words_of = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(lengths), pa.py_buffer(body[~gap[1:-1]])]).dictionary_encode()
+        _, where, held = words_of.dictionary.buffers()
+        where = np.frombuffer(where, np.int64)[: len(words_of.dictionary) + 1]
+        word = names(np.frombuffer(held, np.uint8) if held is not None else body[:0], where[:-1], where[1:])[:, 0][words_of.indices.to_numpy()]
         at = np.searchsorted(starts, edges)
         salts = mix(np.arange(1, words + 1, dtype=U64)) | U64(1)
         with np.errstate(over="ignore"):

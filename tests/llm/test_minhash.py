@@ -74,3 +74,24 @@ def test_words_that_fool_polynomial_hashes(make):
     other = one.translate(str.maketrans("ab", "ba"))
     out = minhash.near_duplicates(make([(1, f"{one} x y z w"), (2, f"{other} x y z w"), (3, f"{one} x y z w")], "doc_id long, text string"))
     assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_rows_that_share_an_id_keep_their_own_links(make):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (1, two + " z"), (1, one), (5, "alone " * 9), (5, "apart " * 9)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(make(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (5, 5, True)}
+    df = make([(i, t, "s", 1, "x") for i, t in rows], "doc_id int, text string, tag string, row int, root string")
+    left = minhash.drop_near_duplicates(df)
+    assert left.schema == df.schema
+    got = sorted((r.doc_id, r.text) for r in left.collect())
+    assert [i for i, _ in got] == [1, 1, 5, 5] and got[0][1] == one and got[1][1] in (two, two + " z")
+
+
+def test_components_of_pairs_found_late(make):
+    """Two roots that a late pair joins become one, and an edge list that is a star already is left as it is."""
+    star = make([(2, 1), (3, 1), (5, 4)], "a long, b long")
+    assert sorted(map(tuple, components(star).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    assert components(make([], "a long, b long")).count() == 0
+    twice = make([(3, 2), (3, 2), (2, 1), (9, 3)], "a long, b long")
+    assert sorted(map(tuple, components(twice).collect())) == [(1, 1), (2, 1), (3, 1), (9, 1)]

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import U64, blocks, components, mix, names, stored, utf8
@@ -91,11 +91,11 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands): size and 128-bit name of each text's set, and its band keys."""
+    """(doc_id, tag, n_shingles, set_a, set_b, bands): size and 128-bit name of each text's set, and its band keys."""
 
     def run(batches):
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(2))
             n, a, b, keys = [], [], [], []
             for s in shingle_sets(data, offsets, words):
                 n.append(len(s))
@@ -106,36 +106,41 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             keys = pa.ListArray.from_arrays(at, np.concatenate([*keys, np.zeros(0, np.int64)]))
             name = [pa.array(np.array(x, U64).view(np.int64)) for x in (a, b)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *name, keys], ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n, pa.int64()), *name, keys], ["doc_id", "tag", "n_shingles", "set_a", "set_b", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, n_shingles long, set_a long, set_b long, bands array<long>")
+
+
+def _node() -> Column:
+    return F.struct("doc_id", "tag").alias("node")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles, parity): the whole sets and, by bits, which of their bins hold an odd number of shingles."""
+    """(node, shingles, parity): the whole sets and, by bits, which of their bins hold an odd number of shingles."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                data, offsets = utf8(part.column(1))
+                data, offsets = utf8(part.column(2))
                 sets = list(shingle_sets(data, offsets, words))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 body = pa.ListArray.from_arrays(ends, np.concatenate([*sets, np.zeros(0, U64)]).view(np.int64))
                 odd = [np.packbits(np.bincount((s & U64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).view(np.int64) for s in sets]
                 odd = pa.ListArray.from_arrays(np.arange(0, len(sets) * PARITY // 64 + 1, PARITY // 64).astype(np.int32), np.concatenate([*odd, np.zeros(0, np.int64)]))
-                yield pa.RecordBatch.from_arrays([part.column(0), body, odd], ["doc_id", "shingles", "parity"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], body, odd], ["doc_id", "tag", "shingles", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>, parity array<long>")
+    out = docs.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag long, shingles array<long>, parity array<long>")
+    return out.select(_node(), "shingles", "parity")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent`` of intersection over union."""
-    left = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    """The ``pairs`` (a, b, ...) whose full sets reach ``percent`` of intersection over union."""
+    left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     both = pairs.join(left, "b").join(right, "a")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select(pairs.columns)
 
 
 def _mixed(rest: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ def _mixed(rest: DataFrame) -> DataFrame:
 
 
 def _across(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket (key, node, n, root, parity) that can reach ``percent``.
+    """Pairs (a, b) and their roots (ra, rb) of different components in a bucket (key, node, n, root, parity) that can reach ``percent``.
 
     Bins that hold an odd number of one set's shingles and an even number of the other's hold one at least that is in one set
     only, which bounds what the two have in common from above.
@@ -156,53 +161,72 @@ def _across(rest: DataFrame, percent: int) -> DataFrame:
     total = F.col("x.n") + F.col("y.n")
     most = F.least("x.n", "y.n", F.shiftright(total - apart, 1))
     can = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (100 * most >= percent * (total - most))
-    return one.join(two, "key").where(can).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
+    return one.join(two, "key").where(can).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb")).distinct()
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
-    Equal sets are one node, so copies never meet as pairs. Within a band bucket all members are compared with its smallest
-    one. Members still in different components are then compared with each other, unless a bound on what their sets have in
-    common rules a link out. Every pair that shares a bucket is therefore confirmed on full sets,
-    in one component already, or ruled out by a bound.
+def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, tag, n_shingles, root) for every row of ``docs`` (doc_id, tag, text); root is the least node of its component.
 
-    Null or blank text: empty set, linked with nothing, kept. Rows with a null doc_id form no links: component_id is null
-    and kept is true. Rows that repeat a doc_id share its component. Extra columns are ignored; an empty table gives no rows.
+    A node is the least (doc_id, tag) of an equal set, where tag is a hash of the text: rows that share a doc_id but not the
+    text are nodes of their own. root is null for empty sets and null ids.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = stored(signatures(docs, words, bands, rows))
     full = named.where("n_shingles > 0 and doc_id is not null")
-    nodes = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    ids = nodes.select(F.col("node").alias("doc_id"), "set_a", "set_b")
-    keyed = full.join(ids, ["doc_id", "set_a", "set_b"], "left_semi").dropDuplicates(["doc_id"])
-    member = keyed.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    nodes = full.groupBy("set_a", "set_b").agg(F.min(_node()).alias("node"))
+    keyed = full.join(nodes.select("node.*"), ["doc_id", "tag"], "left_semi").dropDuplicates(["doc_id", "tag"])
+    member = keyed.select(_node(), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     bucket = member.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
     inside = stored(member.join(bucket.select("key", "lead"), "key"))
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     star = inside.select(F.col("lead.node").alias("a"), F.col("node").alias("b"), "n", F.col("lead.n").alias("m"))
     star = stored(star.where("a <> b").where(fits).select("a", "b").distinct())
-    sets = stored(full_sets(docs.join(inside.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
-    links = stored(_confirmed(star, sets, percent))
-    roots = components(links)
+    met = docs.join(inside.select("node.*").distinct(), ["doc_id", "tag"], "left_semi").dropDuplicates(["doc_id", "tag"])
+    sets = stored(full_sets(met, words))
+    roots = components(_confirmed(star, sets, percent))
     rest = inside.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    rest = _mixed(rest).join(sets.select(F.col("doc_id").alias("node"), "parity"), "node")
+    rest = _mixed(rest).join(sets.select("node", "parity"), "node")
     late = _confirmed(_across(rest, percent).join(star, ["a", "b"], "left_anti"), sets, percent)
-    roots = components(links.unionByName(late))
-    owner = nodes.join(roots, "node", "left").select("set_a", "set_b", F.coalesce("root", "node").alias("root"))
-    shown = named.select("doc_id", "n_shingles", "set_a", "set_b").join(owner, ["set_a", "set_b"], "left")
-    mine = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("root")), F.col("doc_id")))
-    return shown.select("doc_id", "n_shingles", mine.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # what was found late joins whole components, so only their roots are united again
+    above = components(late, "ra", "rb").select(F.col("node").alias("low"), F.col("root").alias("top"))
+    owner = nodes.join(roots, "node", "left").select("set_a", "set_b", F.coalesce("root", "node").alias("low")).join(above, "low", "left")
+    shown = named.join(owner.select("set_a", "set_b", F.coalesce("top", "low").alias("root")), ["set_a", "set_b"], "left")
+    return shown.select("doc_id", "tag", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("root")).alias("root"))
+
+
+def _tagged(doc_id: Column, text: Column) -> tuple[Column, Column, Column]:
+    text = text.cast("string")
+    return doc_id.cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tag"), text.alias("text")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
+
+    Equal sets are one node, so copies never meet as pairs. Within a band bucket all members are compared with its smallest
+    one. Members still in different components are then compared with each other, unless a bound on what their sets have in
+    common rules a link out. Every pair that shares a bucket is therefore confirmed on full sets,
+    in one component already, or ruled out by a bound.
+
+    Null or blank text: empty set, linked with nothing, kept. Rows with a null doc_id form no links: component_id is null
+    and kept is true. Rows that repeat a doc_id are linked by their own texts, each with its own component_id. Extra columns
+    are ignored; an empty table gives no rows.
+    """
+    done = _grouped(docs.select(*_tagged(F.col("doc_id"), F.col("text"))), words, percent, bands, rows)
+    done = done.select("doc_id", "n_shingles", F.coalesce("root.doc_id", "doc_id").alias("component_id"))
+    return done.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates; columns as they were.
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates; columns as they were, whatever their names.
 
-    Rows that repeat the doc_id of a kept document go down to one of them; rows with a null doc_id stay.
+    Rows that repeat a doc_id go or stay by their own texts; rows equal in doc_id and text go down to one. Rows with a null
+    doc_id, and texts without words, stay otherwise.
     """
-    lost = near_duplicates(docs, **options).where("not kept").select("doc_id").distinct()
-    left = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    packed = packed.select("row", *_tagged(F.col("row.doc_id"), F.col("row.text")))
+    done = stored(_grouped(packed.select("doc_id", "tag", "text"), words, percent, bands, rows).where("doc_id is not null"))
+    lost = done.where((F.col("root.doc_id") != F.col("doc_id")) | (F.col("root.tag") != F.col("tag"))).select("doc_id", "tag").distinct()
+    left = packed.join(lost, ["doc_id", "tag"], "left_anti").select("row", "doc_id", "tag")
+    again = done.groupBy("doc_id", "tag").count().where("count > 1").limit(1)
     if not again.isEmpty():
-        left = left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return left
+        left = left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id", "tag"]))
+    return left.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

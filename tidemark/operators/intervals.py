@@ -107,3 +107,36 @@ def overlaps(df: DataFrame, by: Sequence[str], start: str = "valid_from", end: s
         .where(F.col("__pe") > F.col(start))
         .drop("__pe")
     )
+
+
+def coverage(intervals: DataFrame, lifetimes: DataFrame, key: str, until: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """(key, days_alive, days_covered, share) for every row of ``lifetimes`` (key, born, died): how much of each life the intervals cover.
+
+    Lives and intervals are half-open, an open end is cut at ``until``. Overlapping intervals count once: sorted by start, each
+    adds what lies beyond the furthest end so far. A key without intervals has 0 covered days; one whose life is empty or
+    whose birth is unknown has no share.
+    """
+    last = F.to_date(F.lit(until))
+    lives = lifetimes.select(key, F.col("born").alias("__b"), F.least(F.coalesce("died", last), last).alias("__d"))
+    cut = intervals.select(key, F.col(start).alias("__s"), F.coalesce(F.col(end), last).alias("__e")).join(lives.where(F.col("__b").isNotNull()), key)
+    cut = cut.select(key, F.greatest("__s", "__b").alias("__s"), F.least("__e", "__d").alias("__e")).where(F.col("__s") < F.col("__e"))
+    so_far = F.max("__e").over(Window.partitionBy(key).orderBy("__s", "__e").rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.greatest(F.datediff("__e", F.greatest("__s", so_far)), F.lit(0))
+    covered = cut.withColumn("__n", fresh).groupBy(key).agg(F.sum("__n").alias("days_covered"))
+    alive = F.when(F.col("__b").isNotNull(), F.greatest(F.datediff("__d", "__b"), F.lit(0))).cast("long").alias("days_alive")
+    out = lives.select(key, alive).join(covered, key, "left").withColumn("days_covered", F.coalesce("days_covered", F.lit(0)).cast("long"))
+    return out.withColumn("share", F.when(F.col("days_alive") > 0, F.col("days_covered") / F.col("days_alive")))
+
+
+def alive_counts(lifetimes: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """(day, n_alive): lives (born, died), half-open, that hold each of ``days``; lives of unknown birth do not count.
+
+    Births and deaths are summed by day first, so the running sum goes over one row a calendar day, not over lives.
+    """
+    known = lifetimes.where(F.col("born").isNotNull() & (F.col("died").isNull() | (F.col("died") > F.col("born"))))
+    moves = known.select(F.explode(F.array(F.struct(F.col("born").alias("t"), F.lit(1).alias("by")), F.struct(F.col("died").alias("t"), F.lit(-1).alias("by")))).alias("x"))
+    moves = moves.select("x.*").where("t is not null").groupBy("t").agg(F.sum("by").alias("by"))
+    asked = days.select(F.col(day).alias("t")).where("t is not null").distinct().withColumn("asked", F.lit(True))
+    both = asked.join(moves, "t", "full")
+    total = F.sum(F.coalesce("by", F.lit(0))).over(Window.orderBy("t").rowsBetween(Window.unboundedPreceding, 0))  # one row a day
+    return both.withColumn("n_alive", total).where("asked").select(F.col("t").alias(day), "n_alive")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,3 +138,18 @@ def calendar_differences(actual: DataFrame, rule: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("only_in", F.lit("actual")).unionByName(
         b.exceptAll(a).withColumn("only_in", F.lit("rule"))
     )
+
+
+#: Classes of the bar layer, its first day and the exchange without point-in-time dimensions.
+BAR_CLASSES = ("stock", "etf", "index", "block")
+BAR_START = "2003-01-01"
+BAR_EXCLUDED = ("bj",)
+
+
+def class_bars(bars: DataFrame, symbol_class: DataFrame, start: str = BAR_START, excluded: Sequence[str] = BAR_EXCLUDED) -> DataFrame:
+    """Bars of the known classes from ``start`` on, with class and year, the partitions they are kept and frozen by."""
+    ours = symbol_class.where(F.col("class").isin(*BAR_CLASSES)).select("symbol", "class")
+    kept = bars.where(F.col("date") >= F.to_date(F.lit(start)))
+    for prefix in excluded:
+        kept = kept.where(~F.col("symbol").startswith(prefix))
+    return kept.join(ours, "symbol").withColumn("year", F.year("date"))

@@ -98,6 +98,34 @@ def register_sql(spark: SparkSession, fin_core: str = "fin_core", index_member:
                WHERE index_code = idx AND valid_from <= d AND (valid_to IS NULL OR valid_to >= d)""")
 
 
+def register_dividends_sql(spark: SparkSession, dividend: str = "dividend") -> None:
+    """``dividend_visible_on(d)`` over a view with visible dates, and ``dividend_ttm_on(d)``, which calls it."""
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION dividend_visible_on(d DATE)
+        RETURNS TABLE (code STRING, report_date DATE, bonus_type STRING, visible_date DATE, plan_progress STRING, bonus_amount_rmb DOUBLE)
+        RETURN SELECT code, report_date, bonus_type, top.visible_date, top.plan_progress, top.bonus_amount_rmb FROM (
+                 SELECT code, report_date, bonus_type, max(struct(visible_date, plan_progress, bonus_amount_rmb)) AS top FROM {dividend}
+                 WHERE visible_date <= d AND (bonus_cancel_pub_date IS NULL OR bonus_cancel_pub_date > d) GROUP BY code, report_date, bonus_type)""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION dividend_ttm_on(d DATE)
+        RETURNS TABLE (code STRING, bonus_amount_wan_rmb DOUBLE, n_plan BIGINT)
+        RETURN SELECT code, sum(bonus_amount_rmb), count(*) FROM dividend_visible_on(d)
+               WHERE bonus_amount_rmb > 0 AND visible_date > date_sub(d, 365) GROUP BY code""")
+
+
+def register_market_sql(spark: SparkSession, state: str = "market_state") -> None:
+    """``market_state_on(d)`` over a view of ``market_state``: the day's limits, suspensions and limit touches.
+
+    The view is a plan, not a table, so the day reaches the scans of limits, bars and suspensions.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION market_state_on(d DATE)
+        RETURNS TABLE (code STRING, date DATE, high_limit DOUBLE, low_limit DOUBLE, is_paused BOOLEAN, is_st BOOLEAN, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE,
+                       limit_up_sealed BOOLEAN, limit_down_sealed BOOLEAN, limit_up_opened BOOLEAN)
+        RETURN SELECT code, date, high_limit, low_limit, is_paused, is_st, open, high, low, close, limit_up_sealed, limit_down_sealed, limit_up_opened
+               FROM {state} WHERE date = d""")
+
+
 def payout_ratio(ttm: DataFrame, fin: DataFrame) -> DataFrame:
     """Announced cash over visible profit, both as known on one day."""
     return ttm.join(fin.select("code", "net_profit_parent"), "code").withColumn(

@@ -286,3 +286,18 @@ def differing_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequen
     j = x.join(y, list(keys), "full")
     one = j.agg(*[F.count_if(~F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}")) | F.col("__a").isNull() | F.col("__b").isNull()).alias(c) for c in cols])
     return one.unpivot([], list(cols), "column_name", "n_different")
+
+
+def unit_by_third(rows: DataFrame, by: Sequence[str], implied: str, candidates: Sequence[float], tolerance: float = 0.15) -> DataFrame:
+    """(by, n, median, unit): the unit that a third quantity gives away, per source.
+
+    ``implied`` is the scale each row implies (two quantities of the source against one it knows nothing of). The candidate
+    with the least relative error to its median wins; none does when the error exceeds ``tolerance`` or two are as close.
+    """
+    known = rows.where((F.col(implied) > 0) & (F.col(implied) < float("inf")))
+    got = exact_quantiles(known, by, implied, {"median": 0.5})
+    errors = F.array(*[F.struct(F.abs(F.col("median") / F.lit(float(c)) - 1).alias("error"), F.lit(float(c)).alias("unit")) for c in candidates])
+    least = F.array_sort("__e")
+    clear = F.get(least, F.lit(1)).isNull() | (F.get(least, F.lit(1))["error"] > F.get(least, F.lit(0))["error"])
+    fits = F.get(least, F.lit(0))["error"] <= tolerance
+    return got.withColumn("__e", errors).select(*by, "n", "median", F.when(clear & fits, F.get(least, F.lit(0))["unit"]).alias("unit"))

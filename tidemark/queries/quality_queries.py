@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.intervals import overlaps
+from tidemark.operators.intervals import alive_counts, coverage, overlaps
 from tidemark.plans import catalog, factors, indicators, quality
+from tidemark.plans.bars import class_bars
 from tidemark.plans.dimensions import industry_intervals, name_intervals
 from tidemark.plans.shares import share_asof_rows
 from tidemark.operators.asof import asof_join
@@ -14,6 +15,7 @@ from tidemark.queries.inputs import panel, px
 from tidemark.queries import recurrence
 from tidemark.queries.registry import part, query, rnd
 from tidemark.session import cut_lineage
+from tidemark.sources.snapshots import frozen_breaks, partition_manifest
 
 
 def _rate(c: str) -> str:
@@ -286,3 +288,45 @@ _EWM = {
 def q_indicators_recursive(r):
     df = indicators.indicators(r("bars"))
     return df.select("symbol", "date", *[rnd(x, 5).alias(x) for x in df.columns if x.startswith(("ind_ema", "ind_macd", "ind_kdj"))])
+
+
+@query("industry_coverage", ["o_industry", "universe"], """
+    WITH held AS (SELECT u.code, unnest(generate_series(greatest(i.valid_from, list_date), least(coalesce(i.valid_to, DATE '1999-01-01'), coalesce(delist_date, DATE '1999-01-01'), DATE '1999-01-01') - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+      FROM o_industry i JOIN universe u ON u.code = i.code),
+    days AS (SELECT code, count(DISTINCT d) AS n FROM held GROUP BY code)
+    SELECT u.code, greatest(date_diff('day', list_date, least(coalesce(delist_date, DATE '1999-01-01'), DATE '1999-01-01')), 0) AS days_alive, coalesce(days.n, 0) AS days_covered,
+           round(CASE WHEN date_diff('day', list_date, least(coalesce(delist_date, DATE '1999-01-01'), DATE '1999-01-01')) > 0
+                 THEN coalesce(days.n, 0) / date_diff('day', list_date, least(coalesce(delist_date, DATE '1999-01-01'), DATE '1999-01-01')) END, 6) AS share
+    FROM (FROM universe WHERE list_date IS NOT NULL) u LEFT JOIN days ON days.code = u.code""")
+def q_industry_coverage(r):
+    lives = r("universe").where("list_date is not null").select("code", F.col("list_date").alias("born"), F.col("delist_date").alias("died"))
+    return coverage(industry_intervals(r("industry_snapshot")), lives, "code", "1999-01-01").withColumn("share", rnd("share"))
+
+
+@query("survivor_counts", ["months", "universe"], """
+    SELECT as_of, (SELECT count(*) FROM universe WHERE list_date <= as_of AND (delist_date IS NULL OR delist_date > as_of)) AS n_alive FROM months""")
+def q_survivors(r):
+    """Codes alive at every month end, those that are gone by now included."""
+    lives = r("universe").select(F.col("list_date").alias("born"), F.col("delist_date").alias("died"))
+    return alive_counts(lives, r("months"), "as_of")
+
+
+@query("volume_units", ["bars"], """
+    SELECT symbol, year, count(*) AS n, round(median(s), 6) AS "median", CASE WHEN abs(median(s) - 1) <= 0.15 THEN 1.0::DOUBLE WHEN abs(median(s) / 100 - 1) <= 0.15 THEN 100.0::DOUBLE WHEN abs(median(s) / 10000 - 1) <= 0.15 THEN 10000.0::DOUBLE END AS unit
+    FROM (SELECT symbol, CAST(year(date) AS INTEGER) AS year, volume / (amount / close) AS s FROM bars) GROUP BY symbol, year""")
+def q_volume_units(r):
+    """Whether a symbol's volumes are shares, lots or ten thousands, told by amount and price."""
+    rows = r("bars").select("symbol", F.year("date").alias("year"), (F.col("volume") / (F.col("amount") / F.col("close"))).alias("s"))
+    return quality.unit_by_third(rows, ["symbol", "year"], "s", (1, 100, 10000)).withColumn("median", rnd("median"))
+
+
+@query("frozen_breaks", ["bars", "symbol_class"], """
+    SELECT DISTINCT class, CAST(year(date) AS INTEGER) AS year, CASE WHEN class = 'etf' THEN 'lost' ELSE 'changed' END AS change FROM bars JOIN symbol_class USING (symbol)
+    WHERE date >= DATE '1993-01-01' AND symbol NOT LIKE 'bj%' AND ((class = 'etf' AND year(date) = 1996) OR (class = 'stock' AND year(date) IN (1995, 1997)))""")
+def q_frozen_breaks(r):
+    """All classes and years are frozen; then an ETF year is lost, a year of stocks is revised, another holds rows twice."""
+    now = class_bars(r("bars"), r("symbol_class"), "1993-01-01")
+    stock, etf, year = F.col("class") == "stock", F.col("class") == "etf", F.col("year")
+    new = now.where(~(etf & (year == 1996))).withColumn("close", F.when(stock & (year == 1995), F.col("close") + 1).otherwise(F.col("close")))
+    new = new.unionByName(new.where(stock & (year == 1997)))
+    return frozen_breaks(new, partition_manifest(now, ["class", "year"]), ["class", "year"])

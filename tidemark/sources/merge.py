@@ -11,15 +11,25 @@ from pyspark.sql import functions as F
 KEEP_SHARE = 0.95
 
 
-def conform_increment(old: DataFrame, inc: DataFrame) -> DataFrame:
+def conform_increment(old: DataFrame, inc: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Increment in the old table's columns and types.  A missing column is an error, an extra one is ignored.
 
-    What does not convert becomes NULL; ``increment_losses`` counts it.
+    What does not convert becomes NULL; ``increment_losses`` counts it.  In ``keys`` it is refused: as NULL it would meet, and
+    replace, the old row whose key is NULL.
     """
     missing = [c for c in old.columns if c not in inc.columns]
     if missing:
         raise ValueError(f"increment lacks columns {missing}")
-    return inc.select(*[F.col(c).try_cast(t).alias(c) for c, t in old.dtypes])
+
+    def cast(c: str, t: str):
+        new = F.col(c).try_cast(t)
+        if c not in keys:
+            return new.alias(c)
+        bad = F.col(c).isNotNull() & new.isNull()
+        say = F.concat(F.lit(f"key {c} does not convert to {t}: "), F.col(c).cast("string"))
+        return F.when(bad, F.raise_error(say).cast(t)).otherwise(new).alias(c)
+
+    return inc.select(*[cast(c, t) for c, t in old.dtypes])
 
 
 def increment_losses(old: DataFrame, inc: DataFrame) -> DataFrame:
@@ -29,8 +39,11 @@ def increment_losses(old: DataFrame, inc: DataFrame) -> DataFrame:
 
 
 def upsert(old: DataFrame, inc: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The increment wins; old rows whose key (NULL equal to NULL, compared as text) is not in it stay."""
-    new = conform_increment(old, inc)
+    """The increment wins; old rows whose key (NULL equal to NULL, compared as text) is not in it stay.
+
+    A key of the increment that does not convert to the old type fails the query.
+    """
+    new = conform_increment(old, inc, keys)
     probe = new.select(*[F.col(k).cast("string").alias(f"__n_{k}") for k in keys]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(k).cast("string").eqNullSafe(F.col(f"__n_{k}")) for k in keys])
     return new.unionByName(old.join(probe, same, "left_anti"))

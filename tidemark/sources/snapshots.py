@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,3 +50,34 @@ def key_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     a, b = old.select(*keys).distinct(), new.select(*keys).distinct()
     removed = a.join(b, list(keys), "left_anti").withColumn("change", F.lit("removed"))
     return b.join(a, list(keys), "left_anti").withColumn("change", F.lit("added")).unionByName(removed)
+
+
+def partition_manifest(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """(parts, n_rows, hash_xor, hash_sum): what each partition holds, whatever the order of its rows; copies count."""
+    h = _row_hash([c for c in sorted(df.columns) if c not in parts])
+    return df.select(*parts, h.alias("__h")).groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bit_xor("__h").alias("hash_xor"), F.sum(F.col("__h").cast("decimal(38,0)")).cast("string").alias("hash_sum")
+    )
+
+
+def frozen_breaks(df: DataFrame, frozen: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """(parts, change): partitions of the manifest ``frozen`` that ``df`` would change; ``lost`` when it has no row of them.
+
+    Partitions the manifest does not name are free.
+    """
+    same = [F.col(f"f.{p}").eqNullSafe(F.col(f"d.{p}")) for p in parts]
+    held = F.struct("n_rows", "hash_xor", "hash_sum")
+    now = partition_manifest(df, parts).select(*parts, held.alias("now")).alias("d")
+    was = frozen.select(*parts, held.alias("was")).alias("f")
+    both = was.join(now, reduce(lambda a, b: a & b, same), "left").where(~F.col("was").eqNullSafe(F.col("now")))
+    return both.select(*[F.col(f"f.{p}").alias(p) for p in parts], F.when(F.col("now").isNull(), "lost").otherwise("changed").alias("change"))
+
+
+def write_unfrozen(df: DataFrame, path: str, parts: Sequence[str], frozen: DataFrame) -> None:
+    """Replace the partitions of ``df`` that ``frozen`` does not name; if a frozen one would change, nothing is written."""
+    broken = frozen_breaks(df, frozen, parts).limit(5).collect()
+    if broken:
+        raise ValueError(f"frozen partitions would change: {[tuple(r) for r in broken]}")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{p}").eqNullSafe(F.col(f"f.{p}")) for p in parts])
+    free = df.alias("d").join(frozen.select(*parts).alias("f"), same, "left_anti")
+    free.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)

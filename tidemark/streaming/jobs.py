@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.merge import upsert
+from tidemark.sources.merge import merge_counts, upsert
 
 
 def version_path(root: str, version: int) -> str:
@@ -27,13 +27,20 @@ def latest_version(spark: SparkSession, root: str) -> int:
 def merge_stream(increments: DataFrame, root: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
     """Arriving increment files are merged by key into a versioned table; version = batch number + 1.
 
-    Re-running a batch rewrites the same version, so a failure between write and commit does no harm.
+    Re-running a batch rewrites the same version, so a failure between write and commit does no harm.  A version with fewer
+    rows than the one before is taken away again and the batch fails.
     """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         base = spark.read.parquet(version_path(root, epoch))
-        upsert(base, batch, keys).write.mode("overwrite").parquet(version_path(root, epoch + 1))
+        out = version_path(root, epoch + 1)
+        upsert(base, batch, keys).write.mode("overwrite").parquet(out)
+        sizes = merge_counts(base, spark.read.parquet(out)).first()
+        if not sizes.ok:
+            path = spark._jvm.org.apache.hadoop.fs.Path(out)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            raise ValueError(f"the merge would shrink the table from {sizes.n_old} to {sizes.n_new} rows: {out}")
 
     return increments.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -35,7 +35,7 @@ def brute(rows, min_chars=16, edits=1):
         firsts.setdefault(x, (i, n))
     by_half = {}
     for x in firsts:
-        if len(x) >= min_chars:
+        if len(x) >= min_chars - 1:
             for m in (len(x), len(x) + 1):
                 by_half.setdefault(("p", m, x[: m // 2]), []).append(x)
                 by_half.setdefault(("s", m, x[len(x) - (m - m // 2) :]), []).append(x)
@@ -43,7 +43,7 @@ def brute(rows, min_chars=16, edits=1):
     if edits:
         for group in by_half.values():
             for x in group:
-                if any(firsts[y] < firsts[x] and y != x and near(x, y) for y in group):
+                if any(firsts[y] < firsts[x] and y != x and max(len(x), len(y)) >= min_chars and near(x, y) for y in group):
                     gone.add(x)
     for i, t in rows:
         all_lines = (t or "").split("\n")
@@ -92,6 +92,11 @@ def test_templated_lines_cost_a_row_each(make):
     assert [r.doc_id for r in lines.dedup_lines(df).collect()] == [0]
 
 
+def test_bound_asks_the_longer_line(make):
+    df = make([(1, "short line abcd"), (2, "short line abcde"), (3, "short line abcf")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in lines.dedup_lines(df).collect()) == [(1, "short line abcd"), (3, "short line abcf")]
+
+
 def test_empty_table(make):
     assert lines.dedup_lines(make([], "doc_id long, text string")).count() == 0
 

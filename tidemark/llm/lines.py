@@ -50,7 +50,7 @@ def _halves(name: Prefix, first: np.ndarray, end: np.ndarray) -> list[np.ndarray
 
 
 def line_table(base: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, tag, line, ha, hb, n, p0, s0, p1, s1) for every line that is not blank; no halves under ``min_chars``."""
+    """(doc, tag, line, ha, hb, n, p0, s0, p1, s1) for every line that is not blank; no halves under ``min_chars`` - 1."""
 
     def run(batches):
         for batch in batches:
@@ -67,7 +67,7 @@ def line_table(base: DataFrame, min_chars: int) -> DataFrame:
                 halves = _halves(Prefix(points), first, end)
                 begins = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
                 name = names(raw, begins[first], begins[end])
-                short = pa.array(end - first < min_chars)
+                short = pa.array(end - first < min_chars - 1)
                 rows = pa.array(of + lo)
                 put = lambda x: pa.array(x.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -137,8 +137,9 @@ def kept_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16) -> Data
     """(doc, tag, line): of each line that is not blank the occurrence that stays.
 
     Order is (doc_id, hash of the text, line number), null ids last.  An occurrence goes if an equal line comes before it, or
-    one within ``max_edits`` (0 or 1) characters, both with at least ``min_chars``; whether that earlier line stays itself
-    does not matter.  Rows that repeat id and text share their decisions.
+    one within the edit bound; whether that earlier line stays itself does not matter.  The bound is ``max_edits`` (0 or 1)
+    where the longer line has at least ``min_chars`` characters and none below: there, one edit tells numbers, names and list
+    marks apart.  Rows that repeat id and text share their decisions; extra columns are ignored; no rows give no rows.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
@@ -165,7 +166,7 @@ def kept_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16) -> Data
     pairs = pairs.where(F.col("other") < place).distinct()
     one = bodies.select("doc", "tag", "line", "body")
     two = bodies.select(place.alias("other"), F.col("body").alias("earlier"))
-    late = pairs.join(one, ["doc", "tag", "line"]).join(two, "other").where(F.levenshtein("body", "earlier", 1) >= 0)
+    late = pairs.join(one, ["doc", "tag", "line"]).join(two, "other").where((F.greatest(F.length("body"), F.length("earlier")) >= min_chars) & (F.levenshtein("body", "earlier", 1) >= 0))
     return lines.select("doc", "tag", "line").join(late.select("doc", "tag", "line").distinct(), ["doc", "tag", "line"], "left_anti")
 
 
@@ -207,6 +208,9 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 16) -> Dat
 
 
 def digest(docs: DataFrame, max_edits: int = 1, min_chars: int = 16) -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept_sha256) for every row of ``docs``; a null text counts as one empty line."""
+    """(doc_id, n_lines, n_removed, kept_sha256) for every row of ``docs``, repeated rows included; a null text counts as one empty line.
+
+    A null id comes last in the order; extra columns are ignored, whatever their names; no rows give no rows.
+    """
     done = _reported(docs.select("doc_id", "text"), max_edits, min_chars)
     return done.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))

@@ -79,10 +79,21 @@ def test_odd_documents(make):
     count = encode()
     texts = ["", None, "a", "é字😀\x00", "<|endoftext|> it's", " \n\t ", "word " * 20_000, "a" * 30_000]
     rows = [(i, "s" if i % 2 else None, "en", t, 9) for i, t in enumerate(texts)]
-    df = make([*rows, (None, "s", "en", "lost", 1), rows[2], rows[2]], DOC)
-    want = brute({(i, "byte_bpe_50k"): (s, lang, len(t or ""), count(t or "")) for i, s, lang, t, _ in rows})
-    assert got(tokens.corpus_totals(df)) == want
-    assert tokens.corpus_totals(df.limit(0)).count() == 0
+    every = [*rows, (None, "s", "en", "lost", 1), (None, "s", "en", "lost", 1), (None, None, "en", "lost", 1), (2, "s", "en", "other text", 1), rows[2], rows[2]]
+    want = brute({(n, "byte_bpe_50k"): (s, lang, len(t or ""), count(t or "")) for n, (_, s, lang, t, _) in enumerate(every)})
+    assert got(tokens.corpus_totals(make(every, DOC))) == want
+    assert tokens.corpus_totals(make([], DOC)).count() == 0
+
+
+def test_totals_come_out_of_signed_deltas(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "shared_folder", lambda _: str(tmp_path))
+    rows = [(i % 37, f"s{i % 3}", "en", f"text number {i} of them", 1) for i in range(200)]
+    total = got(tokens.corpus_totals(make(rows, DOC), slices=4))
+    assert sum(n for n, _, _ in total.values()) == 200
+    folder = next(tmp_path.iterdir())
+    moved = {b: spark.read.parquet(f"{folder}/deltas/batch={b}").groupBy().sum("n_docs", "n_chars").first() for b in ("load", "revise", "delete", "restore")}
+    assert moved["revise"][0] == 0 and moved["revise"][1] > 0
+    assert moved["delete"][0] < 0 and tuple(moved["delete"]) == tuple(-x for x in moved["restore"])
 
 
 def test_null_id_raises(spark, make, tmp_path):

@@ -36,7 +36,7 @@ def brute(docs, items, rate):
         for i, x in items:
             x = squeeze(x).strip(" ")
             if x:
-                budget = max(0, min(int(rate * len(x)), len(x.encode()) // (8 if x.isascii() else 11) - 1))
+                budget = max(0, min(int(rate * len(x)), len(x) - 1))
                 e = least_edits(x, squeeze(t))
                 if e <= budget:
                     out.add((d, i, e))
@@ -71,6 +71,13 @@ def test_query_and_filter(spark, sf_dir):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {d for d, _ in texts} - {d for d, _, _ in got}
 
 
+def test_clashing_names(make):
+    item = "the quick brown fox jumps over the lazy dog and runs away"
+    docs = make([(1, item, 1, 2, 3, 4), (2, "something else", 1, 2, 3, 4)], "doc_id long, text string, _leak int, lost int, row int, `item.id` int")
+    out = decontaminate.drop_leaks(docs, make([(7, item, 1)], "item_id long, text string, doc_id int"))
+    assert out.schema == docs.schema and [tuple(r) for r in out.collect()] == [(2, "something else", 1, 2, 3, 4)]
+
+
 def test_blocks_long_text_and_empty(make, monkeypatch):
     item = "the quick brown fox jumps over the lazy dog and runs away"
     docs = make([(1, "word " * 200_000 + item.upper() + " word" * 9), (2, item[:40]), (None, item), (2, item[:30] + "X" + item[31:])], "doc_id long, text string")
@@ -97,5 +104,5 @@ def test_full_budget(make, rate):
     want = {(d, i, e) for d, t in docs for i, x in items if (e := least_edits(x, squeeze(t))) <= int(rate * len(x))}
     assert {(2 * i, i) for i, _ in items} <= {(d, i) for d, i, _ in want}
     d, b = make(docs, "doc_id long, text string"), make(items, "item_id long, text string")
-    assert {tuple(r) for r in decontaminate.leaks(d, b, rate, full=True).collect()} == want
+    assert {tuple(r) for r in decontaminate.leaks(d, b, rate).collect()} == want
     assert {r.doc_id for r in decontaminate.drop_leaks(d, b, rate).collect()} == {d for d, _ in docs} - {d for d, _, _ in want}

@@ -75,15 +75,11 @@ def edits(item: str, text: str) -> int:
 class Items:
     """Test items of one block with their pieces, and a table that most 8-grams of a text miss."""
 
-    def __init__(self, rows: list[tuple[int, str]], rate: float, full: bool = False):
+    def __init__(self, rows: list[tuple[int, str]], rate: float):
         self.ids = [i for i, t in rows if normal(t)]
         self.texts = [normal(t) for _, t in rows if normal(t)]
         self.raw = [np.frombuffer(t.encode(), np.uint8) for t in self.texts]
-        least = [GRAM if t.isascii() else GRAM + 3 for t in self.texts]  # cuts move to the next character
-        if full:
-            self.budget = [max(0, min(int(rate * len(t)), len(t) - 1)) for t in self.texts]
-        else:
-            self.budget = [max(0, min(int(rate * len(t)), len(r) // n - 1)) for t, r, n in zip(self.texts, self.raw, least, strict=True)]
+        self.budget = [max(0, min(int(rate * len(t)), len(t) - 1)) for t in self.texts]
         self.short = [k for k, (r, e) in enumerate(zip(self.raw, self.budget, strict=True)) if len(r) < GRAM and not e]
         cut = []
         for r, e in zip(self.raw, self.budget, strict=True):
@@ -200,11 +196,11 @@ def _blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield rows
 
 
-def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: str, full: bool) -> DataFrame:
+def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(rows)
 
     def run(batches):
-        items = Items(sent.value, rate, full)
+        items = Items(sent.value, rate)
         for batch in batches:
             ids, item, score = [], [], []
             data, offsets = utf8(batch.column(1))
@@ -222,12 +218,11 @@ def _scan(docs: DataFrame, rows: list[tuple[int, str]], rate: float, id_type: st
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, item_id long, edits long")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, full: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """(doc_id, item_id, edits): each document that holds a test item, and the fewest edits that make it one.
 
     Documents and items are compared with lower-case ASCII letters and runs of ASCII white space as one space. The budget is
-    ``rate`` edits a character; without ``full`` it is less where pieces would get shorter than eight bytes (eleven if not
-    ASCII). Null or blank texts match nothing; items without a budget must occur as they are. The items pass in blocks of bounded size, each against all documents, without a
+    ``rate`` edits a character. Null or blank texts match nothing; items without a budget must occur as they are. The items pass in blocks of bounded size, each against all documents, without a
     shuffle of texts. Rows that repeat a doc_id count as one document; a null doc_id is one document too. Tables without rows
     give no rows; extra columns are ignored.
     """
@@ -235,11 +230,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, full: bool =
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, edits long")
     for rows in _blocks_of(benchmark):
-        found = found.unionByName(_scan(docs, rows, rate, "long", full))
+        found = found.unionByName(_scan(docs, rows, rate, "long"))
     return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
-    """``docs`` without those that hold a test item; columns as they were. Rows with a null id stay if no such row leaks."""
-    lost = leaks(docs, benchmark, rate, full=True).select("doc_id").distinct().withColumnRenamed("doc_id", "_leak")
-    return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+    """``docs`` without those that hold a test item; columns as they were, whatever their names.
+
+    Rows with a null id stay if no such row leaks; rows that repeat an id go together; no items or no rows change nothing.
+    """
+    lost = leaks(docs, benchmark, rate).select(F.col("doc_id").alias("lost")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    stay = rows.join(lost, F.col("row.doc_id").cast("long").eqNullSafe(F.col("lost")), "left_anti")
+    return stay.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

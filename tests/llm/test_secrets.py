@@ -75,3 +75,10 @@ def test_counts_are_incremental_and_native(make):
     df = secrets.report(make(rows, "doc_id long, text string"), scan)
     assert got(df) == brute(rows, scan)
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_columns_that_clash_stay(make):
+    df = make([(1, "token=abcdefgh1", 2, 3, 4, "mine")], "doc_id long, text string, _base int, _hot int, row int, found string")
+    out = secrets.spans(df, name="hits")
+    assert out.columns == [*df.columns, "hits"] and tuple(out.first())[:6] == (1, "token=abcdefgh1", 2, 3, 4, "mine")
+    assert [tuple(x) for x in secrets.spans(df).first()["found"]] == [tuple(x) for x in out.first()["hits"]] == [(0, 0, 15)]

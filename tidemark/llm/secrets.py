@@ -82,11 +82,12 @@ def _hot_windows(text: Column, a: Alphabet) -> Column:
     return F.aggregate(moves, start, step, lambda acc: acc["out"])
 
 
-def spans(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
-    """``docs`` (..., text) with ``found``, array<struct<s, k, e>>: start, kind (place in KINDS) and end of every span, sorted.
+def spans(docs: DataFrame, scan: Scan = Scan(), name: str = "found") -> DataFrame:
+    """``docs`` (..., text) with a column ``name``, array<struct<s, k, e>>: start, kind (place in KINDS) and end of every span, sorted.
 
     The base patterns give assign, access and hex spans. Entropy spans are the merged windows of a candidate that no allowed
     pattern matches; spans of different alphabets that touch or overlap are one. A null or empty text has none.
+    Columns of ``docs`` stay as they were, but for one called ``name``, which gives way. No rows give no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     as_kind = lambda array, k: F.transform(array, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e")))
@@ -105,7 +106,9 @@ def spans(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
         wider = F.struct(last["s"].alias("s"), last["k"].alias("k"), F.greatest(last["e"], x["e"]).alias("e"))
         return F.when(last["e"] >= x["s"], F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(x)))
 
-    return docs.withColumn("_base", base).withColumn("_hot", hot).withColumn("found", F.array_sort(F.concat("_base", F.aggregate("_hot", none, merge)))).drop("_base", "_hot")
+    others = [c for c in docs.columns if c != name]
+    cut = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"), base.alias("base"), hot.alias("hot"))
+    return cut.select(*(F.col(f"row.`{c}`").alias(c) for c in others), F.array_sort(F.concat("base", F.aggregate("hot", none, merge))).alias(name))
 
 
 def _any_match(text: Column, patterns: tuple[str, ...]) -> Column:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.intervals import alive_counts, coverage
-from tidemark.plans import pit, quality
+from tidemark.plans import bars, fundamentals, pit, quality
 from tidemark.plans.bars import class_bars
 from tidemark.sources import merge, snapshots
 from tidemark.streaming import jobs
@@ -73,3 +73,36 @@ def test_frozen_partitions(spark, d):
         with pytest.raises(ValueError, match="frozen"):
             snapshots.write_unfrozen(bad, path, parts, frozen)
     assert sorted(r.close for r in spark.read.parquet(path).collect()) == [1.0, 9.0]
+
+
+def test_calendar_rule_that_fails_on_the_past_is_refused(spark):
+    days = spark.createDataFrame([("2024-01-02",), ("2024-01-03",), ("2024-01-05",)], "date string").select(F.col("date").cast("date"))
+    none, thursday = days.where("false"), days.limit(1).select(F.lit("2024-01-04").cast("date").alias("date"))
+    until = F.to_date(F.lit("2024-01-09"))
+    got = [(str(r.date), r.is_future) for r in bars.verified_extension(days, thursday, until).orderBy("date").collect()]
+    assert got == [("2024-01-02", False), ("2024-01-03", False), ("2024-01-05", False), ("2024-01-08", True), ("2024-01-09", True)]
+    with pytest.raises(Exception, match="0 trading days it misses, 1 it invents"):
+        bars.verified_extension(days, none, until).collect()
+    assert bars.verified_extension(none, thursday, until).count() == 0
+
+
+def test_list_whose_years_do_not_add_up_is_refused(spark):
+    raw = spark.createDataFrame([("a\r", "2020-01-01", "x"), ("b", "2021-01-01", None), ("c\r\r", "2021-02-01", "2021-02-30")], "code string, day string, other string")
+    year = F.substring("day", 1, 4).cast("int")
+    want = lambda rows: spark.createDataFrame(rows, "year int, expected long")
+    out = fundamentals.load_list(raw, ["day", "other"], year, want([(2020, 1)]))
+    assert [(r.code, str(r.day), r.other, r.year) for r in out.orderBy("code").collect()] == [("a", "2020-01-01", None, 2020), ("b", "2021-01-01", None, 2021), ("c", "2021-02-01", None, 2021)]
+    assert fundamentals.carriage_returns(raw).first()[0] == 3 and fundamentals.carriage_returns(raw.limit(0)).first()[0] == 0
+    with pytest.raises(Exception, match="2021: 2 rows, 3 expected; 2022: 0 rows, 1 expected"):
+        fundamentals.load_list(raw, ["day"], year, want([(2020, 1), (2021, 3), (2022, 1)])).collect()
+
+
+def test_halt_and_jumps(spark):
+    rows = [(s, f"2024-01-{d:02d}", 10.0 * (3.0 if s < "c" and d == 5 else 1.0), 100, 5.0) for s in "abc" for d in range(1, 7)]
+    df = spark.createDataFrame(rows, "symbol string, date string, close double, volume long, amount double").withColumn("date", F.col("date").cast("date"))
+    assert [(str(r.date), r.n_jumped) for r in quality.mass_jump_days(df, at_least=2).orderBy("date").collect()] == [("2024-01-05", 2), ("2024-01-06", 2)]
+    assert [str(x) for x in quality.safe_end(df, quality.mass_jump_days(df, at_least=2)).first()] == ["2024-01-05", "2024-01-04"]
+    assert str(quality.safe_end(df, df.limit(0)).first()["safe_end"]) == "2024-01-06"
+    kinds = spark.createDataFrame([("a", "stock"), ("b", "index"), ("c", "etf")], "symbol string, class string")
+    got = {r.date.day: (r.n, r.n_price, r.halt) for r in quality.halt_verdicts(df, kinds, halt_at={"n_price": 1}).collect()}
+    assert got[5] == (2, 1, True) and got[4] == (2, 0, False)

@@ -140,6 +140,16 @@ def calendar_differences(actual: DataFrame, rule: DataFrame) -> DataFrame:
     )
 
 
+def verified_extension(actual: DataFrame, holidays: DataFrame, until: Column) -> DataFrame:
+    """``extend_calendar`` that fails when weekdays less holidays are not the actual days of the past, telling how many differ."""
+    span = actual.agg(F.min("date").alias("first"), F.max("date").alias("last")).where("first is not null")
+    wrong = calendar_differences(actual, weekday_calendar(span, holidays)).agg(F.count_if(F.col("only_in") == "actual").alias("missing"), F.count_if(F.col("only_in") == "rule").alias("extra"))
+    told = F.format_string("the holiday rule fails on the past: %d trading days it misses, %d it invents", "missing", "extra")
+    checked = extend_calendar(actual, holidays, until).crossJoin(F.broadcast(wrong))  # one row
+    day = F.when(F.col("missing") + F.col("extra") > 0, F.raise_error(told).cast("date")).otherwise(F.col("date"))
+    return checked.select(day.alias("date"), "is_future")
+
+
 #: Classes of the bar layer, its first day and the exchange without point-in-time dimensions.
 BAR_CLASSES = ("stock", "etf", "index", "block")
 BAR_START = "2003-01-01"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import safe_div
 from tidemark.operators.asof import asof_join
 from tidemark.operators.dedupe import keep_max, newest_report_asof
+from tidemark.operators.ranking import exact_quantiles
 
 # Statement fields.  Balance fields are stocks; the other two are cumulative within a year.
 BALANCE = (
@@ -241,6 +242,50 @@ def restatements(stacked: DataFrame, value: str) -> DataFrame:
     )
 
 
+def load_list(raw: DataFrame, dates: Sequence[str], year: Column, manifest: DataFrame) -> DataFrame:
+    """A yearly text landing of an event list (unlocks, disclosure dates) as a typed table with its year.
+
+    Stray carriage returns leave every text; the named dates are cast, what does not convert is NULL. Rows per year must be
+    those that the extraction counted (``manifest``: year, expected); years without an expected number pass, others fail.
+    """
+    texts = [c for c, kind in raw.dtypes if kind == "string"]
+    df = raw.withColumn("year", year).withColumns({c: F.replace(c, F.lit("\r"), F.lit("")) for c in texts})
+    df = df.withColumns({c: F.col(c).try_cast("date") for c in dates})
+    got = df.groupBy("year").agg(F.count(F.lit(1)).alias("__n"))  # a row a year, empty years included by the manifest
+    both = got.join(manifest.select("year", "expected").where("expected is not null"), "year", "full")
+    wrong = both.where(F.col("expected").isNotNull() & ~F.col("__n").eqNullSafe(F.col("expected")))
+    told = wrong.agg(F.array_join(F.array_sort(F.collect_list(F.format_string("%s: %s rows, %s expected", "year", F.coalesce("__n", F.lit(0)), "expected"))), "; ").alias("__wrong"))
+    checked = df.crossJoin(F.broadcast(told))  # one row
+    fine = F.when(F.col("__wrong") != "", F.raise_error(F.col("__wrong")).cast("int")).otherwise(F.col("year"))
+    return checked.withColumn("year", fine).drop("__wrong")
+
+
+def carriage_returns(raw: DataFrame) -> DataFrame:
+    """(n): the stray carriage returns in all texts of a landing."""
+    each = [F.length(c) - F.length(F.replace(c, F.lit("\r"), F.lit(""))) for c, kind in raw.dtypes if kind == "string"]
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.sum(x), F.lit(0)) for x in each], F.lit(0))
+    return raw.agg(total.cast("long").alias("n"))
+
+
+def unlock_profile(unlocks: DataFrame) -> DataFrame:
+    """Per reason: rows, codes, rows with an actual date, first and last expected date."""
+    return unlocks.groupBy("limited_reason").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("code").alias("n_codes"), F.count("actual_unlimited_date").alias("n_actual"),
+        F.min("expected_unlimited_date").alias("first_expected"), F.max("expected_unlimited_date").alias("last_expected"),
+    )
+
+
+def disclosure_punctuality(df: DataFrame) -> DataFrame:
+    """(n, median_days, share_in_time, n_moved_1, n_moved_2, n_moved_3): final dates against the days of publication."""
+    late = F.datediff("pub_date", "final_date")
+    both = final_disclosure(df).withColumn("late", late)
+    known = both.where("late is not null and appoint_date is not null")
+    share = known.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("late") <= 0).cast("int")).alias("share_in_time"))
+    moved = df.agg(*[F.count(c).alias(f"n_moved_{i}") for i, c in enumerate(("first_date", "second_date", "third_date"), 1)])
+    median = exact_quantiles(known, [], "late", {"median_days": 0.5}).select("median_days")
+    return share.crossJoin(F.broadcast(moved)).join(F.broadcast(median), F.lit(True), "left")
+
+
 def final_disclosure(df: DataFrame) -> DataFrame:
     """The disclosure date after up to three postponements."""
     return df.withColumn("final_date", F.coalesce("third_date", "second_date", "first_date", "appoint_date"))

@@ -188,6 +188,37 @@ def mass_move_days(bars: DataFrame, at_least: int = 50, move: float = 0.5) -> Da
     )
 
 
+def mass_jump_days(bars: DataFrame, at_least: int = 50, ratio: float = 2.0) -> DataFrame:
+    """Days on which many symbols close at over ``ratio`` times the previous close or under its inverse; ``bars`` of one class."""
+    w = Window.partitionBy("symbol").orderBy("date")
+    before = F.lag("close").over(w)
+    times = F.when(before > 0, F.col("close") / before)
+    days = bars.withColumn("__x", times).groupBy("date").agg(F.count_if((F.col("__x") > ratio) | (F.col("__x") < 1 / ratio)).alias("n_jumped"), F.count("__x").alias("n"))
+    return days.where(F.col("n_jumped") >= at_least)
+
+
+def safe_end(bars: DataFrame, bad_days: DataFrame) -> DataFrame:
+    """(first_bad, safe_end): the last day before the first bad one; the last day of all where none is bad."""
+    first = bad_days.agg(F.min("date").alias("first_bad"))
+    good = bars.crossJoin(F.broadcast(first)).where(F.col("first_bad").isNull() | (F.col("date") < F.col("first_bad")))
+    return first.crossJoin(F.broadcast(good.agg(F.max("date").alias("safe_end"))))
+
+
+#: The classes whose days are judged, and how many anomalies of a kind halt the load of a day.
+HALT_CLASSES = ("stock", "etf")
+HALT_AT = {"n_price": 50, "n_volume": 300, "n_amount": 300}
+
+
+def halt_verdicts(bars: DataFrame, symbol_class: DataFrame, classes: Sequence[str] = HALT_CLASSES, halt_at: Mapping[str, int] | None = None, window: int = 20, pct: float = 50.0, ratio: float = 20.0) -> DataFrame:
+    """``day_anomalies`` of the given classes with ``halt``: whether any count reaches its limit.
+
+    Whole symbols are left out before the windows, so the others' windows are the same.
+    """
+    ours = bars.join(symbol_class.where(F.col("class").isin(*classes)).select("symbol").distinct(), "symbol", "left_semi")
+    limits = HALT_AT if halt_at is None else halt_at
+    return day_anomalies(ours, window, pct, ratio).withColumn("halt", reduce(lambda a, b: a | b, [F.col(c) >= n for c, n in limits.items()]))
+
+
 def day_anomalies(bars: DataFrame, window: int = 20, pct: float = 50.0, ratio: float = 10.0) -> DataFrame:
     """Per day: symbols whose price moved over ``pct`` percent or whose volume or amount left its recent median.
 

@@ -117,6 +117,48 @@ def q_disclosure(r):
     return fu.final_disclosure(r("disclosure"))
 
 
+@query("calendar_verified", ["calendar_days"], """
+    SELECT date, false AS is_future FROM calendar_days WHERE isodow(date) < 6 UNION ALL
+    SELECT d::DATE, true FROM (SELECT unnest(generate_series((SELECT max(date) + 1 FROM calendar_days WHERE isodow(date) < 6), DATE '2002-02-28', INTERVAL 1 DAY)) AS d) WHERE isodow(d) < 6""")
+def q_verified(r):
+    actual = r("calendar_days").where(~F.dayofweek("date").isin(1, 7))
+    span = actual.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    closed = ba.weekday_calendar(span, actual)  # weekdays without a bar
+    return ba.verified_extension(actual, closed, F.to_date(F.lit("2002-02-28")))
+
+
+def _unlocks(r):
+    year = F.substring("pub_date", 1, 4).cast("int")
+    want = r("filings").groupBy(F.year("pub_date").alias("year")).agg(F.count("*").alias("expected"))
+    return fu.load_list(r("unlocks"), ["pub_date", "expected_unlimited_date", "actual_unlimited_date"], year, want)
+
+
+@query("unlock_list", ["unlocks"], """
+    SELECT replace(code, chr(13), '') AS code, CAST(pub_date AS DATE) AS pub_date, CAST(expected_unlimited_date AS DATE) AS expected_unlimited_date,
+           TRY_CAST(actual_unlimited_date AS DATE) AS actual_unlimited_date, replace(limited_reason, chr(13), '') AS limited_reason, CAST(left(pub_date, 4) AS INTEGER) AS year FROM unlocks""")
+def q_unlocks(r):
+    return _unlocks(r)
+
+
+@query("unlock_profile", ["unlocks"], """
+    SELECT replace(limited_reason, chr(13), '') AS limited_reason, count(*) AS n, count(DISTINCT replace(code, chr(13), '')) AS n_codes, count(TRY_CAST(actual_unlimited_date AS DATE)) AS n_actual,
+           min(CAST(expected_unlimited_date AS DATE)) AS first_expected, max(CAST(expected_unlimited_date AS DATE)) AS last_expected FROM unlocks GROUP BY 1""")
+def q_unlock_profile(r):
+    return fu.unlock_profile(_unlocks(r))
+
+
+@query("carriage_returns", ["unlocks"], "SELECT CAST(sum(length(code) - length(replace(code, chr(13), '')) + length(limited_reason) - length(replace(limited_reason, chr(13), ''))) AS BIGINT) AS n FROM unlocks")
+def q_returns(r):
+    return fu.carriage_returns(r("unlocks"))
+
+
+@query("disclosure_punctuality", ["disclosure"], """
+    SELECT count(late) AS n, round(avg(CASE WHEN late <= 0 THEN 1.0 ELSE 0.0 END), 6) AS share_in_time, count(first_date) AS n_moved_1, count(second_date) AS n_moved_2, count(third_date) AS n_moved_3, CAST(median(late) AS DOUBLE) AS median_days
+    FROM (SELECT *, pub_date - coalesce(third_date, second_date, first_date, appoint_date) AS late FROM disclosure)""")
+def q_punctuality(r):
+    return fu.disclosure_punctuality(r("disclosure")).withColumn("share_in_time", F.round("share_in_time", 6)).withColumn("median_days", F.col("median_days").cast("double"))
+
+
 # --- dimensions --------------------------------------------------------------------------------------------
 @query("security_universe", ["universe", "name_history", "security_status"], """
     SELECT c.code, u.display_name_current, u.list_date, u.delist_date, u.sec_type, u.code IS NOT NULL AS in_yearend_snapshot

@@ -124,6 +124,30 @@ def q_anomalies(r):
     return quality.day_anomalies(r("bars"), pct=12.0, ratio=3.0)
 
 
+@query("mass_jump_days", ["bars"], """
+    SELECT date, count(*) FILTER (WHERE x > 1.15 OR x < 1 / 1.15::DOUBLE) AS n_jumped, count(x) AS n FROM (SELECT date, CASE WHEN p > 0 THEN close / p END AS x FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS p FROM bars))
+    GROUP BY date HAVING count(*) FILTER (WHERE x > 1.15 OR x < 1 / 1.15::DOUBLE) >= 2""")
+def q_jumps(r):
+    return quality.mass_jump_days(r("bars"), at_least=2, ratio=1.15)
+
+
+@query("safe_end", ["bars"], """
+    WITH bad AS (SELECT min(date) AS first_bad FROM (SELECT date FROM (SELECT date, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS r FROM bars) GROUP BY date HAVING count(*) FILTER (WHERE abs(r) > 0.15) >= 3))
+    SELECT first_bad, (SELECT max(date) FROM bars, bad b WHERE b.first_bad IS NULL OR date < b.first_bad) AS safe_end FROM bad""")
+def q_safe_end(r):
+    return quality.safe_end(r("bars"), quality.mass_move_days(r("bars"), at_least=3, move=0.15))
+
+
+@query("halt_verdicts", ["bars"], """
+    SELECT *, n_price >= 1 OR n_volume >= 3 OR n_amount >= 3 AS halt FROM (
+    SELECT date, count(*) AS n, count(*) FILTER (WHERE pc > 0 AND abs((close / pc - 1) * 100) > 12) AS n_price,
+           count(*) FILTER (WHERE volume / nullif(vm, 0) > 3 OR volume / nullif(vm, 0) < 1.0::DOUBLE / 3) AS n_volume, count(*) FILTER (WHERE amount / nullif(am, 0) > 3 OR amount / nullif(am, 0) < 1.0::DOUBLE / 3) AS n_amount
+    FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS pc, median(volume) OVER w AS vm, median(amount) OVER w AS am FROM bars WHERE right(symbol, 1) <> '7' WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)) GROUP BY date)""")
+def q_halt(r):
+    kinds = r("bars").select("symbol", F.when(F.col("symbol").endswith("7"), "index").otherwise("stock").alias("class")).distinct()
+    return quality.halt_verdicts(r("bars"), kinds, halt_at={"n_price": 1, "n_volume": 3, "n_amount": 3}, pct=12.0, ratio=3.0)
+
+
 @query("scale_guard", ["bars"], """
     SELECT 'scale_ratio' AS "check", median(c2 / close) AS value, 0.2::DOUBLE AS lo, 5.0::DOUBLE AS hi, median(c2 / close) BETWEEN 0.2 AND 5 AS ok FROM (SELECT *, CASE WHEN volume % 3 = 0 THEN close * 8 ELSE close * 2 END AS c2 FROM bars) WHERE date > (SELECT max(date) - 250 FROM bars)""")
 def q_scale(r):

@@ -225,6 +225,12 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN sk % 4 = 0 THEN pub_date + {_i('5')} END AS second_date,
                CASE WHEN sk % 8 = 0 THEN pub_date + {_i('9')} END AS third_date, pub_date
         FROM filings"""),
+    "unlocks": (("filings",), f"""
+        SELECT code || CASE WHEN sk % 7 = 0 THEN chr(13) ELSE '' END AS code, CAST(pub_date AS VARCHAR(20)) AS pub_date,
+               CAST(report_date + {_i('30 + sk % 90')} AS VARCHAR(20)) AS expected_unlimited_date,
+               CASE WHEN sk % 11 = 0 THEN 'unknown' WHEN sk % 3 > 0 THEN CAST(report_date + {_i('31 + sk % 90')} AS VARCHAR(20)) END AS actual_unlimited_date,
+               CASE WHEN q = 4 THEN 'placement' WHEN q = 2 THEN 'founders' || chr(13) ELSE 'incentive' END AS limited_reason
+        FROM filings"""),
     "trades": (("orders",), f"""
         SELECT o_orderkey AS trade_id, {_code(_symbol('o_custkey % 100'))} AS code, CAST(o_orderdate AS DATE) AS buy_date,
                CAST(1 + o_orderkey % 15 AS BIGINT) AS hold_days, o_orderpriority AS strategy,

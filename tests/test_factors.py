@@ -280,3 +280,21 @@ def test_restated_report_stays_visible_until_the_next_one(spark, d):
     rows = [("a", d("2019-03-31"), d("2019-09-01"), 1.0), ("a", d("2019-06-30"), d("2019-08-20"), 2.0), ("a", d("2019-09-30"), d("2019-10-20"), 3.0), ("a", d("2018-12-31"), d("2019-08-20"), 0.0)]
     got = newest_report_per_day(spark.createDataFrame(rows, "code string, report_date date, pub_date date, v double"))
     assert sorted(r.v for r in got.collect()) == [1.0, 2.0, 3.0]
+
+
+def test_a_scan_looks_back_as_often_for_many_smoothers_as_for_one(spark):
+    from tidemark.functions import recursive
+
+    rng = np.random.default_rng(8)
+    rows = pd.DataFrame({"code": np.repeat(["a", "b"], 40), "t": [*range(40)] * 2, "x": rng.normal(10, 2, 80), "z": rng.normal(5, 1, 80)})
+    rows.loc[[7, 8, 30, 50], "x"] = np.nan
+    many = [recursive.ema(f"y{n}", "x", n) for n in (2, 5, 9)] + [recursive.wilder("w", "z", 4), recursive.ema("d", ("x", "z"), 5), recursive.ewm_first("z", "z", 0.4)]
+    out = recursive.apply_smoothers(spark.createDataFrame(rows), "code", "t", many, ["x", "z"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert out._jdf.queryExecution().analyzed().toString().count("windowspecdefinition") < 21 + 7 * len(many) + 7
+    got = out.toPandas().sort_values(["code", "t"])
+    for s in many:
+        for code, m in rows.groupby("code"):
+            x = m[s.src] if isinstance(s.src, str) else m[s.src[0]] - m[s.src[1]]
+            np.testing.assert_allclose(got[got.code == code][s.out].to_numpy(float), recursive.smooth(x.to_numpy(), s.alpha, s.seed), rtol=1e-9, err_msg=f"{code} {s.out}")

@@ -298,3 +298,15 @@ def test_a_scan_looks_back_as_often_for_many_smoothers_as_for_one(spark):
         for code, m in rows.groupby("code"):
             x = m[s.src] if isinstance(s.src, str) else m[s.src[0]] - m[s.src[1]]
             np.testing.assert_allclose(got[got.code == code][s.out].to_numpy(float), recursive.smooth(x.to_numpy(), s.alpha, s.seed), rtol=1e-9, err_msg=f"{code} {s.out}")
+
+
+def test_ranges_are_found_by_halving(spark):
+    from tidemark.operators.ranking import cumulative_counts
+
+    rng = np.random.default_rng(4)
+    rows = pd.DataFrame({"g": rng.integers(0, 3, 500), "v": np.round(rng.normal(0, 3, 500), 1)})
+    for ranges in (2, 3, 8, 33):
+        acc = cumulative_counts(spark.createDataFrame(rows), ["g"], "v", ranges)
+        assert "lambda" not in acc._jdf.queryExecution().analyzed().toString()
+        got = {(r.g, r.v): (r.n, r.below) for r in acc.collect()}
+        assert got == {(g, v): (int(((rows.g == g) & (rows.v == v)).sum()), int(((rows.g == g) & (rows.v < v)).sum())) for g, v in zip(rows.g, rows.v)}

@@ -12,12 +12,19 @@ def round_half(x: Column, digits: int) -> Column:
     """Round as C does: scale, round half away from zero, unscale.
 
     Spark's own ``round(x, n)`` rounds the decimal text of the double (``round(1.005, 2) = 1.01``); the
-    price rules are defined on the binary value (``1.0``), so scale first and round at 0 digits.
+    price rules are defined on the binary value (``1.0``), so scale first and round at 0 digits.  The rounding
+    is arithmetic on the double, without the decimal text that ``round`` goes through for every value.
     """
     if digits == 0:
         return F.round(x, 0)
     scale = F.lit(float(10**digits))
-    return F.round(x * scale, 0) / scale
+    return _nearest(x * scale) / scale
+
+
+def _nearest(y: Column) -> Column:
+    """A double to the nearest whole one, halves away from zero; a zero is never negative."""
+    even = F.rint(y)  # halves to even, so only they are mended
+    return F.when(F.abs(y - even) == 0.5, y + F.signum(y) * 0.5).otherwise(even + F.lit(0.0))
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import spread
 
-_TS, _SIDE, _LEFT = "__ts", "__side", "__left"
+_TS, _SIDE = "__ts", "__side"
+_LEFT = 1  # the side of left rows; right rows that may be met at their own time come before them, strict ones after
 
 
 @dataclass(frozen=True)
@@ -87,9 +88,13 @@ def asof_join_many(
     left_unique: bool = False,
     bucket: str | None = None,
     previous: dict[str, str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left as-of join of several right tables in one exchange.  All left rows and columns are kept.
 
+    The left columns stay columns of the tagged rows, so those that nobody reads afterwards are never shuffled.
+    ``parts`` is the number of parts of the exchange (see ``spread``).
+
     ``previous`` (output name -> left column) adds values of the previous left row of the key from the same
     sorted pass; it needs a unique left side and no ``bucket``.
     """
@@ -98,40 +103,40 @@ def asof_join_many(
         raise ValueError("previous needs left_unique=True and no bucket")
     if not left_unique:
         keys = left.select(*on, left_ts).where(F.col(left_ts).isNotNull()).distinct()
-        matched = asof_join_many(keys, on, left_ts, sides, left_unique=True, bucket=bucket)
+        matched = asof_join_many(keys, on, left_ts, sides, left_unique=True, bucket=bucket, parts=parts)
         return left.join(matched, [*on, left_ts], "left")
 
-    payload = [c for c in left.columns if c not in on]
+    payload = [c for c in left.columns if c not in on and c != left_ts]
     slots: dict[str, dict[str, str]] = {}
-    tagged = left.select(
-        *on, F.col(left_ts).alias(_TS), F.lit(1).alias(_SIDE), F.struct(*payload).alias(_LEFT)
-    )
+    tagged = left.select(*on, F.col(left_ts).alias(_TS), F.lit(_LEFT).alias(_SIDE), *payload)
     for i, side in enumerate(sides):
-        mine = side.slots(i)
-        slots.update(mine)
+        held = side.slots(i)
+        slots.update(held)
         rows = _right_rows(side, on, i)
         tagged = tagged.unionByName(
-            rows.withColumn(_SIDE, F.lit(2 if side.strict else 0)), allowMissingColumns=True
+            rows.withColumn(_SIDE, F.lit(_LEFT + 1 if side.strict else _LEFT - 1)), allowMissingColumns=True
         )
         if bucket is not None:
             wanted = left.select(*on, _period(F.col(left_ts), bucket).alias("__p")).distinct()
-            carry = _carry_rows(rows, wanted, on, list(mine), bucket).withColumn(_SIDE, F.lit(-1))
+            carry = _carry_rows(rows, wanted, on, list(held), bucket).withColumn(_SIDE, F.lit(-1))
             tagged = tagged.unionByName(carry, allowMissingColumns=True)
 
-    parts = [F.col(k) for k in on]
+    groups = [F.col(k) for k in on]
     if bucket is not None:
-        parts.append(_period(F.col(_TS), bucket))
+        groups.append(_period(F.col(_TS), bucket))
     else:
-        tagged = spread(tagged, *on)
-    ordered = Window.partitionBy(*parts).orderBy(F.col(_TS).asc_nulls_first(), _SIDE)
+        tagged = spread(tagged, *on, parts=parts)
+    ordered = Window.partitionBy(*groups).orderBy(F.col(_TS).asc_nulls_first(), _SIDE)
     w = ordered.rowsBetween(Window.unboundedPreceding, 0)
     carried = [F.last(s, ignorenulls=True).over(w).alias(s) for s in slots]
+    own = F.col(_TS).cast(left.schema[left_ts].dataType)  # the right tables may have widened it
+    mine, value = F.col(_SIDE) == _LEFT, {c: own if c == left_ts else F.col(c) for c in left.columns}
     if previous:
-        earlier = F.when(F.col(_LEFT).isNotNull(), F.struct(*[F.col(_LEFT)[c].alias(o) for o, c in previous.items()]))
+        earlier = F.when(mine, F.struct(*[value[c].alias(o) for o, c in previous.items()]))
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
         carried.append(F.last(earlier, ignorenulls=True).over(before).alias("__previous"))
-    seen = tagged.select(*on, _LEFT, *carried).where(F.col(_LEFT).isNotNull())
-    out = [F.col(c) if c in on else F.col(f"{_LEFT}.{c}").alias(c) for c in left.columns]
+    seen = tagged.select(*on, _TS, _SIDE, *payload, *carried).where(mine)
+    out = [value[c].alias(c) for c in left.columns]
     out += [F.col(f"__previous.{o}").alias(o) for o in previous]
     whole = {slot for i, side in enumerate(sides) if not side.per_column for slot in side.slots(i)}
     for slot, cols in slots.items():
@@ -151,12 +156,13 @@ def asof_join(
     strict: bool = False,
     left_unique: bool = False,
     bucket: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """As-of join of one right table.  ``how='inner'`` drops left rows without a match."""
     mapping = dict(cols) if isinstance(cols, dict) else {c: c for c in cols}
     flag = "__matched"
     side = Side(right.withColumn(flag, F.lit(True)), right_ts, {**mapping, flag: flag}, strict=strict)
-    out = asof_join_many(left, on, left_ts, [side], left_unique=left_unique, bucket=bucket)
+    out = asof_join_many(left, on, left_ts, [side], left_unique=left_unique, bucket=bucket, parts=parts)
     if how == "inner":
         out = out.where(F.col(flag))
     return out.drop(flag)

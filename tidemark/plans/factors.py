@@ -21,6 +21,7 @@ from tidemark.functions.windows import Roll
 from tidemark.operators.asof import asof_join
 from tidemark.operators.dedupe import newest_report_per_day
 from tidemark.plans.fundamentals import BALANCE, CASHFLOW, INCOME
+from tidemark.session import spread
 
 ROLL = Roll("jq_code", "date")
 
@@ -466,14 +467,13 @@ def check_ids(specs: Sequence[Spec]) -> None:
 check_ids(ALL)
 
 
-def by_code(df: DataFrame) -> DataFrame:
+def by_code(df: DataFrame, parts: int | None = None) -> DataFrame:
     """The one exchange of the factor job.
 
     The partition number is given, so adaptive execution does not merge partitions by their (small) size:
     this stage is bound by computation, not by bytes.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "jq_code")
+    return spread(df, "jq_code", parts=parts)
 
 
 def references(df: DataFrame, columns: Sequence[Column]) -> list[set[str]]:
@@ -614,22 +614,42 @@ def requirements(specs: Sequence[Spec] = ()) -> list[tuple[str, list[str], int |
     return [(s.id, sorted(deps), rows, recursive) for s in specs for deps, rows, recursive in (plan.trace(f"={s.id}"),)]
 
 
-def factor_daily(panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] | None = None, dtype: str | None = "float") -> DataFrame:
-    """(jq_code, date, one column per factor).  ``statements`` is the output of ``statement_layer``."""
+def by_report(plan: Plan, filed: Sequence[str]) -> list[str]:
+    """Factors of ``plan`` that read columns of a report and nothing of the day: they change with reports only."""
+    own = set(filed)
+    return [name[1:] for name, below in plan.reads.items() if name.startswith("=") and below and below <= own]
+
+
+def factor_daily(
+    panel: DataFrame, statements: DataFrame | None, specs: Sequence[Spec] | None = None, dtype: str | None = "float",
+    finish: Callable[[Column], Column] | None = None, parts: int | None = None,
+) -> DataFrame:
+    """(jq_code, date, one column per factor).  ``statements`` is the output of ``statement_layer``.
+
+    Factors of the report alone are computed once a report and carried to the days; what they are where a code has no report
+    yet, one row tells.  ``finish`` is applied to each factor (a rounding, say), ``parts`` is the number of parts by code.
+    """
     specs = ALL if specs is None else specs
     check_ids(specs)
     right = newest_report_per_day(statements) if statements is not None else None
     filed = [x for x in right.columns if x[:2] in ("b_", "t_", "c_")] if right is not None else []
-    df = daily_terms(by_code(derived(panel)))
+    df = daily_terms(by_code(derived(panel), parts))
     plan = Plan.of(specs, [*(x for x in df.columns if x not in ("jq_code", "date")), *filed])
     df = df.select("jq_code", "date", *[x for x in df.columns if x in plan.base])
     cols = [x for x in filed if x in plan.base]
-    if cols:
-        right = right.select(F.col("code").alias("jq_code"), "pub_date", *cols)
-        df = asof_join(df, right, ["jq_code"], "date", "pub_date", cols, left_unique=True)
     # cast last, so the stored width does not enter any window
-    typed = [(x.cast(dtype) if dtype else x).alias(s.id) for s, x in zip(specs, plan.columns)]
-    return plan.run(df).select("jq_code", "date", *typed)
+    typed = {s.id: x.cast(dtype) if dtype else x for s, x in zip(specs, plan.columns)}
+    typed = {i: finish(x) for i, x in typed.items()} if finish else typed
+    if cols:
+        told = {i: f"__of_{i}" for i in by_report(plan, cols)}
+        told_columns = [typed[i].alias(name) for i, name in told.items()]
+        daily = [x for x in cols if any(x in below for name, below in plan.reads.items() if name[1:] not in told)]
+        none = right.limit(0).agg(*[F.first(x).alias(x) for x in cols]).select(*told_columns).first() if told else {}
+        right = right.select(F.col("code").alias("jq_code"), "pub_date", *daily, *told_columns, F.lit(True).alias("__told"))
+        df = asof_join(df, right, ["jq_code"], "date", "pub_date", [*daily, *told.values(), "__told"], left_unique=True, parts=parts)
+        blank = lambda name: F.lit(none[name]).cast(right.schema[name].dataType)
+        typed |= {i: F.col(name) if none[name] is None else F.when(F.col("__told"), F.col(name)).otherwise(blank(name)) for i, name in told.items()}
+    return plan.run(df).select("jq_code", "date", *[typed[s.id].alias(s.id) for s in specs])
 
 
 def try_factor(panel: DataFrame, name: str, calc: Callable[[Ctx], Column]) -> DataFrame:

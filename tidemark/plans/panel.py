@@ -84,11 +84,11 @@ def valuation_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def priced_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame:
+def priced_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame, parts: int | None = None) -> DataFrame:
     """Matched stock bars with adjusted close and repaired volume."""
     div = volume_divisor(F.col("low"), F.col("high"), F.col("volume"), F.col("amount"))
     # one exchange for the factors here and the basics later
-    df = with_factor(spread(matched_stocks(bars, codes), "symbol", "date"), factor).withColumn("vol_div", div)
+    df = with_factor(spread(matched_stocks(bars, codes), "symbol", "date", parts=parts), factor).withColumn("vol_div", div)
     return df.select(
         "date", "jq_code", "symbol", F.col("close").alias("close_bfq"), "open", "high", "low",
         (F.col("volume") / F.col("vol_div")).alias("volume_shares"), "amount",
@@ -100,9 +100,9 @@ def daily_return(prev: Column) -> Column:
     return F.when(prev > 0, F.col("close_hfq") / prev - 1)
 
 
-def base_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame) -> DataFrame:
+def base_bars(bars: DataFrame, factor: DataFrame, codes: DataFrame, parts: int | None = None) -> DataFrame:
     """``priced_bars`` with the daily return."""
-    df = priced_bars(bars, factor, codes).withColumn("__prev", JQ_DATE.shift(F.col("close_hfq"), 1))
+    df = priced_bars(bars, factor, codes, parts).withColumn("__prev", JQ_DATE.shift(F.col("close_hfq"), 1))
     return df.withColumn("ret_1d", daily_return(F.col("__prev"))).drop("__prev")
 
 
@@ -162,8 +162,9 @@ INDUSTRY_COLS = (
 )
 
 
-def panel_daily(x: PanelInputs) -> DataFrame:
-    px = priced_bars(x.bars, x.factor, x.codes)
+def panel_daily(x: PanelInputs, parts: int | None = None) -> DataFrame:
+    """``parts``: into how many parts the bars are dealt, for the joins and for the as-of pass (``session.parts_of`` their number)."""
+    px = priced_bars(x.bars, x.factor, x.codes, parts)
     basic = x.basic.select(
         "symbol", "date", "preclose", "change_pct", "amplitude", "turnover",
         F.col("floatmv").alias("__floatmv"), F.col("totalmv").alias("__totalmv"),
@@ -187,7 +188,7 @@ def panel_daily(x: PanelInputs) -> DataFrame:
         Side(x.industries, "valid_from", {**{c: c for c in INDUSTRY_COLS}, "__industry_to": "valid_to"}, key),
         membership_side(x.members, key),
     ]
-    df = asof_join_many(px, ["jq_code"], "date", sides, left_unique=True, previous={"__prev_hfq": "close_hfq"})
+    df = asof_join_many(px, ["jq_code"], "date", sides, left_unique=True, previous={"__prev_hfq": "close_hfq"}, parts=parts)
 
     df = df.withColumns({
         "sec_name": F.when(_still_valid("__name_to"), F.col("sec_name")),

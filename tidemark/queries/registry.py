@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import round_half
 from tidemark.queries import standin
-from tidemark.session import store
+from tidemark.session import parts_of, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,16 @@ class Inputs:
                 self.stored[name] = store(self(name))
         return self
 
+    def keep(self, name: str, make: Callable[[Inputs], DataFrame]) -> DataFrame:
+        """What ``make`` gives, stored under a name of its own the first time it is asked for."""
+        if name not in self.stored:
+            self.stored[name] = store(make(self))
+        return self.spark.read.parquet(self.stored[name])
+
+    def parts(self, name: str) -> int:
+        """Parts for the rows of a relation, which should be stored: then they are read from its footers."""
+        return parts_of(self.spark, self(name).count())
+
 
 def part(name: str, needs: Sequence[str], sql: str) -> None:
     ORACLE_PARTS[name] = (tuple(needs), sql)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import round_half
 from tidemark.operators.asof import Side, asof_join_many
 from tidemark.plans import factors, quality
+from tidemark.queries import standin
+from tidemark.queries.registry import Inputs
 from tidemark.session import ROWS_A_PART, parts_of, spread
 
 
@@ -79,3 +81,21 @@ def test_allow_list_meets_suspects_only(spark, d):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     join = plan[plan.index("LeftAnti"):].split("\n")
     assert any("amount" in line and "Filter" in line for line in join[1:4])
+
+
+def test_grouped_relations_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    day = datetime.datetime(1995, 1, 2)
+    rows = [(i, i % 5, i % 4 if i % 9 else None, 1, 2.0, 1000.0 + i % 90, 0.05, day + datetime.timedelta(days=i % 50) if i % 11 else None) for i in range(300)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                "l_discount double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr("tidemark.session.ROWS_A_PART", 20)
+    r = Inputs(spark, str(tmp_path))
+    plain = {n: standin.relation(spark, str(tmp_path), n) for n in ("bars_sk", "basic_daily")}
+    assert r("bars_sk").rdd.getNumPartitions() == 15
+    for name, want in plain.items():
+        got = r(name)
+        assert got.dtypes == want.dtypes and got.count() == want.count() > 0
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    r.store("bars_sk")
+    assert r("basic_daily").rdd.getNumPartitions() == r.parts("bars_sk") > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert r("basic_daily").exceptAll(plain["basic_daily"]).isEmpty()

@@ -26,7 +26,7 @@ def px(r: Inputs) -> DataFrame:
 
 def panel(r: Inputs) -> DataFrame:
     # nearly every input is derived from the first two; the others are small and read several times
-    r.store("bars_sk", "filings", "universe", "active_months")
+    r.store("bars_sk", "filings", "universe", "index_member_asof")
     known = known_codes(r)
     return panel_daily(PanelInputs(
         bars=r("bars"), factor=r("adjust_factor"), basic=r("basic_daily"), codes=known, core=r("fin_core"),

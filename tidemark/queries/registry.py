@@ -25,7 +25,13 @@ class Inputs:
         self.stored: dict[str, str] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return standin.relation(self.spark, self.dir, name, self.stored)
+        """Relations that are grouped whole (``standin.DEALT``) are dealt by the rows that they read, counted from footers."""
+        source = standin.DEALT.get(name, ("",))[0]
+        if name in self.stored or not source:
+            parts = None
+        else:
+            parts = self.parts(source if source in self.stored else "lineitem")
+        return standin.relation(self.spark, self.dir, name, self.stored, parts)
 
     def store(self, *names: str) -> Inputs:
         """Compute these relations once; they and all that is derived from them are read from the shared folder from now on."""

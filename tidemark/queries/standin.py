@@ -278,13 +278,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def relation(spark: SparkSession, sf_dir: str, name: str, stored: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
-    """One derived relation as a DataFrame; the base tables, and relations ``stored`` under a path, are read straight from Parquet."""
+#: What a relation groups or orders whole tables by: (the relation that it reads, the columns).
+DEALT = {"bars_sk": ("lines", "sk, date"), "basic_daily": ("bars_sk", "sk")}
+
+
+def relation(spark: SparkSession, sf_dir: str, name: str, stored: Mapping[str, str] = MappingProxyType({}), parts: int | None = None) -> DataFrame:
+    """One derived relation as a DataFrame; the base tables, and relations ``stored`` under a path, are read straight from Parquet.
+
+    With ``parts``, what ``name`` groups by (``DEALT``) is dealt into so many parts first, so that the rows which a task holds do
+    not depend on the size of files or on the session's number of partitions.
+    """
+    source, by = DEALT.get(name, ("", "")) if parts else ("", "")
+    hint = {source: f"/*+ REPARTITION({parts}, {by}) */ "}
     paths = {**{b: f"{sf_dir}/{b}.parquet" for b in BASE}, **stored}
     if name in paths:
         return spark.read.parquet(paths[name])
     order = _order([name], paths)
     bases = sorted({d for n in order for d in RELATIONS[n][0] if d in paths})
-    heads = [f"{b} AS (SELECT * FROM parquet.`{paths[b]}`)" for b in bases]
-    bodies = [f"{n} AS ({RELATIONS[n][1]})" for n in order]
+    heads = [f"{b} AS (SELECT {hint.get(b, '')}* FROM parquet.`{paths[b]}`)" for b in bases]
+    bodies = [f"{n} AS (SELECT {hint[n]}* FROM ({RELATIONS[n][1]}))" if n in hint else f"{n} AS ({RELATIONS[n][1]})" for n in order]
     return spark.sql("WITH " + ",\n".join(heads + bodies) + f"\nSELECT * FROM {name}")

@@ -60,12 +60,9 @@ def key_check(df: DataFrame, keys: Sequence[str], name: str = "duplicate_keys")
 NORMAL, TRADED = "正常上市", ("正常上市", "ST", "*ST")  # fixed values: public_status
 
 
-def known(df: DataFrame, allow: DataFrame | None) -> DataFrame:
-    """``df`` with ``__known``: is (jq_code, date) on the allow-list?"""
-    if allow is None:
-        return df.withColumn("__known", F.lit(False))
-    listed = allow.select("jq_code", "date").distinct().withColumn("__known", F.lit(True))
-    return df.join(listed, ["jq_code", "date"], "left").withColumn("__known", F.coalesce("__known", F.lit(False)))
+def unlisted(df: DataFrame, allow: DataFrame | None) -> DataFrame:
+    """Rows of ``df`` whose (jq_code, date) is not on the allow-list."""
+    return df if allow is None else df.join(allow.select("jq_code", "date"), ["jq_code", "date"], "left_anti")
 
 
 def panel_checks(panel: DataFrame, source_rows: DataFrame, allow_vwap: DataFrame | None = None, early_codes: Sequence[str] = ()) -> DataFrame:
@@ -78,10 +75,11 @@ def panel_checks(panel: DataFrame, source_rows: DataFrame, allow_vwap: DataFrame
     traded = (F.col("volume_shares") > 0) & (F.col("amount") > 0) & (F.col("low") > 0)
     dated = F.col("list_date").isNotNull()
     early = F.when(F.col("listed_days") < 0, F.col("jq_code"))
-    body = measures(known(panel, allow_vwap), {
+    # the list is asked for suspects only, so the panel is not shuffled for it
+    below = panel.where(traded & (F.col("amount") > 10_000) & (vwap < F.col("low") * 0.99)).select("jq_code", "date")
+    body = measures(panel, {
         "future_filings": (F.count_if(F.col("fin_pub_date") > F.col("date")), (0, 0)),
         "return_outliers": (rate(F.abs("ret_1d") > 0.45), (None, 0.0001)),
-        "vwap_below_low": (F.count_if(traded & (F.col("amount") > 10_000) & (vwap < F.col("low") * 0.99) & ~F.col("__known")), (0, 0)),
         "vwap_above_high": (F.count_if(traded & (vwap > F.col("high") * 1.01)), (None, 500)),
         "codes_before_listing": (F.count_distinct(F.when(~early.isin(*early_codes), early) if early_codes else early), (0, 0)),
         "limit_rule_ok": (rate(F.col("limit_rule_ok")), (0.999, None)),
@@ -93,7 +91,8 @@ def panel_checks(panel: DataFrame, source_rows: DataFrame, allow_vwap: DataFrame
     n = panel.agg(F.count(F.lit(1)).cast("double").alias("value"))
     src = source_rows.agg(F.count(F.lit(1)).cast("double").alias("lo"))
     rows = n.crossJoin(src).select(F.lit("row_count").alias("check"), "value", "lo", F.col("lo").alias("hi"))
-    return all_checks(body, judged(rows), key_check(panel, ["date", "jq_code"]))
+    low = measures(unlisted(below, allow_vwap), {"vwap_below_low": (F.count(F.lit(1)), (0, 0))})
+    return all_checks(body, low, judged(rows), key_check(panel, ["date", "jq_code"]))
 
 
 def identity_checks(panel: DataFrame) -> DataFrame:
@@ -175,7 +174,7 @@ def limit_breaches(panel: DataFrame, allow: DataFrame | None = None, since: str
     bad = (F.col("limit_pct") > 0) & (F.abs("ret_1d") > F.col("limit_pct") * 1.1) & (F.col("public_status") == NORMAL) & (F.col("__bar") > 5) & (F.col("__gap") <= 5)
     if since is not None:
         bad = bad & (F.col("date") >= F.to_date(F.lit(since)))
-    return known(df.where(bad), allow).where(~F.col("__known")).select("jq_code", "date", "ret_1d", "limit_pct")
+    return unlisted(df.where(bad), allow).select("jq_code", "date", "ret_1d", "limit_pct")
 
 
 def mass_move_days(bars: DataFrame, at_least: int = 50, move: float = 0.5) -> DataFrame:

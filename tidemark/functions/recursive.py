@@ -2,18 +2,22 @@
 
 A row of an exponential mean maps the state before it to the state after it: y -> a * y + b.  A missing value keeps the state, the
 first full window replaces it, a value after a gap weighs more.  Maps compose, so all states come from a scan in which each round
-composes a row's map with those 1, 4, 16, ... rows before: seven rounds of native window look-backs cover 16,384 rows.  No code's
-history is handed to Python or folded in one piece.
+composes a row's map with those 1, 4, 16, ... rows before: seven rounds of look-backs cover 16,384 rows.  Spark deals and orders
+the rows; the maps are composed on arrays, for some ten thousand rows and all smoothers at once, over whole groups.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DoubleType, StructField
+
+from tidemark.functions.histories import Tell, numbers, over_histories
 
 #: Look-backs of the scan; four times the last one bounds the rows of a code.
 STRIDES = tuple(4**k for k in range(7))
@@ -61,53 +65,82 @@ def in_rounds(smoothers: Sequence[Smooth]) -> list[list[Smooth]]:
     return [[s for s in smoothers if depth[s.out] == d] for d in range(max(depth.values(), default=-1) + 1)]
 
 
-def _scan(df: DataFrame, by: str, order: str, smoothers: Sequence[Smooth]) -> DataFrame:
-    """One round of smoothers that do not read each other, as SQL expressions: a round has hundreds, and text is quick to hand over.
-
-    All maps of a row are one struct and the columns carried through another, so a look-back copies one value whatever their number.
-    Smoothers of the same values, or of the same first window too, share what only depends on those.
-    """
-    keep = [f"`{c}`" for c in df.columns if c not in (by, order)]
-    rows = f"PARTITION BY `{by}` ORDER BY `{order}`"
-    upto, before, whole = (f"OVER ({rows} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})" for end in ("CURRENT ROW", "1 PRECEDING", "UNBOUNDED FOLLOWING"))
-    value = [f"cast(`{s.src}` AS double)" if isinstance(s.src, str) else f"cast(`{s.src[0]}` - `{s.src[1]}` AS double)" for s in smoothers]
-    xs = {v: f"__x{k}" for k, v in enumerate(dict.fromkeys(value))}
-    firsts = {first: f"__f{k}" for k, first in enumerate(dict.fromkeys((xs[v], s.seed) for v, s in zip(value, smoothers)))}
-    mine = [firsts[xs[v], s.seed] for v, s in zip(value, smoothers)]
-    each = lambda text: [text.format(f=f, x=x, seed=seed) for (x, seed), f in firsts.items()]
-    told = [f"`{by}`", f"`{order}`", "__all", "__rn"]
-    df = df.selectExpr(f"`{by}`", f"`{order}`", f"struct({', '.join(keep or ['1'])}) AS __all", *(f"CASE WHEN NOT isnan({v}) THEN {v} END AS {x}" for v, x in xs.items()))
-    df = df.selectExpr("*", f"row_number() OVER ({rows}) AS __rn")
-    df = df.selectExpr("*", *(f"coalesce(max(CASE WHEN {x} IS NULL THEN __rn END) {upto}, 0) AS {x}gap" for x in xs.values()))
-    df = df.selectExpr(*told, *xs.values(), *each("__rn - {x}gap >= {seed} AS {f}full"))
-    df = df.selectExpr("*", *each("min(CASE WHEN {f}full THEN __rn END) {whole} AS {f}start".replace("{whole}", whole)), *each("count(CASE WHEN {f}full THEN 1 END) {upto} > 1 AND {x} IS NOT NULL AS {f}counts".replace("{upto}", upto)))
-    # between the first full window and the second, values do not count
-    df = df.selectExpr(
-        *told, *xs.values(), *each("{f}start"), *each("{f}counts"),
-        *each("avg(CASE WHEN __rn > {f}start - {seed} AND __rn <= {f}start THEN {x} END) {whole} AS {f}mean".replace("{whole}", whole)),
-        *each("__rn - max(CASE WHEN __rn = {f}start OR {f}counts THEN __rn END) {before} AS {f}since".replace("{before}", before)),
-    )
-    kept = [f"pow(1 - {s.alpha!r}D, {f}since)" for s, f in zip(smoothers, mine)]
-    a = [f"CASE WHEN __rn = {f}start THEN 0D WHEN {f}counts THEN {w} / ({w} + {s.alpha!r}D) ELSE 1D END" for w, s, f in zip(kept, smoothers, mine)]
-    b = [f"CASE WHEN __rn = {f}start THEN {f}mean WHEN {f}counts THEN {s.alpha!r}D * {xs[v]} / ({w} + {s.alpha!r}D) ELSE 0D END" for w, v, s, f in zip(kept, value, smoothers, mine)]
-    packed = lambda a, b: "named_struct(" + ", ".join(f"'a{k}', {p}, 'b{k}', {q}" for k, (p, q) in enumerate(zip(a, b))) + ")"
-    first = [*told, *each("{f}start")]
-    df = df.selectExpr(*first, f"{packed(a, b)} AS __m")
-    # before the first row nothing changes
-    none = packed(["1D"] * len(smoothers), ["0D"] * len(smoothers))
-    for stride in STRIDES:  # a row's map after the three maps before it
-        df = df.selectExpr("*", *(f"lag(__m, {k * stride}, {none}) OVER ({rows}) AS __m{k}" for k in (1, 2, 3)))
-        a = [f"__m.a{k} * __m1.a{k} * __m2.a{k} * __m3.a{k}" for k in range(len(smoothers))]
-        b = [f"__m.b{k} + __m.a{k} * (__m1.b{k} + __m1.a{k} * (__m2.b{k} + __m2.a{k} * __m3.b{k}))" for k in range(len(smoothers))]
-        df = df.selectExpr(*first, f"{packed(a, b)} AS __m")
-    short = f"assert_true(__rn <= {LONGEST}, 'more than {LONGEST} rows of one group') IS NULL"
-    outs = [s.out for s in smoothers]
-    return df.selectExpr(f"`{by}`", f"`{order}`", *(f"__all.{c} AS {c}" for c in keep if c[1:-1] not in outs), *(f"CASE WHEN __rn >= {f}start AND {short} THEN __m.b{k} END AS `{s.out}`" for k, (f, s) in enumerate(zip(mine, smoothers))))
+def _first_windows(x: np.ndarray, place: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For values ``x`` (NaN: none) of whole groups, ``place`` counting a group's rows from 0: rows of the first full windows, their
+    means, rows that have a state, rows whose value counts, and the rows since the last one that did."""
+    at, valid = np.arange(len(x)), ~np.isnan(x)
+    first = at - place
+    full = at - np.maximum(np.maximum.accumulate(np.where(valid, -1, at)), first - 1) >= seed
+    seen = np.cumsum(full)
+    seen -= (seen - full)[first]
+    start = full & (seen == 1)
+    counts = valid & (seen > 1)  # between the first full window and the second, values do not count
+    ends = np.flatnonzero(start)
+    means = np.zeros(len(ends))
+    for k in range(seed):
+        means += x[ends - seed + 1 + k]
+    last = np.concatenate([[0], np.maximum.accumulate(np.where(start | counts, at, 0))[:-1]])
+    return ends, means / seed, seen > 0, counts, at - last
+
+
+def _composed(a: np.ndarray, b: np.ndarray, place: np.ndarray, strides: Sequence[int]) -> np.ndarray:
+    """The states before which nothing was known: each column's map y -> a * y + b after those of all rows of its group before it."""
+
+    def back(m: np.ndarray, k: int, none: float) -> np.ndarray:
+        out = np.full_like(m, none)  # before the first row nothing changes
+        out[:, k:] = np.where(place[k:] >= k, m[:, : max(0, m.shape[1] - k)], none)
+        return out
+
+    for stride in strides:
+        if stride > place.max():
+            break
+        (a1, b1), (a2, b2), (a3, b3) = ((back(a, k * stride, 1.0), back(b, k * stride, 0.0)) for k in (1, 2, 3))
+        b = b + a * (b1 + a1 * (b2 + a2 * b3))
+        a = a * a1 * a2 * a3
+    return b
+
+
+def _states(column: Callable[[str], np.ndarray], place: np.ndarray, rounds: Sequence[Sequence[Smooth]], strides: Sequence[int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """out -> (states, rows without one) over whole groups; ``column`` gives a source, missing values as NaN."""
+    told: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    read: dict[str, np.ndarray] = {}
+
+    def source(name: str) -> np.ndarray:
+        if name not in read:
+            read[name] = np.where(told[name][1], np.nan, told[name][0]) if name in told else column(name)
+        return read[name]
+
+    for group in rounds:
+        xs = [source(s.src) if isinstance(s.src, str) else source(s.src[0]) - source(s.src[1]) for s in group]
+        a, b, empty, known = np.ones((len(group), len(place))), np.zeros((len(group), len(place))), [], {}
+        for k, (x, s) in enumerate(zip(xs, group)):
+            if (s.src, s.seed) not in known:
+                known[s.src, s.seed] = _first_windows(x, place, s.seed)
+            ends, means, has, counts, since = known[s.src, s.seed]
+            weight = (1 - s.alpha) ** since[counts]
+            a[k, counts], b[k, counts] = weight / (weight + s.alpha), s.alpha * x[counts] / (weight + s.alpha)
+            a[k, ends], b[k, ends] = 0.0, means
+            empty.append(~has)
+        out = _composed(a, b, place, strides)
+        for s, y, none in zip(group, out, empty):
+            told[s.out] = (y, none)
+            read.pop(s.out, None)
+    return told
+
+
+def telling(smoothers: Sequence[Smooth]) -> tuple[list[StructField], Tell]:
+    """The columns of ``smoothers`` and how a pass over whole groups (``over_histories``) makes them."""
+    rounds, strides = in_rounds(smoothers), STRIDES
+    outs = list(dict.fromkeys(s.out for group in rounds for s in group))
+
+    def tell(batch: pa.RecordBatch, place: np.ndarray) -> list[pa.Array]:
+        told = _states(lambda name: numbers(batch, name), place, rounds, strides)
+        return [pa.array(told[o][0], mask=told[o][1]) for o in outs]
+
+    return [StructField(o, DoubleType()) for o in outs], tell
 
 
 def apply_smoothers(df: DataFrame, by: str, order: str, smoothers: Sequence[Smooth], keep: Sequence[str]) -> DataFrame:
     """Append the smoothers' columns; ``keep`` are the columns to carry through. Rows are unique on (by, order)."""
-    df = df.select(*dict.fromkeys([by, order, *keep]))
-    for group in in_rounds(smoothers):
-        df = _scan(df, by, order, group)
-    return df
+    fields, tell = telling(smoothers)
+    return over_histories(df.select(*dict.fromkeys([by, order, *keep])), by, order, fields, [tell], LONGEST)

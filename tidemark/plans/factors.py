@@ -12,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tidemark.functions.recursive import Smooth, apply_smoothers
+from tidemark.functions.histories import Tell, frames, in_frame, numbers, over_histories
+from tidemark.functions.recursive import LONGEST, Smooth, telling
 from tidemark.functions.scalars import log, null_if, safe_div, where, z
 from tidemark.functions.windows import Roll
 from tidemark.operators.asof import asof_join
@@ -43,7 +47,7 @@ TERMS: dict[str, tuple[tuple[str, ...], int]] = {
     "PVT": (("R", "V"), 0), "WVAD": (("C", "O", "H", "L", "V"), 0), "AR_U": (("H", "O"), 0), "AR_D": (("O", "L"), 0), "BR_U": (("H", "PC"), 0), "BR_D": (("PC", "L"), 0),
     "CR_U": (("H", "TP1"), 0), "CR_D": (("TP1", "L"), 0),
 }
-#: Windows of so many rows are merged from two blocks; shorter ones read their frame.
+#: Windows of so many rows are computed on arrays, in the pass of the smoothers; shorter ones by Spark.
 LONG = 60
 #: Rows after which a smoother of length n has forgotten its start for practical purposes, as a multiple of n.
 SETTLED = 4
@@ -56,7 +60,7 @@ class Ctx:
     An operator's input is the name of a column or an expression; expressions may use other operators' results.  ``inputs`` holds
     the expressions, ``windows`` everything that reads a frame, a lag or running totals of a column, ``smoothers`` the recursions.
     Window length is counted in rows; a NULL inside a window makes the result NULL.  No value outside a window can touch its
-    result: short ones read their frame, long ones are merged from the end of one block of rows and the beginning of the next.
+    result: each row reads its own frame.
     """
 
     inputs: dict[str, Column] = field(default_factory=dict)
@@ -491,49 +495,81 @@ def references(df: DataFrame, columns: Sequence[Column]) -> list[set[str]]:
     return out
 
 
+def plain(df: DataFrame, columns: Sequence[Column]) -> list[str | tuple[str, str] | None]:
+    """For each expression the column that it is, or the two (a, b) if it is a - b; None for all others."""
+    if not columns:
+        return []
+    listed = df.select(*[x.alias(f"__k{i}") for i, x in enumerate(columns)])._jdf.queryExecution().analyzed().expressions()
+    kind = lambda x: x.getClass().getSimpleName()
+
+    def told(x) -> str | tuple[str, str] | None:
+        if kind(x) == "Subtract" and kind(x.left()) == kind(x.right()) == "AttributeReference":
+            return x.left().name(), x.right().name()
+        return x.name() if kind(x) == "AttributeReference" else None
+
+    return [told(listed.apply(i).child()) for i in range(len(columns))]
+
+
 BLOCK = "struct<n:bigint,sum:double,low:double,high:double,m2:double,m3:double,m4:double>"
 
 
-def merge_blocks(df: DataFrame, rows: int, asked: dict[str, tuple[str, set[str]]]) -> DataFrame:
-    """``df`` (jq_code, date, ord, ...) with windows of ``rows`` rows: name -> (column, statistics asked).
+def block_statistics(x: np.ndarray, valid: np.ndarray, place: np.ndarray, rows: int, asks: set[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """What is asked of each row's frame of ``rows`` rows, as (values, rows without one). Every row reads its own frame."""
+    n = in_frame(valid, place, rows)
+    names = [k for k in ("sum", "low", "high", "m2", "m3", "m4") if k in {q for a in asks for q in STATISTICS[a]}]
+    out = {k: np.zeros(len(x)) for k in names}
+    x = np.where(valid, x, 0.0)
+    for full in (True, False):
+        at = np.flatnonzero((n == rows) == full)
+        for part, own, (v, ok) in frames(at, place, rows, x, valid):
+            to = at[part]
+            if not full:
+                own = own & ok
+                v = np.where(own, v, 0.0)
+            total = v.sum(axis=1)
+            if "sum" in out:
+                out["sum"][to] = total
+            if "low" in out:
+                out["low"][to] = np.fmin.reduce(v if full else np.where(own, v, np.inf), axis=1)
+                out["high"][to] = (v if full else np.where(own, v, -np.inf)).max(axis=1)
+            if "m2" in out:
+                d = v - (total / n[to])[:, None]
+                d = d if full else np.where(own, d, 0.0)
+                square = d * d
+                out["m2"][to] = square.sum(axis=1)
+                if "m4" in out:
+                    out["m3"][to], out["m4"][to] = np.einsum("ij,ij->i", square, d), np.einsum("ij,ij->i", square, square)
+    none, never = n == 0, np.zeros(len(x), bool)
+    return {"n": (n, never), **{k: (v, never if k == "sum" else none) for k, v in out.items()}}
+
+
+#: What the statistics that a window is asked for are made of.
+STATISTICS = {"sum": ["sum"], "ends": ["low", "high"], "m2": ["m2"], "m4": ["m2", "m3", "m4"]}
+
+
+def telling_blocks(asked: dict[str, tuple[str, int, set[str]]]) -> tuple[list[StructField], Tell]:
+    """The columns of long windows, name -> (column, rows, statistics asked), and how a pass over whole groups makes them."""
+    fields = []
+    for name, (_, _, asks) in asked.items():
+        told = [k for k in ("sum", "low", "high", "m2", "m3", "m4") if k in {q for a in asks for q in STATISTICS[a]}]
+        fields.append(StructField(name, StructType([StructField("n", LongType()), *(StructField(k, DoubleType()) for k in told)])))
+
+    def tell(batch: pa.RecordBatch, place: np.ndarray) -> list[pa.Array]:
+        out = []
+        for column, rows, asks in asked.values():
+            valid = batch.column(column).is_valid().to_numpy(zero_copy_only=False)
+            got = block_statistics(numbers(batch, column), valid, place, rows, asks)
+            out.append(pa.StructArray.from_arrays([pa.array(v, mask=none) for v, none in got.values()], list(got)))
+        return out
+
+    return fields, tell
 
-    The rows of a code are cut into blocks of ``rows``.  A window is the end of one block and the beginning of the next (or one
-    whole block), both of which grow by a row at a time: running aggregates in either direction, and one look-back of rows - 1.
-    Moments are merged about their own means, so a value that has left a window leaves nothing behind.
-    """
-    keep, names = [f"`{c}`" for c in df.columns], {n: f"__w{k}" for k, n in enumerate(asked)}
-    parts = {"n": "count({x})", "sum": "sum({x})", "low": "min({x})", "high": "max({x})", "mean": "avg({x})", "var": "var_pop({x})", "skew": "skewness({x})", "kurt": "kurtosis({x})"}
-    needs = {"sum": ["sum"], "ends": ["low", "high"], "m2": ["mean", "var"], "m4": ["mean", "var", "skew", "kurt"]}
-    used = {n: ["n", *(p for p in parts if p in {q for a in asks for q in needs[a]})] for n, (_, asks) in asked.items()}
-    one = lambda n, order, out: "named_struct(" + ", ".join(
-        f"'{p}', {parts[p].format(x=f'`{asked[n][0]}`')} OVER (PARTITION BY jq_code, __blk ORDER BY date{order} ROWS UNBOUNDED PRECEDING)" for p in used[n]) + f") AS {names[n]}{out}"
-    df = df.selectExpr("*", f"(ord - 1) DIV {rows} AS __blk")
-    df = df.selectExpr("*", *(one(n, " DESC", "s") for n in asked)).selectExpr("*", *(one(n, "", "p") for n in asked))
-    at_end = f"ord % {rows} = 0"
-    df = df.selectExpr("*", *(f"CASE WHEN NOT {at_end} THEN lag({w}s, {rows - 1}) OVER (PARTITION BY jq_code ORDER BY date) END AS {w}a" for w in names.values()))
-
-    def merged(n: str) -> Column:
-        a, b, has = F.col(f"{names[n]}a"), F.col(f"{names[n]}p"), set(used[n])
-        na, nb = F.coalesce(a["n"], F.lit(0)).cast("double"), b["n"].cast("double")
-        both = null_if(na + nb, 0.0)
-        out = {"n": F.coalesce(both, F.lit(0.0)).cast("long"), **{k: F.lit(None).cast("double") for k in ("sum", "low", "high", "m2", "m3", "m4")}}
-        if "sum" in has:
-            out["sum"] = F.coalesce(a["sum"], F.lit(0.0)) + F.coalesce(b["sum"], F.lit(0.0))
-        if "low" in has:
-            out |= {"low": F.least(a["low"], b["low"]), "high": F.greatest(a["high"], b["high"])}
-        if "var" in has:
-            moment = lambda side, k: F.coalesce({2: side["var"] * side["n"], 3: F.when(side["var"] > 0, side["skew"] * F.pow(side["var"], 1.5) * side["n"]), 4: F.when(side["var"] > 0, (side["kurt"] + 3) * side["var"] * side["var"] * side["n"])}[k] if k == 2 or "skew" in has else F.lit(0.0), F.lit(0.0))
-            d = F.coalesce(b["mean"] - a["mean"], F.lit(0.0))
-            a2, b2 = moment(a, 2), moment(b, 2)
-            out["m2"] = a2 + b2 + d * d * na * nb / both
-            if "skew" in has:
-                a3, b3 = moment(a, 3), moment(b, 3)
-                out["m3"] = a3 + b3 + d * d * d * na * nb * (na - nb) / (both * both) + 3 * d * (na * b2 - nb * a2) / both
-                out["m4"] = (moment(a, 4) + moment(b, 4) + d * d * d * d * na * nb * (na * na - na * nb + nb * nb) / (both * both * both)
-                             + 6 * d * d * (na * na * b2 + nb * nb * a2) / (both * both) + 4 * d * (na * b3 - nb * a3) / both)
-        return F.struct(*[x.alias(k) for k, x in out.items()])
-
-    return df.withColumns({n: merged(n) for n in asked}).selectExpr(*keep, *asked)
+
+def merge_blocks(df: DataFrame, rows: int, asked: dict[str, tuple[str, set[str]]]) -> DataFrame:
+    """``df`` (jq_code, date, ...) with windows of ``rows`` rows: name -> (column, statistics asked). A value that has left a window
+    leaves nothing behind."""
+    fields, tell = telling_blocks({n: (column, rows, asks) for n, (column, asks) in asked.items()})
+    return over_histories(df, "jq_code", "date", fields, [tell])
 
 
 @dataclass
@@ -546,6 +582,10 @@ class Plan:
     reads: dict[str, set[str]]
     rounds: dict[str, int]
     base: set[str]
+    #: smoothers that read what others leave, or the difference of two: they are told in the same pass
+    chained: dict[str, Smooth]
+    #: ``rounds`` as they are run, chained smoothers with those that they read
+    passes: dict[str, int]
 
     @classmethod
     def of(cls, specs: Sequence[Spec], base: Sequence[str]) -> Plan:
@@ -557,37 +597,65 @@ class Plan:
         blank = SparkSession.getActiveSession().range(0).select(*[F.lit(None).cast(kind(n)).alias(n) for n in dict.fromkeys(["jq_code", "date", *base, *ops])])
         found = references(blank, [*ctx.inputs.values(), *columns])
         reads = dict(zip([*ctx.inputs, *(f"={s.id}" for s in specs)], found))
-        reads |= {n: {col} | ({"ord"} if n.startswith(("__slope_", "__block_")) else set()) for n, (col, _) in ctx.reads.items()}
-        rounds: dict[str, int] = {}
-
-        def place(name: str) -> int:
-            if name not in ctx.inputs and name not in ctx.reads:
-                return 0
-            if name not in rounds:
-                rounds[name] = max((place(x) for x in reads[name]), default=0) + (name in ctx.reads)
-            return rounds[name]
-
-        for name in [*ctx.inputs, *ops]:
-            place(name)
+        reads |= {n: {col} | ({"ord"} if n.startswith("__slope_") else set()) for n, (col, _) in ctx.reads.items()}
+        form = dict(zip(ctx.inputs, plain(blank, list(ctx.inputs.values()))))
+        chained: dict[str, Smooth] = {}
+        for n, x in ctx.smoothers.items():
+            src = form.get(x.src)
+            if src is not None and all(y in ctx.smoothers for y in ([src] if isinstance(src, str) else src)):
+                chained[n] = Smooth(n, src, x.alpha, x.seed)
+
+        def placed(chained: dict[str, Smooth]) -> dict[str, int]:
+            rounds: dict[str, int] = {}
+
+            def place(name: str) -> int:
+                if name not in ctx.inputs and name not in ctx.reads:
+                    return 0
+                if name in chained and name not in rounds:
+                    src = chained[name].src
+                    rounds[name] = max(place(x) for x in ([src] if isinstance(src, str) else src))
+                if name not in rounds:
+                    rounds[name] = max((place(x) for x in reads[name]), default=0) + (name in ctx.reads)
+                return rounds[name]
+
+            for name in [*ctx.inputs, *ops]:
+                place(name)
+            return rounds
+
         own = {*ctx.inputs, *ops}
         needed = set().union(*(reads[n] for n in reads)) - own if reads else set()
-        return cls(ctx, columns, reads, rounds, needed)
-
-    def run(self, df: DataFrame) -> DataFrame:
-        """``df`` (jq_code, date, daily columns) with every operator's column."""
-        for k in range(max(self.rounds.values(), default=0) + 1):
-            mine = [n for n, r in self.rounds.items() if r == k]
-            smoothers = [self.ctx.smoothers[n] for n in mine if n in self.ctx.smoothers]
-            if smoothers:
-                df = apply_smoothers(df, "jq_code", "date", smoothers, df.columns)
-            df = df.withColumns({n: self.ctx.windows[n] for n in mine if n in self.ctx.windows})
-            long = [n for n in mine if n in self.ctx.blocks]
-            for rows in sorted({self.ctx.reads[n][1] + 1 for n in long}):
-                df = merge_blocks(df, rows, {n: (self.ctx.reads[n][0], self.ctx.blocks[n]) for n in long if self.ctx.reads[n][1] + 1 == rows})
-            # a NaN that a formula makes is a missing value
-            df = df.withColumns({n: F.when(~F.isnan(x), x) for n, x in ((n, self.ctx.inputs[n].cast("double")) for n in mine if n in self.ctx.inputs)})
+        return cls(ctx, columns, reads, placed({}), needed, chained, placed(chained))
+
+    def start(self, df: DataFrame, later: Sequence[str] = ()) -> tuple[DataFrame, set[str]]:
+        """``df`` with the smoothers and long windows of the first round, and what it now has, so that they pass through Python before
+        anything else is there to carry. What reads columns that come ``later`` is left out."""
+
+        def below(name: str) -> set[str]:
+            return {name}.union(*(below(x) for x in self.reads.get(name, ())))
+
+        mine = [n for n in (*self.ctx.smoothers, *self.ctx.blocks) if self.passes[n] == 1 and not below(n) & set(later)]
+        read = set().union(*(below(n) for n in mine)) if mine else set()
+        inputs = [n for n, r in self.passes.items() if r == 0 and n in read]
+        return self._step(self._step(df, inputs), mine), {*inputs, *mine}
+
+    def run(self, df: DataFrame, told: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+        """``df`` (jq_code, date, daily columns, those ``told`` by ``start``) with every operator's column."""
+        left = {n: r for n, r in self.passes.items() if n not in told}
+        for k in range(max(left.values(), default=0) + 1):
+            df = self._step(df, [n for n, r in left.items() if r == k], parts)
         return df
 
+    def _step(self, df: DataFrame, mine: Sequence[str], parts: int | None = None) -> DataFrame:
+        smoothers = [self.chained.get(n, self.ctx.smoothers[n]) for n in mine if n in self.ctx.smoothers]
+        long = {n: (self.ctx.reads[n][0], self.ctx.reads[n][1] + 1, self.ctx.blocks[n]) for n in mine if n in self.ctx.blocks}
+        if smoothers or long:
+            fields, tells = zip(*(x for x in (telling(smoothers), telling_blocks(long)) if x[0]))
+            df = over_histories(df, "jq_code", "date", sum(fields, []), tells, LONGEST if smoothers else None)
+            df = by_code(df, parts) if parts else df
+        df = df.withColumns({n: self.ctx.windows[n] for n in mine if n in self.ctx.windows})
+        # a NaN that a formula makes is a missing value
+        return df.withColumns({n: F.when(~F.isnan(x), x) for n, x in ((n, self.ctx.inputs[n].cast("double")) for n in mine if n in self.ctx.inputs)})
+
     def trace(self, name: str) -> tuple[set[str], int | None, bool]:
         """(panel and statement columns below ``name``, rows before today's that it looks back over, recursive). None: all rows."""
         if name in self.reads or name in TERMS:
@@ -637,6 +705,9 @@ def factor_daily(
     plan = Plan.of(specs, [*(x for x in df.columns if x not in ("jq_code", "date")), *filed])
     df = df.select("jq_code", "date", *[x for x in df.columns if x in plan.base])
     cols = [x for x in filed if x in plan.base]
+    df, ready = plan.start(df, cols)
+    if ready and not cols and any(n not in ready and n in plan.ctx.windows for n in plan.rounds):
+        df = by_code(df, parts)
     # cast last, so the stored width does not enter any window
     typed = {s.id: x.cast(dtype) if dtype else x for s, x in zip(specs, plan.columns)}
     typed = {i: finish(x) for i, x in typed.items()} if finish else typed
@@ -649,7 +720,7 @@ def factor_daily(
         df = asof_join(df, right, ["jq_code"], "date", "pub_date", [*daily, *told.values(), "__told"], left_unique=True, parts=parts)
         blank = lambda name: F.lit(none[name]).cast(right.schema[name].dataType)
         typed |= {i: F.col(name) if none[name] is None else F.when(F.col("__told"), F.col(name)).otherwise(blank(name)) for i, name in told.items()}
-    return plan.run(df).select("jq_code", "date", *[typed[s.id].alias(s.id) for s in specs])
+    return plan.run(df, ready, parts).select("jq_code", "date", *[typed[s.id].alias(s.id) for s in specs])
 
 
 def try_factor(panel: DataFrame, name: str, calc: Callable[[Ctx], Column]) -> DataFrame:

@@ -109,7 +109,7 @@ def native_indicators(bars: DataFrame) -> DataFrame:
 
 
 def indicators(bars: DataFrame) -> DataFrame:
-    """Every indicator, the recursive ones last (one grouped Arrow function per symbol)."""
+    """Every indicator, the recursive ones last (one pass over each symbol's rows)."""
     df = native_indicators(bars)
     df = apply_smoothers(df, "symbol", "date", SMOOTHERS, df.columns)
     dif = c("ind_ema12") - c("ind_ema26")

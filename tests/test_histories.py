@@ -89,3 +89,36 @@ def test_beta_of_frames_with_gaps_and_a_flat_benchmark(spark):
                     assert np.isnan(have)
                 else:
                     np.testing.assert_allclose(have, ((x - x.mean()) * (y - y.mean())).sum() / ((y - y.mean()) ** 2).sum(), atol=6e-7, rtol=1e-9)
+
+
+def test_ranks_of_many_equal_values_and_repeated_keys(spark, monkeypatch):
+    """Against pandas: ties in every range, NaN, a factor without values, keys that come twice and null keys."""
+    from tidemark.plans import metrics
+
+    rng = np.random.default_rng(7)
+    n = 400
+    rows = pd.DataFrame({"jq_code": [f"c{i % 9}" if i % 50 else None for i in range(n)], "date": [days(60)[i // 9] for i in range(n)], "a": np.round(rng.normal(0, 1, n), 2)})
+    rows["b"] = rows.a + np.round(rng.normal(0, 0.2, n), 1)
+    rows["c"] = np.where(rng.random(n) < 0.7, 0.0, -rows.a)  # most are equal
+    rows.loc[::7, "b"], rows["none"], rows["flat"] = np.nan, np.nan, 1.0
+    rows.loc[3, "c"] = -0.0
+    rows = pd.concat([rows, rows.iloc[:25].assign(a=5.0)], ignore_index=True)
+    cols = ["a", "b", "c", "none", "flat"]
+    ranks = rows[cols].rank().assign(jq_code=rows.jq_code.fillna("?"), date=rows.date).groupby(["jq_code", "date"])[cols].max()
+    want = {}
+    for i, x in enumerate(cols):
+        for y in cols[i + 1 :]:
+            both = ranks[[x, y]].dropna()
+            if len(both) and both[x].std() > 0 and both[y].std() > 0:
+                want[x, y] = (both[x].corr(both[y]), len(both))
+    assert set(want) == {("a", "b"), ("a", "c"), ("b", "c")}
+    df = spark.createDataFrame(rows, f"jq_code string, date date, {', '.join(f'{c} double' for c in cols)}").repartition(3)
+    for most in (10**6, 40):  # one range, and eleven of them
+        monkeypatch.setattr(metrics, "ROWS_A_PART", most)
+        out = metrics.rank_duplicate_pairs(df, cols, 0.0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "stack" not in plan
+        got = {(r.factor_a, r.factor_b): (r.rank_corr, r.n) for r in out.collect()}
+        assert set(got) == set(want)
+        for k, (corr, both) in want.items():
+            assert got[k][1] == both and abs(got[k][0] - corr) < 1e-9

@@ -122,3 +122,12 @@ def test_pair_bounds_are_safe_and_tighter(make):
             less += two[2] - one[2]
             assert one[2] <= two[2]
     assert less > 0
+
+
+def test_the_index_is_searched_where_it_lies(spark):
+    """Rows of megabytes: few to a file, and no shuffle or sort of them."""
+    index = maxscore.build_index(spark.range(0, 5 * maxscore.SEGMENT_DOCS, 1, 1).selectExpr("id AS doc_id", "concat('word', id % 5, ' all') AS text"))
+    assert index.count() == 5 and len(index.inputFiles()) == 3
+    block = maxscore.Block.of([{"item_id": 1, "terms": [{"term": "word1", "times": 1, "weight": 5}, {"term": "all", "times": 2, "weight": 3}]}], 20480, 40960)
+    plan = maxscore.search_block(index, block, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and plan.count("MapInArrow") == 2

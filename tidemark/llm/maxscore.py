@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import folded_words, utf8, written
 
-#: Documents and bytes of a segment at most (a longer text is a segment of its own); characters of a block of items, about.
-SEGMENT_DOCS, SEGMENT_BYTES, BLOCK_CHARS = 4096, 8 << 20, 4 << 20
+#: Documents and bytes of a segment at most (a longer text is a segment of its own); characters of a block of items, about; segments of a file.
+SEGMENT_DOCS, SEGMENT_BYTES, BLOCK_CHARS, PER_FILE = 4096, 8 << 20, 4 << 20, 2
 # The parts of a term's impact in a document.
 SCALE, SLOPE = 1_000_000_000, 25
 
@@ -74,7 +74,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             number += 1
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return written(docs.mapInArrow(run, INDEX), "index")
+    return written(docs.mapInArrow(run, INDEX), "index", PER_FILE)
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -143,13 +143,14 @@ def _segments(batch: pa.RecordBatch) -> Iterator[dict[str, pa.Array]]:
         yield {name: batch.column(k)[i] if name == "segment" else batch.column(k)[i].values for k, name in enumerate(batch.schema.names)}
 
 
-def pair_lists(index: DataFrame, block: Block) -> DataFrame:
+def pair_lists(index: DataFrame, block: Block, beside: bool = False) -> DataFrame:
     """(segment, tops, shared, joint): the greatest impact of each weighted term of a block in each segment, and for each of its
-    pairs the documents that hold both and their greatest joint impact (0 without any)."""
+    pairs the documents that hold both and their greatest joint impact (0 without any). ``beside``: as columns of the index."""
+    kept = index.columns if beside else ["segment"]
 
     def run(batches):
         for batch in batches:
-            for row in _segments(batch):
+            for place, row in enumerate(_segments(batch)):
                 s, last, own = Segment(row, block), -1, None
                 tops = [int(s.impacts(t)[1].max(initial=0)) for t in range(len(block.terms))]
                 shared, joint = np.zeros(len(block.pairs), np.int64), np.zeros(len(block.pairs), np.int64)
@@ -162,9 +163,10 @@ def pair_lists(index: DataFrame, block: Block) -> DataFrame:
                     both = own[places] >= 0
                     shared[k], joint[k] = both.sum(), (own[places] + worth)[both].max(initial=0)
                 one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([row["segment"].as_py()]), one(tops), one(shared), one(joint)], ["segment", "tops", "shared", "joint"])
+                own_row = batch.slice(place, 1)
+                yield pa.RecordBatch.from_arrays([*(own_row.column(c) for c in kept), one(tops), one(shared), one(joint)], [*kept, "tops", "shared", "joint"])
 
-    return written(index.mapInArrow(run, "segment long, tops array<long>, shared array<long>, joint array<long>"), "pairs")
+    return index.mapInArrow(run, f"{INDEX if beside else 'segment long'}, tops array<long>, shared array<long>, joint array<long>")
 
 
 def prefix_bounds(terms: np.ndarray, tops: np.ndarray, joint: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
@@ -245,7 +247,10 @@ def search_segment(s: Segment, terms: list[int], bounds: list[int], floor: int)
 
 
 def search_block(index: DataFrame, block: Block, size: int) -> DataFrame:
-    """(item_id, doc_id, score): the best documents of each item of a block, ``size`` a task; a task carries its floors from segment to segment."""
+    """(item_id, doc_id, score): the best documents of each item of a block, ``size`` a task; a task carries its floors from segment to segment.
+
+    A segment's pair lists are put beside it as it is read, so the index, rows of megabytes, is neither shuffled nor sorted.
+    """
     pairs = [tuple(p) for p in block.pairs.tolist()]
 
     def run(batches):
@@ -266,8 +271,7 @@ def search_block(index: DataFrame, block: Block, size: int) -> DataFrame:
             [pa.array(name, pa.int64()), pa.array(col("ids").astype(np.int64), mask=col("nulls").astype(bool)), pa.array(col("scores").astype(np.int64))], ["item_id", "doc_id", "score"],
         )
 
-    both = index.join(pair_lists(index, block), "segment")
-    return both.mapInArrow(run, "item_id long, doc_id long, score long")
+    return pair_lists(index, block, beside=True).mapInArrow(run, "item_id long, doc_id long, score long")
 
 
 def search(docs: DataFrame, items: DataFrame, size: int = 20) -> DataFrame:

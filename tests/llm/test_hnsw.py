@@ -92,3 +92,21 @@ def test_rare_links_among_copies(make):
     df = make([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     got = numbers(hnsw.links(df, shards=1))
     assert [got[i][0] for i in range(len(x))] == (close.sum(axis=1) - 1).tolist()
+
+
+def test_a_graph_is_sent_once_for_several_blocks(make, monkeypatch):
+    """Blocks of a lot share the graph, which carries no second copy of its vectors; lots of one block give the same."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 8))
+    x = np.concatenate([x, x[:90] + 0.05 * rng.normal(size=(90, 8))])
+    unit = hnsw._unit(x)
+    graph = hnsw.Graph(unit)
+    bare = graph.dump(vectors=False)
+    assert len(bare) < len(graph.dump()) - graph.x.nbytes + 512
+    again = hnsw.Graph.load(bare, unit)
+    assert (again.x == graph.x).all() and all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(again.layers, graph.layers))
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = make(rows, "vec_id long, embedding array<double>")
+    for lot in (1, 3 * 8 * 50 * 8, hnsw.LOT):  # one block, three and all eight
+        monkeypatch.setattr(hnsw, "LOT", lot)
+        assert got(hnsw.links(df, shards=2, block=50)) == brute(rows)

@@ -21,6 +21,8 @@ from tidemark.llm.common import components, stored
 
 #: Beams up to this width; beyond it a query is compared with the whole shard.
 WIDEST = 256
+#: Bytes of vectors that meet a graph in one task.
+LOT = 16 << 20
 
 
 def _unit(rows) -> np.ndarray:
@@ -207,15 +209,16 @@ class Graph:
                 out[r] = np.flatnonzero(c)
         return out
 
-    def dump(self) -> bytes:
+    def dump(self, vectors: bool = True) -> bytes:
         out = io.BytesIO()
-        np.savez(out, x=self.x, order=self.order, **{f"links{i}": links for i, (_, links) in enumerate(self.layers)})
+        np.savez(out, **{"x": self.x} if vectors else {}, order=self.order, **{f"links{i}": links for i, (_, links) in enumerate(self.layers)})
         return out.getvalue()
 
     @staticmethod
-    def load(data: bytes) -> Graph:
+    def load(data: bytes, vectors: np.ndarray | None = None) -> Graph:
+        """``vectors``: those that the graph was built on, where they were not dumped."""
         got, g = np.load(io.BytesIO(data)), Graph.__new__(Graph)
-        g.x, g.order = got["x"], got["order"]
+        g.x, g.order = got["x"] if vectors is None else vectors.astype(np.float32), got["order"]
         g.layers = []
         while f"links{len(g.layers)}" in got:
             links = got[f"links{len(g.layers)}"]
@@ -268,22 +271,27 @@ def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: i
 
     def build(key, rows):
         rows = rows.sort_values("vec_id")
-        graph = Graph(_unit(rows.v))
-        exact = _unit(rows.v).tobytes()
-        return pd.DataFrame({"shard": [key[0]], "dim": [key[1]], "ids": [rows.vec_id.to_numpy().tobytes()], "exact": [exact], "graph": [graph.dump()]})
+        exact = _unit(rows.v)
+        return pd.DataFrame({"shard": [key[0]], "dim": [key[1]], "ids": [rows.vec_id.to_numpy().tobytes()], "exact": [exact.tobytes()], "graph": [Graph(exact).dump(vectors=False)]})
 
     graphs = stored(usable.withColumn("shard", shard).groupBy("shard", "dim").applyInPandas(build, "shard int, dim int, ids binary, exact binary, graph binary"))
     parts = max(1, -(-n // block))
     part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int")
-    asked = usable.withColumn("part", part).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    sent = graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # a graph is sent once for some blocks, LOT bytes of vectors at most or one block
+    lot = F.greatest(F.lit(1), F.floor(F.lit(LOT) / (8 * block * F.col("dim")))).cast("int")
+    asked = usable.withColumn("part", part).withColumn("lot", F.floor(F.col("part") / lot).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    sent = graphs.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor(F.lit(parts - 1) / lot).cast("int"))))
 
     def search(key, rows, graph):
         none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
         if not len(rows) or not len(graph):
             return none
-        net, ids = Graph.load(graph.graph[0]), np.frombuffer(graph.ids[0], np.int64)
+        ids = np.frombuffer(graph.ids[0], np.int64)
         exact = np.frombuffer(graph.exact[0]).reshape(len(ids), -1)
+        net = Graph.load(graph.graph[0], exact)
+        return pd.concat([search_block(some, net, ids, exact) for _, some in rows.groupby("part")])
+
+    def search_block(rows, net, ids, exact):
         rows = rows.sort_values("vec_id")
         mine, q = rows.vec_id.to_numpy(), _unit(rows.v)
         forest, count = _Forest(ids), np.zeros(len(q), np.int64)
@@ -324,7 +332,7 @@ def links(vectors: DataFrame, least: float = 0.9, shards: int = 12, per_shard: i
         linked = np.flatnonzero(count)
         return pd.DataFrame({"a": np.concatenate([mine[linked], a]), "b": np.concatenate([mine[linked], b]), "n": np.concatenate([count[linked], np.zeros(len(a), np.int64)])})
 
-    keys = ["shard", "dim", "part"]
+    keys = ["shard", "dim", "lot"]
     seen = stored(asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(search, "a long, b long, n long"))
     counts = seen.where("a = b").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
     roots = components(seen.where("a <> b")).withColumnRenamed("node", "vec_id")

@@ -122,3 +122,14 @@ def test_ranks_of_many_equal_values_and_repeated_keys(spark, monkeypatch):
         assert set(got) == set(want)
         for k, (corr, both) in want.items():
             assert got[k][1] == both and abs(got[k][0] - corr) < 1e-9
+
+
+def test_long_windows_on_repeated_days(spark):
+    """A frame that starts on a repeated day counts that day's rows up to its first one; equal values have no moments."""
+    day = days(8)
+    day[3] = day[2]
+    df = spark.createDataFrame(pd.DataFrame({"jq_code": "a", "date": day, "X": 0.1}))
+    got = factors.merge_blocks(df, 4, {"w": ("X", {"sum", "m4"})}).withColumn("at", F.row_number().over(factors.ROLL.base())).orderBy("at").select("w.*").toPandas()
+    assert got.n.tolist() == [1, 2, 3, 4, 4, 3, 5, 4]
+    assert (got[["m2", "m3", "m4"]] == 0.0).all().all()
+    np.testing.assert_allclose(got["sum"], 0.1 * got.n, rtol=1e-12)
